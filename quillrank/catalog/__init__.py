@@ -1,2 +1,2 @@
-from quillrank.catalog import feature_queries, measures, rec  # noqa: F401
+from quillrank.catalog import feature_queries, measures, rec, search_queries  # noqa: F401
 from quillrank.catalog.base import ORACLES, QUERIES  # noqa: F401
