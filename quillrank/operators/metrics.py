@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from quillrank.functions import clip, col, safe_ratio
-from quillrank.plans.ranks import BUCKETS, range_bucket, running_below, top_by
+from quillrank.plans.ranks import range_bucket, running_below, top_by
 
 
 def by_score(df: DataFrame, score: str, label: str, group: list[str] = []) -> DataFrame:
@@ -204,23 +204,3 @@ def metric_report(df: DataFrame, segment: str, prob: str = "prob", label: str =
 def average_score(df: DataFrame, score: Column | str) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("total_count"), F.avg(col(score)).alias("average_score"))
 
-
-__all__ = [
-    "BUCKETS",
-    "auc",
-    "auc_at_k",
-    "auc_histogram",
-    "aupr",
-    "average_score",
-    "by_score",
-    "confusion",
-    "curve",
-    "logloss",
-    "metric_report",
-    "pr_points",
-    "ranking_quality",
-    "regression_errors",
-    "roc_points",
-    "weighted_auc",
-    "welch_t",
-]
