@@ -52,7 +52,7 @@ def hashed_features(t: Tables):
 
 def wide_deep(t: Tables):
     model = M.WideDeep(slots(t), buckets=1024, iterations=10, hidden=(16, 8))
-    prepared = stage(model.prepare(training(t)), "prepared")
+    prepared = model.prepare(training(t))
     return model.fit(prepared).predict(prepared)
 
 

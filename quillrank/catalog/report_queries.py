@@ -228,9 +228,14 @@ def key_value_lines(t: Tables):
 # Streams -----------------------------------------------------------------------------------------------------------
 
 
+def stream_of(t: Tables, name: str):
+    """A table's files as a stream."""
+    schema = getattr(t, name).schema
+    return t.spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(t.folder)
+
+
 def event_stream(t: Tables):
-    path = t.path("events")
-    return hits(t.spark.readStream.schema(t.events.schema).parquet(path)).withColumn("ts", F.col("ts").cast("timestamp"))
+    return hits(stream_of(t, "events")).withColumn("ts", F.col("ts").cast("timestamp"))
 
 
 @query("stream_counts", f"WITH {HITS} SELECT url, count(*) AS time FROM hits GROUP BY 1")
@@ -273,7 +278,7 @@ def stream_views(t: Tables):
 )
 def stream_kmeans(t: Tables):
     first = leads(t).select(F.col("query_id").alias("id"), doubles("embedding").alias("centre"), F.lit(0.0).alias("n"))
-    stream = t.spark.readStream.schema(t.embeddings.schema).parquet(t.path("embeddings"))
+    stream = stream_of(t, "embeddings")
     table, state = run_dir(t.spark, "centres"), run_dir(t.spark, "centres-state")
     kmeans.start(stream, first, table, state, "embedding", 0.9).awaitTermination()
     out = kmeans.latest_centres(t.spark, table)

@@ -58,7 +58,9 @@ def hashed_cells(names: str | Column, weights: str | Column, buckets: int) -> Co
 
 
 def sparse_features(rows: DataFrame, names: str, weights: str, out: str, buckets: int = FEATURE_SIZE) -> DataFrame:
-    return rows.withColumn(out, _sparse(hashed_cells(names, weights, buckets), buckets))
+    # A Python function cannot take an expression that holds a lambda; the generator keeps the two apart.
+    cells = F.inline(F.array(F.struct(hashed_cells(names, weights, buckets).alias("__cells"))))
+    return rows.select("*", cells).withColumn(out, _sparse(F.col("__cells"), buckets)).drop("__cells")
 
 
 def pooled_features(rows: DataFrame, table: DataFrame, rid: str, names: str, weights: str, out: str) -> DataFrame:
@@ -102,11 +104,14 @@ class WideDeep:
 
     def prepare(self, rows: DataFrame, rid: str = "id") -> DataFrame:
         """``rows``: id, label, user_features, user_weights, ads_features, ads_weights."""
-        out = sparse_features(rows, "ads_features", "ads_weights", "wide", self.buckets)
+        out = rows.withColumn("cells", hashed_cells("ads_features", "ads_weights", self.buckets))
         for side in ("user", "ads"):
             out = pooled_features(out, self.table, rid, f"{side}_features", f"{side}_weights", f"{side}_pool")
         both = F.concat("user_pool", "ads_pool")
-        return out.select(rid, "label", "wide", array_to_vector(both).alias("deep"))
+        flat = stage(out.select(rid, "label", "cells", both.alias("pools")), "wide_deep_rows")
+        return flat.select(
+            rid, "label", _sparse(F.col("cells"), self.buckets).alias("wide"), array_to_vector("pools").alias("deep")
+        )
 
     def logits(self, prepared: DataFrame) -> DataFrame:
         scored = _prob(self.wide.transform(prepared), "wide_prob")
