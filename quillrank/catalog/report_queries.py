@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quillrank.catalog import stand_ins as S
-from quillrank.catalog.base import Tables, query, rounded
+from quillrank.catalog.base import Tables, query, rounded, spread
 from quillrank.catalog.model_queries import training
 from quillrank.catalog.search_queries import leads
 from quillrank.functions import doubles
@@ -56,7 +56,7 @@ def pv_uv_site(t: Tables):
     SELECT doc_id, words, CAST(ceil(words / 300) AS BIGINT) AS minutes FROM w""",
 )
 def reading_time(t: Tables):
-    return V.reading_time(t.documents, "doc_id", "text")
+    return V.reading_time(spread(t.documents.select("doc_id", "text")), "doc_id", "text")
 
 
 @query(

@@ -5,18 +5,22 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quillrank.catalog import stand_ins as S
-from quillrank.catalog.base import Tables, query, rounded
+from quillrank.catalog.base import Tables, query, rounded, spread
 from quillrank.functions import dirichlet_mean, dirichlet_mode, doubles, tokens
 from quillrank.operators import corpus as C, recommend as R, rules as U, search as Q, vectors as V
 from quillrank.session import stage
 
+def texts(t: Tables):
+    return spread(t.documents.select("doc_id", "text"))
+
+
 WORDS = ["leaux the", "hein-en", "queeaux"]
 WHITE = r"[ \t\n\x0b\f\r]"
 
 
 def site(t: Tables):
     """pages as search entries: the title element, the raw page, the address."""
-    return t.pages.select(
+    return spread(t.pages.select("page_id", "html", "url")).select(
         F.col("page_id").alias("id"),
         F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"),
         F.col("html").alias("content"),
@@ -99,7 +103,7 @@ df AS (SELECT term, count(*) AS df FROM tf GROUP BY 1)"""
     round(tf * ln((SELECT count(*) FROM documents)::DOUBLE / df), 6) AS tfidf FROM tf JOIN df USING (term)""",
 )
 def tfidf(t: Tables):
-    return rounded(Q.tfidf(t.documents))
+    return rounded(Q.tfidf(texts(t)))
 
 
 @query(
@@ -108,7 +112,7 @@ def tfidf(t: Tables):
     round((1 + ln(tf)) * ln(1 + (SELECT count(*) FROM documents)::DOUBLE / df), 6) AS tfidf FROM tf JOIN df USING (term)""",
 )
 def tfidf_log(t: Tables):
-    return rounded(Q.tfidf(t.documents, tf="log", idf="smooth"))
+    return rounded(Q.tfidf(texts(t), tf="log", idf="smooth"))
 
 
 SEARCHES = ["the of tion", "les de la", "nicht und"]
@@ -135,7 +139,7 @@ def _bm25_sql() -> str:
 
 @query("bm25", f"WITH {_bm25_sql()} SELECT doc_id, query, round(score, 6) AS score FROM bm")
 def bm25(t: Tables):
-    return rounded(Q.bm25(t.documents, SEARCHES))
+    return rounded(Q.bm25(texts(t), SEARCHES))
 
 
 @query(
@@ -149,7 +153,7 @@ def bm25(t: Tables):
 )
 def search_blend(t: Tables):
     importance = t.labels.select("doc_id", (F.col("quality").cast("double") + 1.0).alias("importance"))
-    return rounded(Q.blended(Q.bm25(t.documents, SEARCHES), importance, "doc_id", 0.3, 50))
+    return rounded(Q.blended(Q.bm25(texts(t), SEARCHES), importance, "doc_id", 0.3, 50))
 
 
 ROUNDS = 5
@@ -181,7 +185,7 @@ def pagerank(t: Tables):
     edges = pairs.filter("item_prior < item_posterior").select(
         F.col("item_prior").alias("src"), F.col("item_posterior").alias("dst"), F.col("pair_cnt").alias("weight")
     )
-    return rounded(Q.pagerank(edges, ROUNDS, keep=2), 9)
+    return rounded(Q.pagerank(edges, ROUNDS), 9)
 
 
 # Query log: part names as queries of the customers who bought them --------------------------------------------------
@@ -292,7 +296,7 @@ vocab AS (SELECT word, count(*) AS cn FROM
 
 @query("vocab_counts", f"WITH {VOCAB} SELECT word, cn FROM vocab")
 def vocab_counts(t: Tables):
-    return C.vocabulary(t.documents)
+    return C.vocabulary(texts(t))
 
 
 @query(
@@ -300,7 +304,7 @@ def vocab_counts(t: Tables):
     f"WITH {VOCAB} SELECT count(*) AS vocab_size, CAST(sum(cn) AS BIGINT) AS train_words FROM vocab",
 )
 def vocab_total(t: Tables):
-    return C.kept_words(C.vocabulary(t.documents))
+    return C.kept_words(C.vocabulary(texts(t)))
 
 
 @query(
@@ -309,7 +313,7 @@ def vocab_total(t: Tables):
     FROM vocab""",
 )
 def neg_sampling_dist(t: Tables):
-    return rounded(C.negative_sampling(stage(C.vocabulary(t.documents), "vocabulary")), 9)
+    return rounded(C.negative_sampling(stage(C.vocabulary(texts(t)), "vocabulary")), 9)
 
 
 # Vectors -----------------------------------------------------------------------------------------------------------
@@ -388,13 +392,13 @@ def dirichlet(t: Tables):
 
 @query("lda_doc_topics")
 def lda_doc_topics(t: Tables):
-    docs = t.documents.select("doc_id", tokens("text").alias("words"))
+    docs = texts(t).select("doc_id", tokens("text").alias("words"))
     return V.doc_topics(V.fit_topics(docs, "words", k=4, iterations=5, min_df=5, vocabulary=2000), docs, "doc_id")
 
 
 @query("lda_topic_words")
 def lda_topic_words(t: Tables):
-    docs = t.documents.select("doc_id", tokens("text").alias("words"))
+    docs = texts(t).select("doc_id", tokens("text").alias("words"))
     return V.topic_words(V.fit_topics(docs, "words", k=4, iterations=5, min_df=5, vocabulary=2000), 10)
 
 
@@ -412,6 +416,6 @@ def word2vec_neighbours(t: Tables):
 def bag_of_words_components(t: Tables):
     from pyspark.ml.functions import vector_to_array
 
-    docs = t.documents.select("doc_id", tokens("text").alias("words"))
+    docs = texts(t).select("doc_id", tokens("text").alias("words"))
     parts = V.count_embedding(docs, "words", 4, vocabulary=256)
     return parts.select("doc_id", vector_to_array("components").alias("components"), doubles(F.array(F.size("words"))).alias("n"))

@@ -252,22 +252,22 @@ def naive_bayes_table(rows: DataFrame, features: list[str], label: str) -> DataF
 
 
 def naive_bayes_predict(rows: DataFrame, table: DataFrame, priors: DataFrame, key: str, features: list[str]) -> DataFrame:
-    """Best label per row: ln prior plus the ln probabilities of its values. Unknown values are left out."""
-    parts = F.array(*[F.concat(F.lit(f + "="), F.col(f).cast("string")) for f in features])
-    flat = rows.select(key, F.explode(parts).alias("cell"))
-    packed = table.groupBy(F.concat("feature", F.lit("="), "value").alias("cell")).agg(
-        F.collect_list(F.struct("label", F.ln("prob").alias("lp"))).alias("lps")
-    )
-    sums = (
-        spread_join(flat, packed, "cell")
-        .select(key, F.inline("lps"))
-        .groupBy(key, "label")
-        .agg(F.sum("lp").alias("lp"))
-        .join(priors, "label")
-        .withColumn("score", F.col("lp") + F.ln("prior"))
-    )
-    best = F.max(F.struct("score", "label")).alias("b")
-    return sums.groupBy(key).agg(best).select(key, F.col("b.label").alias("predicted"), "b.score")
+    """Best label per row: ln prior plus the ln probabilities of its values. Unknown values are left out.
+
+    Each feature adds one array, an entry per label in label order, so a row is scored where it lies.
+    """
+    by_label = F.array_sort(F.collect_list(F.struct("label", F.ln("p").alias("lp"))))
+    start = priors.select("label", F.col("prior").alias("p")).agg(by_label).scalar()
+    scored = rows.select(key, *[F.col(f).cast("string").alias(f"__{f}") for f in features])
+    for f in features:
+        values = table.filter(F.col("feature") == f).select(F.col("value").alias(f"__{f}"), "label", F.col("prob").alias("p"))
+        scored = spread_join(scored, values.groupBy(f"__{f}").agg(by_label.alias(f"__lp_{f}")), f"__{f}", "left")
+    scored = scored.withColumn("__sum", start)
+    for f in features:
+        more = F.zip_with("__sum", f"__lp_{f}", lambda x, y: F.struct(x["label"].alias("label"), (x["lp"] + y["lp"]).alias("lp")))
+        scored = scored.withColumn("__sum", F.when(F.col(f"__lp_{f}").isNull(), F.col("__sum")).otherwise(more))
+    best = F.array_max(F.transform("__sum", lambda x: F.struct(x["lp"].alias("score"), x["label"].alias("label"))))
+    return scored.select(key, best["label"].alias("predicted"), best["score"].alias("score"))
 
 
 def class_priors(rows: DataFrame, label: str) -> DataFrame:

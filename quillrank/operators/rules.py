@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 from quillrank import fixed as X
 from quillrank.functions import differs_or_unknown
 from quillrank.operators.actions import in_window
-from quillrank.plans.ranks import top_by
-from quillrank.plans.skew import keep_by_count
+from quillrank.plans.ranks import global_row_number, top_by
+from quillrank.plans.skew import keep_by_count, spread_join
 from quillrank.session import stage
 
 
@@ -42,33 +42,26 @@ def filter_items(
     return keep_by_count(matrix, "item_id", (cnt > low) & (cnt < high), cnt >= high, carry)
 
 
-def _half_pairs(matrix: DataFrame, carry: list[str]) -> DataFrame:
+def _half_pairs(matrix: DataFrame, item: str = "item_id") -> DataFrame:
     # Each unordered pair once. Users hold at most LIST_MAX items after filter_users, which bounds the join. A row
     # meets up to LIST_MAX others, so the number of partitions follows the session and not the small input size.
     parts = int(matrix.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    matrix = matrix.repartition(parts, "user_id")
-    left = matrix.select("user_id", F.col("item_id").alias("i"), *[F.col(c).alias(f"{c}_i") for c in carry])
-    right = matrix.select("user_id", F.col("item_id").alias("j"), *[F.col(c).alias(f"{c}_j") for c in carry])
-    return left.join(right, "user_id").filter(F.col("i") < F.col("j"))
+    matrix = matrix.select("user_id", item).repartition(parts, "user_id")
+    left = matrix.withColumnRenamed(item, "i")
+    return left.join(matrix.withColumnRenamed(item, "j"), "user_id").filter(F.col("i") < F.col("j"))
 
 
-def _mirror(half: DataFrame, carry: list[str]) -> DataFrame:
+def _mirror(half: DataFrame) -> DataFrame:
     def side(a: str, b: str):
-        return F.struct(
-            F.col(a).alias("item_prior"),
-            F.col(b).alias("item_posterior"),
-            "pair_cnt",
-            *[F.col(f"{c}_{a}").alias(f"{c}_prior") for c in carry],
-            *[F.col(f"{c}_{b}").alias(f"{c}_posterior") for c in carry],
-        )
+        return F.struct(F.col(a).alias("item_prior"), F.col(b).alias("item_posterior"), "pair_cnt")
 
     return half.select(F.inline(F.array(side("i", "j"), side("j", "i"))))
 
 
 def pair_counts(matrix: DataFrame, low: int = X.PAIR_MIN, high: int = X.PAIR_MAX) -> DataFrame:
     """Ordered item pairs with ``low <= common users <= high``. Run filter_users first."""
-    counted = _half_pairs(matrix, []).groupBy("i", "j").agg(F.count(F.lit(1)).alias("pair_cnt"))
-    return _mirror(counted.filter(F.col("pair_cnt").between(low, high)), [])
+    counted = _half_pairs(matrix).groupBy("i", "j").agg(F.count(F.lit(1)).alias("pair_cnt"))
+    return _mirror(counted.filter(F.col("pair_cnt").between(low, high)))
 
 
 def _metrics(pairs: DataFrame, users: DataFrame, k: int) -> DataFrame:
@@ -117,15 +110,32 @@ def mine_rules(
 ) -> DataFrame:
     """filter_users, filter_items, pair_counts and association_metrics in one plan.
 
-    The item counts that decide filter_items are the rule counts, so they ride along through the pair join and the
-    two joins of association_metrics fall away. The filtered matrix is read three times and so is staged once.
+    The pairs are by far the largest data of the job and most of them fall below the minimum. Items with long ids
+    therefore get dense codes, and a pair is shuffled as two codes in one bigint; names and counts come back to the
+    few pairs that are left.
     """
     kept = stage(filter_items(filter_users(matrix, *users), *items, carry="cnt"), "filtered_matrix")
-    counted = (
-        _half_pairs(kept, ["cnt"]).groupBy("i", "j", "cnt_i", "cnt_j").agg(F.count(F.lit(1)).alias("pair_cnt"))
+    if dict(kept.dtypes)["item_id"] in ("int", "bigint"):
+        return association_metrics(pair_counts(kept, *pairs), kept, k)
+    counts = kept.groupBy("item_id").agg(F.first("cnt").alias("cnt"))
+    codes = stage(global_row_number(counts, [F.asc("item_id")], "code"), "item_codes")
+    coded = spread_join(kept.select("user_id", "item_id"), codes, "item_id", weights=codes)
+    packed = F.shiftleft("i", 32).bitwiseOR(F.col("j")).alias("pair")
+    counted = _half_pairs(coded, "code").select(packed).groupBy("pair").agg(F.count(F.lit(1)).alias("pair_cnt"))
+    frequent = counted.filter(F.col("pair_cnt").between(*pairs)).select(
+        F.shiftright("pair", 32).alias("i"), F.col("pair").bitwiseAND(F.lit((1 << 32) - 1)).alias("j"), "pair_cnt"
+    )
+    both = _mirror(frequent)
+
+    def decoded(side: str) -> DataFrame:
+        return codes.select(
+            F.col("code").alias(f"item_{side}"), F.col("item_id").alias(f"name_{side}"), F.col("cnt").alias(f"{side}_cnt")
+        )
+
+    named = both.join(decoded("prior"), "item_prior").join(decoded("posterior"), "item_posterior")
+    named = named.drop("item_prior", "item_posterior").withColumnsRenamed(
+        {"name_prior": "item_prior", "name_posterior": "item_posterior"}
     )
-    both = _mirror(counted.filter(F.col("pair_cnt").between(*pairs)), ["cnt"])
-    named = both.withColumnsRenamed({"cnt_prior": "prior_cnt", "cnt_posterior": "posterior_cnt"})
     return _metrics(named, kept.agg(F.countDistinct("user_id")), k)
 
 

@@ -5,13 +5,14 @@ from __future__ import annotations
 import re
 
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, functions as F
 
 from quillrank import fixed as X
 from quillrank.functions import col, occurrences, safe_ratio, strip_html, tokens, trim_all
 from quillrank.operators.corpus import term_counts
 from quillrank.plans.ranks import top_by
-from quillrank.plans.skew import spread_join
+from quillrank.plans.skew import heavy_keys, repeated, salted, spread_join
 from quillrank.session import stage
 
 
@@ -141,7 +142,7 @@ IDF = {"plain": lambda n, d: F.ln(n / d), "smooth": lambda n, d: F.ln(1.0 + n /
 def tfidf(docs: DataFrame, doc: str = "doc_id", text: str = "text", tf: str = "count", idf: str = "plain") -> DataFrame:
     """Weight of every (document, term). A term found in most documents is split over several tasks."""
     counts = stage(term_counts(docs, doc, text), "term_counts")
-    df = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    df = stage(counts.groupBy("term").agg(F.count(F.lit(1)).alias("df")), "document_counts")
     joined = spread_join(counts, df, "term", weights=df, weight="df")
     n = docs.agg(F.count(F.lit(1)).cast("double")).scalar()
     weight = TF[tf](F.col("tf").cast("double")) * IDF[idf](n, F.col("df").cast("double"))
@@ -201,38 +202,38 @@ def blended(relevance: DataFrame, importance: DataFrame, doc: str, weight: float
     return top_by(rows.select("query", doc, score.alias("score")), ["query"], [F.desc("score"), F.asc(doc)], k)
 
 
-def pagerank(edges: DataFrame, iterations: int = 10, damping: float = 0.85, keep: int = 3) -> DataFrame:
+def pagerank(edges: DataFrame, iterations: int = 10, damping: float = 0.85, salts: int = 32) -> DataFrame:
     """PageRank over (src, dst, weight); rank of nodes without links out is spread evenly.
 
-    Links are summed per pair and staged with their share of the source; ranks are staged every ``keep`` rounds.
-    Sources with very many links are split over several tasks.
+    Links are laid out by source once and kept, so a round shuffles the ranks and the sums they send, not the links.
+    Sources with very many links are split over several partitions. Every round ends in a staged table. What dead
+    ends hold is one minus all that was sent.
     """
+    spark = edges.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     summed = stage(edges.groupBy("src", "dst").agg(F.sum("weight").cast("double").alias("weight")), "edges")
     out = summed.groupBy("src").agg(F.sum("weight").alias("out"), F.count(F.lit(1)).alias("cnt"))
     out = stage(out, "out_weights")
-    links = stage(
-        spread_join(summed, out.select("src", "out"), "src", weights=out).select(
-            "src", "dst", (F.col("weight") / F.col("out")).alias("part")
-        ),
-        "links",
+    hot = stage(heavy_keys(out, "src", "cnt"), "hot_sources")
+    shares = spread_join(summed, out.select("src", "out"), "src", weights=out).select(
+        "src", "dst", (F.col("weight") / F.col("out")).alias("part")
     )
-    ends = summed.select(F.col("src").alias("node"), F.lit(False).alias("dead")).unionAll(
-        summed.select(F.col("dst").alias("node"), F.lit(True).alias("dead"))
-    )
-    nodes = stage(ends.groupBy("node").agg(F.min("dead").alias("dead")), "nodes")
-    n = nodes.agg(F.count(F.lit(1)).cast("double")).scalar()
-    ranks = nodes.withColumn("rank", 1.0 / n)
-    for i in range(1, iterations + 1):
-        source = ranks.select(F.col("node").alias("src"), "rank")
-        sent = spread_join(links, source, "src", weights=out).groupBy(F.col("dst").alias("node")).agg(
-            F.sum(F.col("rank") * F.col("part")).alias("got")
+    links = salted(shares, hot, "src", salts).repartition(parts, "src", "__salt").persist(StorageLevel.MEMORY_AND_DISK)
+    ends = F.explode(F.array("src", "dst")).alias("node")
+    nodes = stage(summed.select(ends).distinct().withColumn("got", F.lit(0.0)), "nodes")
+    n = float(nodes.count())
+    ranks = nodes.select("node", F.lit(1.0 / n).alias("rank")) if n else nodes.select("node", F.col("got").alias("rank"))
+    for _ in range(iterations):
+        source = repeated(ranks.select(F.col("node").alias("src"), "rank"), hot, "src", salts)
+        sent = links.join(source.hint("shuffle_hash"), ["src", "__salt"]).select(
+            F.col("dst").alias("node"), (F.col("rank") * F.col("part")).alias("got")
         )
-        lost = ranks.agg(F.coalesce(F.sum(F.when(F.col("dead"), F.col("rank"))), F.lit(0.0))).scalar()
-        got = F.coalesce(F.col("got"), F.lit(0.0)) + lost / n
-        ranks = nodes.join(sent, "node", "left").select("node", "dead", ((1.0 - damping) / n + damping * got).alias("rank"))
-        if i % keep == 0 and i < iterations:
-            ranks = stage(ranks, "ranks")
-    return ranks.select("node", "rank")
+        got = stage(sent.unionAll(nodes).groupBy("node").agg(F.sum("got").alias("got")), "ranks")
+        lost = 1.0 - got.agg(F.sum("got")).scalar()
+        ranks = got.select("node", ((1.0 - damping) / n + damping * (F.col("got") + lost / n)).alias("rank"))
+    if iterations:
+        links.unpersist()
+    return ranks
 
 
 # Query log ---------------------------------------------------------------------------------------------------------

@@ -8,6 +8,8 @@ from quillrank.session import stage
 
 # After the largest HEAVY keys are set apart, no other key holds more than 1/HEAVY of the rows.
 HEAVY = 1000
+# A join side of at most this many rows, counted, is broadcast.
+SMALL = 200_000
 
 
 def keep_by_count(df: DataFrame, key: str, keep: Column, over: Column, carry: str | None = None) -> DataFrame:
@@ -35,20 +37,36 @@ def spread_join(
     weights: DataFrame | None = None,
     weight: str = "cnt",
     salts: int = 32,
+    small: int = SMALL,
 ) -> DataFrame:
-    """Join ``left`` to ``right`` (one row per key) with the HEAVY most frequent left keys split over ``salts``.
+    """Join ``left`` to ``right`` (one row per key) without a task that holds all rows of a frequent key.
 
-    ``weights`` holds the left row count per key where a stage before has it already. At most HEAVY keys are
-    broadcast; only their right rows are repeated. Left rows must not be copies of each other, because the salt is a
-    hash of the row and so stays the same when a task is run again.
+    ``right`` is staged and counted. Up to ``small`` rows it is broadcast. Beyond that the HEAVY most frequent left
+    keys are split over ``salts``: at most HEAVY keys are broadcast and only their right rows are repeated.
+    ``weights`` holds the left row count per key where a stage before has it already. Left rows must not be copies of
+    each other, because the salt is a hash of the row and so stays the same when a task is run again.
     """
+    right = stage(right, f"right_by_{key}")
+    if right.count() <= small:
+        return left.join(F.broadcast(right), key, how)
     if weights is None:
         weights = left.groupBy(key).agg(F.count(F.lit(1)).alias(weight))
-    hot = weights.orderBy(F.desc(weight), key).limit(HEAVY).select(key, F.lit(True).alias("__hot"))
-    spread = F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int")
-    many = left.join(F.broadcast(hot), key, "left").withColumn(
-        "__salt", F.when(F.col("__hot"), spread).otherwise(F.lit(0))
-    )
+    hot = heavy_keys(weights, key, weight)
+    return salted(left, hot, key, salts).join(repeated(right, hot, key, salts), [key, "__salt"], how).drop("__salt")
+
+
+def heavy_keys(weights: DataFrame, key: str, weight: str) -> DataFrame:
+    return weights.orderBy(F.desc(weight), key).limit(HEAVY).select(key, F.lit(True).alias("__hot"))
+
+
+def salted(many: DataFrame, hot: DataFrame, key: str, salts: int) -> DataFrame:
+    """Add ``__salt``: a hash of the row for the hot keys, 0 for the others."""
+    spread = F.pmod(F.xxhash64(*many.columns), F.lit(salts)).cast("int")
+    marked = many.join(F.broadcast(hot), key, "left")
+    return marked.withColumn("__salt", F.when(F.col("__hot"), spread).otherwise(F.lit(0))).drop("__hot")
+
+
+def repeated(one: DataFrame, hot: DataFrame, key: str, salts: int) -> DataFrame:
+    """Add ``__salt``: every value for the hot keys, 0 for the others."""
     copies = F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    one = right.join(F.broadcast(hot), key, "left").withColumn("__salt", F.explode(copies)).drop("__hot")
-    return many.drop("__hot").join(one, [key, "__salt"], how).drop("__salt")
+    return one.join(F.broadcast(hot), key, "left").withColumn("__salt", F.explode(copies)).drop("__hot")
