@@ -180,10 +180,11 @@ def category_stats(t: Tables):
     "share_rank",
     """WITH s AS (SELECT l_returnflag, l_suppkey, sum(l_quantity) AS amount FROM lineitem GROUP BY 1, 2)
     SELECT l_returnflag, l_suppkey, round(amount, 4) AS amount,
-           round(amount / sum(amount) OVER (PARTITION BY l_returnflag), 6) AS share FROM s""",
+           round(amount / sum(amount) OVER (PARTITION BY l_returnflag), 6) AS share,
+           rank() OVER (PARTITION BY l_returnflag ORDER BY amount DESC) AS rank FROM s""",
 )
 def share_rank(t: Tables):
-    return rounded(X.shares(t.lineitem, ["l_suppkey"], ["l_returnflag"], "l_quantity"))
+    return rounded(X.shares(t.lineitem, "l_suppkey", "l_returnflag", "l_quantity"))
 
 
 @query(

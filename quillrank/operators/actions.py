@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from quillrank import fixed as X
 from quillrank.functions import as_number, version_at_least
+from quillrank.plans.ranks import top_rows
+from quillrank.plans.skew import spread_join
 
 ACTION_CODES = {
     X.ACTION_PLAY: X.PLAY_EVENTS,
@@ -64,7 +66,9 @@ def user_item_action(
         F.replace("day", F.lit("-"), F.lit("")).alias("ds"),
         F.lit(item_type).alias("item_type"),
     )
-    return rows.join(items.select(F.col("song_id").alias("item_id")), "item_id", "left_semi")
+    # The log is a scan, whose row numbers are the same in every run: a salt that also splits equal events.
+    known_items = items.select(F.col("song_id").alias("item_id")).distinct()
+    return spread_join(rows, known_items, "item_id", "left_semi", salt=F.monotonically_increasing_id())
 
 
 def in_window(df: DataFrame, last: str, days: int = 0) -> DataFrame:
@@ -96,8 +100,6 @@ def top_buyers_first_purchase(
     actions: DataFrame, k: int = 10, buy: int = 2, user: str = "user_id", when: str = "timestamp"
 ) -> DataFrame:
     """The ``k`` users with most purchases and the time of their first one, in that order."""
-    from quillrank.plans.ranks import top_rows
-
     per_user = (
         actions.filter(F.col("action") == buy)
         .groupBy(user)

@@ -8,6 +8,7 @@ from quillrank.functions import col, hash_feature, safe_ratio
 from quillrank.operators.metrics import auc
 from quillrank.plans.ranks import running_below
 from quillrank.plans.skew import spread_join
+from quillrank.session import stage
 
 
 # Scaling -----------------------------------------------------------------------------------------------------------
@@ -161,10 +162,9 @@ def label_transfer(links: DataFrame, labels: DataFrame, owner: str, via: str, la
     counted = links.groupBy(owner, via).agg(F.count(F.lit(1)).alias("n"))
     tagged = spread_join(counted, labels.select(via, label), via)
     per_label = tagged.groupBy(owner, label).agg(F.sum("n").alias("n"))
-    total = per_label.groupBy(owner).agg(F.sum("n").alias("total"))
-    return per_label.join(total, owner).select(
-        owner, label, "n", (F.col("n").cast("double") / F.col("total")).alias("share")
-    )
+    # One row per label of the owner.
+    total = F.sum("n").over(W.partitionBy(owner))
+    return per_label.withColumn("share", F.col("n").cast("double") / total)
 
 
 def category_stats(df: DataFrame, category: str, value: str) -> DataFrame:
@@ -174,16 +174,28 @@ def category_stats(df: DataFrame, category: str, value: str) -> DataFrame:
     )
 
 
-def shares(df: DataFrame, keys: list[str], within: list[str], value: str) -> DataFrame:
-    """Conversion style shares: sum per key, its share and rank within a coarser key."""
-    per_key = df.groupBy(*within, *keys).agg(F.sum(value).alias("amount"))
-    total = per_key.groupBy(*within).agg(F.sum("amount").alias("total"))
-    joined = per_key.join(total, within)
-    return joined.withColumn("share", safe_ratio(F.col("amount"), F.col("total"))).drop("total")
+def shares(df: DataFrame, key: str, within: str, value: str) -> DataFrame:
+    """Sum per key, its share of the coarser key it lies in, and its rank there (1 + keys with a larger sum)."""
+    per_key = stage(df.groupBy(within, key).agg(F.sum(value).alias("amount")), "amounts")
+    totals = per_key.groupBy(within).agg(
+        F.sum("amount").alias("__total"), F.count(F.lit(1)).alias("__keys"), F.count(F.lit(1)).alias("cnt")
+    )
+    peers = per_key.groupBy(within, "amount").agg(F.count(F.lit(1)).alias("__same"))
+    below = running_below(peers, "amount", ["__same"], [within]).withColumn("__at", F.struct(within, "amount"))
+    places = below.select("__at", (F.col("__same_below") + F.col("__same")).alias("__up_to"))
+    rows = spread_join(per_key, totals.drop("cnt"), within, weights=totals)
+    rows = spread_join(rows.withColumn("__at", F.struct(within, "amount")), places, "__at")
+    return rows.select(
+        within,
+        key,
+        "amount",
+        safe_ratio(F.col("amount"), F.col("__total")).alias("share"),
+        (F.col("__keys") - F.col("__up_to") + 1).alias("rank"),
+    )
 
 
 def trend(df: DataFrame, keys: list[str], period: str, value: str) -> DataFrame:
-    """Sum per period, the change from the period before and the rank of the key in the period.
+    """Sum per period and the change from the period before, absolute and relative.
 
     Rows are summed first; the window sees one row per key and period.
     """

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from quillrank.functions import clip, col, safe_ratio
 from quillrank.plans.ranks import range_bucket, running_below, top_by
+from quillrank.session import stage
 
 
 def by_score(df: DataFrame, score: str, label: str, group: list[str] = []) -> DataFrame:
@@ -20,7 +21,7 @@ def auc(df: DataFrame, score: str = "prob", label: str = "label", group: list[st
     Scores are summed inside range buckets, then the at most BUCKETS partial results of a group are put together, so
     neither one group nor the whole table is ever sorted by one task.
     """
-    cut_up = range_bucket(by_score(df, score, label, group), "score")
+    cut_up = range_bucket(stage(by_score(df, score, label, group), "by_score"), "score")
     below = W.partitionBy(*group, "bucket").orderBy("score").rowsBetween(W.unboundedPreceding, -1)
     area = F.col("pos") * (F.coalesce(F.sum("neg").over(below), F.lit(0)) + F.col("neg") / 2.0)
     parts = (
@@ -60,9 +61,13 @@ def auc_at_k(
     return auc(top_by(df, group, [F.desc(score), F.asc(tie)], k), score, label, group)
 
 
-def logloss(df: DataFrame, prob: str = "prob", label: str = "label", group: list[str] = [], eps: float = 1e-15):
+def _mean_loss(prob: str, label: str, eps: float = 1e-15) -> Column:
     p, y = clip(prob, eps), F.col(label).cast("double")
-    return df.groupBy(*group).agg(F.avg(-(y * F.ln(p) + (1.0 - y) * F.ln(1.0 - p))).alias("logloss"))
+    return F.avg(-(y * F.ln(p) + (1.0 - y) * F.ln(1.0 - p)))
+
+
+def logloss(df: DataFrame, prob: str = "prob", label: str = "label", group: list[str] = [], eps: float = 1e-15):
+    return df.groupBy(*group).agg(_mean_loss(prob, label, eps).alias("logloss"))
 
 
 def regression_errors(df: DataFrame, pred: str, actual: str, weight: str) -> DataFrame:
@@ -102,7 +107,7 @@ def confusion(
 
 def curve(df: DataFrame, score: str = "prob", label: str = "label") -> DataFrame:
     """One row per distinct score: positives and negatives at or above it, with the class totals."""
-    counts = by_score(df, score, label)
+    counts = stage(by_score(df, score, label), "by_score")
     totals = counts.agg(F.struct(F.sum("pos").alias("p"), F.sum("neg").alias("n"))).scalar()
     below = running_below(counts, "score", ["pos", "neg"]).withColumn("t", totals)
     return below.select(
@@ -194,11 +199,12 @@ def welch_t(df: DataFrame, value: str, first: Column, second: Column) -> DataFra
 def metric_report(df: DataFrame, segment: str, prob: str = "prob", label: str = "label") -> DataFrame:
     """AUC, logloss and predicted over actual rate per segment: shows where the two disagree."""
     ranks = auc(df, prob, label, [segment]).select(segment, "auc")
-    losses = logloss(df, prob, label, [segment])
     rates = df.groupBy(segment).agg(
-        F.count(F.lit(1)).alias("n"), safe_ratio(F.avg(prob), F.avg(F.col(label).cast("double"))).alias("ratio")
+        F.count(F.lit(1)).alias("n"),
+        safe_ratio(F.avg(prob), F.avg(F.col(label).cast("double"))).alias("ratio"),
+        _mean_loss(prob, label).alias("logloss"),
     )
-    return rates.join(losses, segment).join(ranks, segment)
+    return rates.join(ranks, segment)
 
 
 def average_score(df: DataFrame, score: Column | str) -> DataFrame:

@@ -134,7 +134,8 @@ class WideDeep:
 
 
 def evaluate(scored: DataFrame, prob: str = "prob", label: str = "label") -> DataFrame:
-    """One row: AUC, logloss, count and average score."""
+    """One row: AUC, logloss, count and average score. The model behind ``scored`` runs once."""
+    scored = stage(scored.select(prob, label), "scored")
     ranks = auc(scored, prob, label).select("auc")
     return ranks.select(
         "auc",

@@ -27,7 +27,7 @@ def candidate_priors(
     if info is None:
         return best.select("user_id", "item_id", "prior")
     text = [F.nvl(c, F.lit("")) for c in ("song_id", "song_name", "singer_id", "singer_name")]
-    described = best.join(info, F.col("item_id") == F.col("song_id"), "left")
+    described = spread_join(best, info.withColumn("item_id", F.col("song_id")), "item_id", "left")
     return described.select("user_id", "item_id", "prior", F.concat_ws("|", *text).alias("debug_info"))
 
 
@@ -144,16 +144,14 @@ def fill_and_pack(
     ``defaults`` (any frame with user_id) adds users who get hot items only. The hot list is one value of at most
     ``k`` items, appended per user, instead of ``k`` rows for every user.
     """
-    own = lists.filter(F.col("rank") <= k).groupBy("user_id").agg(
-        ordered_items(F.col("rank"), F.col("item_id")).alias("own")
-    )
+    place = F.struct(F.col("rank").alias("r"), F.col("item_id").alias("i"))
+    places = lists.select("user_id", F.when(F.col("rank") <= k, place).alias("x"))
     if defaults is not None:
-        own = (
-            own.unionByName(defaults.select("user_id", F.array().cast("array<string>").alias("own")).distinct())
-            .groupBy("user_id")
-            .agg(F.max("own").alias("own"))
-        )
-    # A user whose rows all lie beyond rank k still gets the filler.
+        places = places.unionByName(defaults.select("user_id"), allowMissingColumns=True)
+    # collect_list leaves out NULL: a user without rows up to rank k has an empty list and gets the filler.
+    own = places.groupBy("user_id").agg(
+        F.transform(F.array_sort(F.collect_list("x")), lambda x: x["i"]).alias("own")
+    )
     filler = hot.filter(F.col("rank") <= k).agg(
         ordered_items(F.col("rank") + X.FILLER_OFFSET, F.col("item_id")).alias("filler")
     )

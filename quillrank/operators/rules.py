@@ -9,7 +9,7 @@ from quillrank.functions import differs_or_unknown
 from quillrank.operators.actions import in_window
 from quillrank.plans.ranks import global_row_number, top_by
 from quillrank.plans.skew import keep_by_count, spread_join
-from quillrank.session import stage
+from quillrank.session import renamed, stage
 
 
 def bool_matrix(baskets: DataFrame, actions: DataFrame, date: str, days: int = X.ACTION_DAYS) -> DataFrame:
@@ -160,9 +160,10 @@ def diversify_rules(rules: DataFrame, info: DataFrame) -> DataFrame:
     All posteriors of unknown singer count as one singer.
     """
     known = info.select("song_id", F.struct("song_id", "song_name", "singer_id", "singer_name").alias("s"))
-    joined = rules.join(
-        known.select(F.col("song_id").alias("item_prior"), F.col("s").alias("p")), "item_prior", "left"
-    ).join(known.select(F.col("song_id").alias("item_posterior"), F.col("s").alias("q")), "item_posterior", "left")
+    known = stage(known, "item_info")
+    # A popular item is the posterior of very many priors.
+    joined = spread_join(rules, renamed(known, {"song_id": "item_prior", "s": "p"}), "item_prior", "left")
+    joined = spread_join(joined, renamed(known, {"song_id": "item_posterior", "s": "q"}), "item_posterior", "left")
     described = joined.select(
         *rules.columns,
         F.concat(_label("p"), F.lit(","), _label("q")).alias("debug_info"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from quillrank.functions import hash_slot, hash_unit
+from quillrank.plans.skew import spread_join
 
 
 def drop_negatives(df: DataFrame, key: str, label: str, rate: float, seed: int = 0) -> DataFrame:
@@ -15,7 +16,7 @@ def drop_negatives(df: DataFrame, key: str, label: str, rate: float, seed: int =
 def skip_above(df: DataFrame, query: str, position: str, label: str) -> DataFrame:
     """Clicked rows, and unclicked rows shown above the last click of their query."""
     last = df.filter(F.col(label) == 1).groupBy(query).agg(F.max(position).alias("last_click"))
-    return df.join(last, query).filter(F.col(position) <= F.col("last_click")).drop("last_click")
+    return spread_join(df, last, query).filter(F.col(position) <= F.col("last_click")).drop("last_click")
 
 
 def fold(key: Column | str, folds: int, seed: int = 0) -> Column:

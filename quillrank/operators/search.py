@@ -69,6 +69,7 @@ def keyword_search(
 
 def hit_pages(hits: DataFrame, doc: str = "id", size: int = 10, pages: int = 10) -> DataFrame:
     """The first ``pages`` result pages per query with rank, page number and the number of all hits."""
+    hits = stage(hits, "hits")
     order = [F.desc("phrase_count"), F.desc("hit_count"), F.desc(doc)]
     best = top_by(hits, ["query"], order, size * pages)
     total = hits.groupBy("query").agg(F.count(F.lit(1)).alias("n_hits"))

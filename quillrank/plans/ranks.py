@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from quillrank.session import cut
+from quillrank.session import cut, stage
 
 BUCKETS = 256
 _STEP = 16
@@ -31,22 +31,25 @@ def range_bucket(df: DataFrame, value: str, name: str = "bucket", buckets: int =
     return out.drop("__bounds", "__stretch")
 
 
-def running_below(df: DataFrame, value: str, sums: list[str], buckets: int = BUCKETS) -> DataFrame:
-    """For a table with one row per ``value``: add ``<sum>_below``, the total of each sum over smaller values.
+def running_below(
+    df: DataFrame, value: str, sums: list[str], group: list[str] = [], buckets: int = BUCKETS
+) -> DataFrame:
+    """For a table with one row per (group, value): add ``<sum>_below``, the total over smaller values of the group.
 
-    Rows are summed inside range buckets; the at most ``buckets`` bucket totals are accumulated and broadcast.
+    Rows are summed inside range buckets; the at most ``buckets`` bucket totals of a group are accumulated and joined
+    back, by broadcast where there is no group. The table is read three times and so is staged.
     """
-    cut_up = range_bucket(df, value, "__bucket", buckets)
-    totals = cut_up.groupBy("__bucket").agg(*[F.sum(s).alias(f"__{s}") for s in sums])
-    before = W.orderBy("__bucket").rowsBetween(W.unboundedPreceding, -1)
+    cut_up = range_bucket(stage(df, "by_value"), value, "__bucket", buckets)
+    totals = cut_up.groupBy(*group, "__bucket").agg(*[F.sum(s).alias(f"__{s}") for s in sums])
+    before = W.partitionBy(*group).orderBy("__bucket").rowsBetween(W.unboundedPreceding, -1)
     offsets = totals.select(
-        "__bucket", *[F.coalesce(F.sum(f"__{s}").over(before), F.lit(0)).alias(f"__{s}_before") for s in sums]
+        *group, "__bucket", *[F.coalesce(F.sum(f"__{s}").over(before), F.lit(0)).alias(f"__{s}_before") for s in sums]
     )
-    inside = W.partitionBy("__bucket").orderBy(value).rowsBetween(W.unboundedPreceding, -1)
+    inside = W.partitionBy(*group, "__bucket").orderBy(value).rowsBetween(W.unboundedPreceding, -1)
     partial = cut_up
     for s in sums:
         partial = partial.withColumn(f"__{s}_in", F.coalesce(F.sum(s).over(inside), F.lit(0)))
-    joined = partial.join(F.broadcast(offsets), "__bucket")
+    joined = partial.join(offsets if group else F.broadcast(offsets), [*group, "__bucket"])
     for s in sums:
         joined = joined.withColumn(f"{s}_below", F.col(f"__{s}_before") + F.col(f"__{s}_in"))
     drop = ["__bucket", *[f"__{s}_in" for s in sums], *[f"__{s}_before" for s in sums]]

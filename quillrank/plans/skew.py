@@ -38,30 +38,38 @@ def spread_join(
     weight: str = "cnt",
     salts: int = 32,
     small: int = SMALL,
+    salt: Column | None = None,
 ) -> DataFrame:
-    """Join ``left`` to ``right`` (one row per key) without a task that holds all rows of a frequent key.
+    """Join ``left`` to the smaller ``right`` without a task that holds all rows of a frequent key.
 
-    ``right`` is staged and counted. Up to ``small`` rows it is broadcast. Beyond that the HEAVY most frequent left
-    keys are split over ``salts``: at most HEAVY keys are broadcast and only their right rows are repeated.
-    ``weights`` holds the left row count per key where a stage before has it already. Left rows must not be copies of
-    each other, because the salt is a hash of the row and so stays the same when a task is run again.
+    ``right`` is staged and counted. Up to ``small`` rows it is broadcast. Beyond that ``left`` is salted and ``right``
+    repeated: where ``weights`` gives the left row count per key, for the HEAVY most frequent keys only (at most HEAVY
+    keys are broadcast), else for all keys with a quarter of the salts, which spares a pass over ``left``.
+    ``salt`` is a number that comes out the same when a task is run again; the default, a hash of the row, needs left
+    rows that are not copies of each other.
     """
     right = stage(right, f"right_by_{key}")
     if right.count() <= small:
         return left.join(F.broadcast(right), key, how)
     if weights is None:
-        weights = left.groupBy(key).agg(F.count(F.lit(1)).alias(weight))
-    hot = heavy_keys(weights, key, weight)
-    return salted(left, hot, key, salts).join(repeated(right, hot, key, salts), [key, "__salt"], how).drop("__salt")
+        few = max(salts // 4, 1)
+        number = F.xxhash64(*left.columns) if salt is None else salt
+        many = left.withColumn("__salt", F.pmod(number, F.lit(few)).cast("int"))
+        one = right.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(few - 1))))
+    else:
+        hot = heavy_keys(weights, key, weight)
+        many, one = salted(left, hot, key, salts, salt), repeated(right, hot, key, salts)
+    return many.join(one, [key, "__salt"], how).drop("__salt")
 
 
 def heavy_keys(weights: DataFrame, key: str, weight: str) -> DataFrame:
     return weights.orderBy(F.desc(weight), key).limit(HEAVY).select(key, F.lit(True).alias("__hot"))
 
 
-def salted(many: DataFrame, hot: DataFrame, key: str, salts: int) -> DataFrame:
-    """Add ``__salt``: a hash of the row for the hot keys, 0 for the others."""
-    spread = F.pmod(F.xxhash64(*many.columns), F.lit(salts)).cast("int")
+def salted(many: DataFrame, hot: DataFrame, key: str, salts: int, salt: Column | None = None) -> DataFrame:
+    """Add ``__salt``: by default a hash of the row for the hot keys, 0 for the others."""
+    number = F.xxhash64(*many.columns) if salt is None else salt
+    spread = F.pmod(number, F.lit(salts)).cast("int")
     marked = many.join(F.broadcast(hot), key, "left")
     return marked.withColumn("__salt", F.when(F.col("__hot"), spread).otherwise(F.lit(0))).drop("__hot")
 

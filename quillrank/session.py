@@ -82,3 +82,10 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     table = df.sparkSession.read.schema(df.schema).parquet(path)
     table._staged = True
     return table
+
+
+def renamed(table: DataFrame, names: dict[str, str]) -> DataFrame:
+    """A staged table under other column names; it counts as staged still."""
+    out = table.withColumnsRenamed(names)
+    out._staged = getattr(table, "_staged", False)
+    return out
