@@ -151,17 +151,20 @@ CATEGORIES = ["l_linestatus", "l_linenumber", "l_discount_band"]
 
 
 def banded(t: Tables):
+    band = F.floor(F.col("l_discount") * 100 / 4).cast("bigint")
+    # The numbers of a line do not identify it; with its categories the id is unique among distinct rows.
     return t.lineitem.select(
-        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("id"),
+        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_linestatus", band).alias("id"),
         "l_linestatus",
         "l_linenumber",
-        F.floor(F.col("l_discount") * 100 / 4).cast("bigint").alias("l_discount_band"),
+        band.alias("l_discount_band"),
         F.col("l_returnflag").alias("label"),
     )
 
 
 BAYES = """
-b AS (SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS id, l_linestatus, l_linenumber,
+b AS (SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, l_linestatus,
+                       CAST(floor(l_discount * 100 / 4) AS BIGINT)) AS id, l_linestatus, l_linenumber,
              CAST(floor(l_discount * 100 / 4) AS BIGINT) AS l_discount_band, l_returnflag AS label FROM lineitem),
 flat AS (SELECT id, label, 'l_linestatus' AS feature, l_linestatus AS value FROM b
          UNION ALL SELECT id, label, 'l_linenumber', CAST(l_linenumber AS VARCHAR) FROM b

@@ -8,8 +8,9 @@ from quillrank.session import stage
 
 # After the largest HEAVY keys are set apart, no other key holds more than 1/HEAVY of the rows.
 HEAVY = 1000
-# A join side of at most this many rows, counted, is broadcast.
-SMALL = 200_000
+# A join side is broadcast up to this many rows and this many bytes, both measured.
+SMALL_ROWS = 200_000
+SMALL_BYTES = 64 << 20
 
 
 def keep_by_count(df: DataFrame, key: str, keep: Column, over: Column, carry: str | None = None) -> DataFrame:
@@ -37,19 +38,18 @@ def spread_join(
     weights: DataFrame | None = None,
     weight: str = "cnt",
     salts: int = 32,
-    small: int = SMALL,
     salt: Column | None = None,
 ) -> DataFrame:
     """Join ``left`` to the smaller ``right`` without a task that holds all rows of a frequent key.
 
-    ``right`` is staged and counted. Up to ``small`` rows it is broadcast. Beyond that ``left`` is salted and ``right``
+    ``right`` is staged and measured, and broadcast where ``is_small``. Beyond that ``left`` is salted and ``right``
     repeated: where ``weights`` gives the left row count per key, for the HEAVY most frequent keys only (at most HEAVY
     keys are broadcast), else for all keys with a quarter of the salts, which spares a pass over ``left``.
     ``salt`` is a number that comes out the same when a task is run again; the default, a hash of the row, needs left
     rows that are not copies of each other.
     """
     right = stage(right, f"right_by_{key}")
-    if right.count() <= small:
+    if is_small(right):
         return left.join(F.broadcast(right), key, how)
     if weights is None:
         few = max(salts // 4, 1)
@@ -62,6 +62,13 @@ def spread_join(
     return many.join(one, [key, "__salt"], how).drop("__salt")
 
 
+def is_small(table: DataFrame) -> bool:
+    """At most SMALL_ROWS rows with at most SMALL_BYTES of text form; reads no more than that many rows."""
+    size = F.sum(F.length(F.to_json(F.struct(*table.columns))))
+    row = table.limit(SMALL_ROWS + 1).agg(F.count(F.lit(1)).alias("n"), F.coalesce(size, F.lit(0)).alias("size")).first()
+    return row["n"] <= SMALL_ROWS and row["size"] <= SMALL_BYTES
+
+
 def heavy_keys(weights: DataFrame, key: str, weight: str) -> DataFrame:
     return weights.orderBy(F.desc(weight), key).limit(HEAVY).select(key, F.lit(True).alias("__hot"))
 

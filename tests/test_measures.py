@@ -133,10 +133,58 @@ def test_running_below_and_row_number(spark):
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_spread_join_equals_a_plain_join(spark, rows, how):
+@pytest.mark.parametrize("way", ["broadcast", "weighted", "uniform", "numbered"])
+def test_spread_join_equals_a_plain_join(spark, rows, how, way, monkeypatch):
     left = spark.range(3000).select("id", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 1500).alias("k"))
     right = spark.range(0, 1500, 2).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
-    assert rows(skew.spread_join(left, right, "k", how)) == rows(left.join(right, "k", how))
+    if way != "broadcast":
+        monkeypatch.setattr(skew, "SMALL_ROWS", 10)
+        monkeypatch.setattr(skew, "HEAVY", 7)
+    more = {}
+    if way == "weighted":
+        more["weights"] = left.groupBy("k").agg(F.count(F.lit(1)).alias("cnt"))
+    if way == "numbered":
+        more["salt"] = F.monotonically_increasing_id()
+    joined = skew.spread_join(left, right, "k", how, **more)
+    assert rows(joined) == rows(left.join(right, "k", how))
+
+
+def test_a_hot_key_is_spread_over_partitions(spark, monkeypatch):
+    monkeypatch.setattr(skew, "SMALL_ROWS", 10)
+    left = spark.range(9000).select("id", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"))
+    hot = skew.heavy_keys(left.groupBy("k").agg(F.count(F.lit(1)).alias("cnt")), "k", "cnt")
+    per_salt = skew.salted(left, hot, "k", 32).filter("k = 0").groupBy("__salt").count().collect()
+    assert len(per_salt) == 32 and max(r["count"] for r in per_salt) < 200
+
+
+def test_running_below_within_groups(spark):
+    rnd = random.Random(8)
+    data = {(g, round(rnd.random(), 2)): rnd.randint(1, 5) for g in "aab" for _ in range(300)}
+    df = spark.createDataFrame([(g, v, n) for (g, v), n in data.items()], "g string, value double, n int")
+    for r in ranks.running_below(df, "value", ["n"], ["g"], buckets=32).collect():
+        assert r.n_below == sum(n for (g, v), n in data.items() if g == r.g and v < r.value)
+
+
+def test_shares_and_ranks(spark, rows):
+    df = spark.createDataFrame([("g", "x", 2), ("g", "x", 1), ("g", "y", 3), ("g", "z", 4), ("h", "x", 5)], "g string, k string, v int")
+    got = {(r.g, r.k): (r.amount, round(r.share, 3), r["rank"]) for r in X.shares(df, "k", "g", "v").collect()}
+    assert got == {("g", "x"): (3, 0.3, 2), ("g", "y"): (3, 0.3, 2), ("g", "z"): (4, 0.4, 1), ("h", "x"): (5, 1.0, 1)}
+
+
+SALTED = [
+    "action_matrix", "recommend_items", "association_diverse", "tfidf", "pagerank", "label_transfer", "count_encode",
+    "naive_bayes_predict", "anomaly_scores", "pooled_embeddings", "q_update", "skip_above", "share_rank",
+]
+
+
+@pytest.mark.parametrize("name", SALTED)
+def test_queries_agree_on_the_salted_way(spark, name, monkeypatch):
+    from compare import compare, duck
+
+    monkeypatch.setattr(skew, "SMALL_ROWS", 0)
+    monkeypatch.setattr(skew, "HEAVY", 5)
+    folder = "/root/testdata/sf0.001"
+    assert compare(spark, duck(folder), folder, name, empty_ok=True) is None
 
 
 def test_frequency_bins_hold_equal_shares(spark):
