@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from quillrank.catalog import stand_ins as S
 from quillrank.catalog.base import Tables, query, rounded
 from quillrank.operators import actions as A, corpus as C, recommend as R, rules as U
+from quillrank.session import stage
 
 HOT_MIN = 5
 ROUND = ", ".join(f"round({c}, 6) AS {c}" for c in ("confidence", "max_conf", "min_conf", "lift", "kulc", "ir"))
@@ -82,9 +83,14 @@ def association_metrics(t: Tables):
     return rounded(U.association_metrics(U.pair_counts(matrix, 2, 4), matrix))
 
 
-def diverse_rules(t: Tables):
-    matrix = U.bool_matrix(S.baskets(t), S.actions(t), S.LAST_DAY)
-    return U.diversify_rules(U.mine_rules(matrix), S.info(t))
+def prepared(t: Tables):
+    """The action table and the item table, which all steps of a daily run read."""
+    return stage(S.actions(t), "actions"), stage(S.info(t), "item_info")
+
+
+def diverse_rules(t: Tables, acts, info):
+    matrix = U.bool_matrix(S.baskets(t), acts, S.LAST_DAY)
+    return U.diversify_rules(U.mine_rules(matrix), info)
 
 
 DIVERSE = f"{S.BOOL_MATRIX_SQL}, {S.filters_sql()}, {S.pairs_sql()}, {S.RULES_SQL}, {S.INFO_SQL}, {S.DIVERSE_SQL}"
@@ -96,20 +102,20 @@ DIVERSE = f"{S.BOOL_MATRIX_SQL}, {S.filters_sql()}, {S.pairs_sql()}, {S.RULES_SQ
     debug_info, singer_prior, singer_posterior FROM diverse""",
 )
 def association_diverse(t: Tables):
-    return rounded(diverse_rules(t))
+    return rounded(diverse_rules(t, *prepared(t)))
 
 
-def user_priors(t: Tables):
-    return R.candidate_priors(S.actions(t), S.LAST_DAY, S.info(t), high=300_000)
+def user_priors(acts, info):
+    return R.candidate_priors(acts, S.LAST_DAY, info, high=300_000)
 
 
 @query("candidate_priors", f"WITH {S.ACTIONS_SQL}, {S.INFO_SQL}, {S.PRIORS_SQL} SELECT * FROM priors")
 def candidate_priors(t: Tables):
-    return user_priors(t)
+    return user_priors(*prepared(t))
 
 
-def reclist(t: Tables):
-    return R.recommend(user_priors(t), diverse_rules(t))
+def reclist(t: Tables, acts, info):
+    return R.recommend(user_priors(acts, info), diverse_rules(t, acts, info))
 
 
 RECLIST = f"{DIVERSE}, {S.PRIORS_SQL}, {S.RECLIST_SQL}"
@@ -117,7 +123,7 @@ RECLIST = f"{DIVERSE}, {S.PRIORS_SQL}, {S.RECLIST_SQL}"
 
 @query("recommend_items", f"WITH {RECLIST} SELECT * FROM reclist")
 def recommend_items(t: Tables):
-    return reclist(t)
+    return reclist(t, *prepared(t))
 
 
 DEFAULT_SQL = f"""
@@ -132,18 +138,19 @@ defaults AS (
   ORDER BY {S.hash_unit_sql('item_id', 7)}, item_id LIMIT 300)"""
 
 
-def defaults(t: Tables):
-    return R.default_list(S.actions(t), S.info(t), S.LAST_DAY, HOT_MIN, excluded_singer="BRAND#13", seed=7)
+def defaults(acts, info):
+    return R.default_list(acts, info, S.LAST_DAY, HOT_MIN, excluded_singer="BRAND#13", seed=7)
 
 
 @query("default_list", f"WITH {S.ACTIONS_SQL}, {S.INFO_SQL}, {DEFAULT_SQL} SELECT * FROM defaults")
 def default_list(t: Tables):
-    return defaults(t)
+    return defaults(*prepared(t))
 
 
 @query("list_with_default", f"WITH {RECLIST}, {DEFAULT_SQL} SELECT * FROM defaults UNION ALL SELECT * FROM reclist")
 def list_with_default(t: Tables):
-    return R.list_with_default(defaults(t), reclist(t))
+    acts, info = prepared(t)
+    return R.list_with_default(defaults(acts, info), reclist(t, acts, info))
 
 
 @query(
@@ -170,8 +177,9 @@ def random_hot(t: Tables):
     FROM numbered WHERE rank2 <= 300 GROUP BY 1""",
 )
 def reclist_packed(t: Tables):
-    hot = R.random_hot(S.actions(t), S.LAST_DAY, seed=7)
-    return R.fill_and_pack(reclist(t), hot, "rules_001_", defaults=defaults(t))
+    acts, info = prepared(t)
+    hot = R.random_hot(acts, S.LAST_DAY, seed=7)
+    return R.fill_and_pack(reclist(t, acts, info), hot, "rules_001_", defaults=defaults(acts, info))
 
 
 @query(

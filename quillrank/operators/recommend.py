@@ -9,6 +9,7 @@ from quillrank.functions import hash_unit
 from quillrank.operators.actions import in_window, numbered_plays
 from quillrank.plans.ranks import global_row_number, top_by, top_rows
 from quillrank.plans.skew import spread_join
+from quillrank.session import view
 
 
 def candidate_priors(
@@ -27,7 +28,7 @@ def candidate_priors(
     if info is None:
         return best.select("user_id", "item_id", "prior")
     text = [F.nvl(c, F.lit("")) for c in ("song_id", "song_name", "singer_id", "singer_name")]
-    described = spread_join(best, info.withColumn("item_id", F.col("song_id")), "item_id", "left")
+    described = spread_join(best, view(info, "*", F.col("song_id").alias("item_id")), "item_id", "left")
     return described.select("user_id", "item_id", "prior", F.concat_ws("|", *text).alias("debug_info"))
 
 
@@ -84,7 +85,8 @@ def default_list(
     The rank counts from the least hot title and is taken over all hot titles before the draw.
     """
     per_item = in_window(actions, date).groupBy("item_id").agg(F.count(F.lit(1)).alias("n"))
-    named = per_item.join(info.filter(F.col("singer_name") != excluded_singer), F.col("item_id") == F.col("song_id"))
+    allowed = info.filter(F.col("singer_name") != excluded_singer)
+    named = per_item.join(allowed, F.col("item_id") == F.col("song_id"))
     titles = named.groupBy("song_name").agg(
         F.max("song_id").alias("item_id"), F.max("singer_id").alias("singer_id"), F.sum("n").alias("hot")
     )

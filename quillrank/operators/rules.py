@@ -9,7 +9,7 @@ from quillrank.functions import differs_or_unknown
 from quillrank.operators.actions import in_window
 from quillrank.plans.ranks import global_row_number, top_by
 from quillrank.plans.skew import keep_by_count, spread_join
-from quillrank.session import renamed, stage
+from quillrank.session import stage, view
 
 
 def bool_matrix(baskets: DataFrame, actions: DataFrame, date: str, days: int = X.ACTION_DAYS) -> DataFrame:
@@ -159,11 +159,15 @@ def diversify_rules(rules: DataFrame, info: DataFrame) -> DataFrame:
     The best posterior of a singer is picked before the other two rules, so it is not replaced when they drop it.
     All posteriors of unknown singer count as one singer.
     """
-    known = info.select("song_id", F.struct("song_id", "song_name", "singer_id", "singer_name").alias("s"))
-    known = stage(known, "item_info")
+    info = stage(info, "item_info")
+    about = F.struct("song_id", "song_name", "singer_id", "singer_name")
+
+    def of(key: str, name: str) -> DataFrame:
+        return view(info, F.col("song_id").alias(key), about.alias(name))
+
     # A popular item is the posterior of very many priors.
-    joined = spread_join(rules, renamed(known, {"song_id": "item_prior", "s": "p"}), "item_prior", "left")
-    joined = spread_join(joined, renamed(known, {"song_id": "item_posterior", "s": "q"}), "item_posterior", "left")
+    joined = spread_join(rules, of("item_prior", "p"), "item_prior", "left")
+    joined = spread_join(joined, of("item_posterior", "q"), "item_posterior", "left")
     described = joined.select(
         *rules.columns,
         F.concat(_label("p"), F.lit(","), _label("q")).alias("debug_info"),

@@ -84,8 +84,8 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return table
 
 
-def renamed(table: DataFrame, names: dict[str, str]) -> DataFrame:
-    """A staged table under other column names; it counts as staged still."""
-    out = table.withColumnsRenamed(names)
+def view(table: DataFrame, *columns) -> DataFrame:
+    """Columns of a staged table; the result counts as staged still."""
+    out = table.select(*columns)
     out._staged = getattr(table, "_staged", False)
     return out
