@@ -51,7 +51,7 @@ def hashed_features(t: Tables):
 
 
 def wide_deep(t: Tables):
-    model = M.WideDeep(slots(t), buckets=1024, iterations=10, hidden=(16, 8))
+    model = M.WideDeep(slots(t), iterations=10, hidden=(16, 8))
     prepared = model.prepare(training(t))
     return model.fit(prepared).predict(prepared)
 

@@ -223,8 +223,8 @@ def hot_queries(t: Tables):
 @query(
     "suggestions",
     f"""WITH {LOG}, c AS (SELECT p_name, count(*) AS n FROM log GROUP BY 1),
-    p AS (SELECT substr(p_name, 1, CAST(i AS BIGINT)) AS prefix, p_name, n FROM c, range(1, 21) g(i)
-          WHERE i <= length(p_name))
+    p AS (SELECT substr(p_name, 1, CAST(i AS BIGINT)) AS prefix, p_name, n
+          FROM (SELECT *, unnest(range(1, length(p_name) + 1)) AS i FROM c))
     SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY prefix ORDER BY n DESC, p_name) AS rank FROM p)
     WHERE rank <= 5""",
 )
@@ -393,13 +393,13 @@ def dirichlet(t: Tables):
 @query("lda_doc_topics")
 def lda_doc_topics(t: Tables):
     docs = texts(t).select("doc_id", tokens("text").alias("words"))
-    return V.doc_topics(V.fit_topics(docs, "words", k=4, iterations=5, min_df=5, vocabulary=2000), docs, "doc_id")
+    return V.doc_topics(V.fit_topics(docs, "words", k=4, iterations=5, min_df=5), docs, "doc_id")
 
 
 @query("lda_topic_words")
 def lda_topic_words(t: Tables):
     docs = texts(t).select("doc_id", tokens("text").alias("words"))
-    return V.topic_words(V.fit_topics(docs, "words", k=4, iterations=5, min_df=5, vocabulary=2000), 10)
+    return V.topic_words(V.fit_topics(docs, "words", k=4, iterations=5, min_df=5), 10)
 
 
 @query("word2vec_neighbours")
@@ -417,5 +417,5 @@ def bag_of_words_components(t: Tables):
     from pyspark.ml.functions import vector_to_array
 
     docs = texts(t).select("doc_id", tokens("text").alias("words"))
-    parts = V.count_embedding(docs, "words", 4, vocabulary=256)
+    parts = V.count_embedding(docs, "words", 4)
     return parts.select("doc_id", vector_to_array("components").alias("components"), doubles(F.array(F.size("words"))).alias("n"))

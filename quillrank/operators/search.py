@@ -258,15 +258,14 @@ def hot_queries(log: DataFrame, query: str, k: int) -> DataFrame:
     return top_rows(counted, [F.desc("n"), F.asc(query)], k)
 
 
-def suggestions(log: DataFrame, query: str, k: int, longest: int = 20) -> DataFrame:
-    """The ``k`` most frequent queries for every prefix of up to ``longest`` characters.
+def suggestions(log: DataFrame, query: str, k: int) -> DataFrame:
+    """The ``k`` most frequent queries for every prefix of a query.
 
     Queries are counted before their prefixes are spelled out.
     """
     counted = log.groupBy(query).agg(F.count(F.lit(1)).alias("n"))
-    length = F.least(F.length(query), F.lit(longest))
     prefixes = counted.filter(F.length(query) > 0).select(
-        F.explode(F.transform(F.sequence(F.lit(1), length), lambda i: F.substring(F.col(query), F.lit(1), i))).alias("prefix"),
+        F.explode(F.transform(F.sequence(F.lit(1), F.length(query)), lambda i: F.substring(F.col(query), F.lit(1), i))).alias("prefix"),
         query,
         "n",
     )
