@@ -404,8 +404,8 @@ def lda_topic_words(t: Tables):
 
 @query("word2vec_neighbours")
 def word2vec_neighbours(t: Tables):
-    corpus = C.basket_corpus(S.actions(t), ms=30_000).select(F.split("list", " ").alias("words"))
-    vectors = stage(V.word_vectors(V.fit_word2vec(corpus, "words", size=16, maxIter=3)), "word_vectors")
+    corpus = C.basket_corpus(S.actions(t), low=2, ms=0).select(F.split("list", " ").alias("words"))
+    vectors = stage(V.word_vectors(V.fit_word2vec(corpus, "words", size=16, min_count=2, maxIter=3)), "word_vectors")
     numbered = vectors.select(F.col("word").cast("bigint").alias("vec_id"), "embedding")
     # The items of the catalogue are the queries; a larger catalogue is refused and goes in several calls.
     queries = numbered.withColumnRenamed("vec_id", "query_id")
