@@ -78,14 +78,20 @@ def _prob(model_out: DataFrame, name: str) -> DataFrame:
     return model_out.withColumn(name, p).drop("probability", "rawPrediction", "prediction")
 
 
-def fit_wide(train: DataFrame, features: str = "wide", label: str = "label", reg: float = 0.01, mix: float = 0.5, iterations: int = 20):
+def fit_wide(
+    train: DataFrame, features: str = "wide", label: str = "label", reg: float = 0.01, mix: float = 0.5,
+    iterations: int = 20,
+):
     """Linear click model with L1 and L2."""
     return LogisticRegression(
         featuresCol=features, labelCol=label, regParam=reg, elasticNetParam=mix, maxIter=iterations
     ).fit(train)
 
 
-def fit_deep(train: DataFrame, inputs: int, features: str = "deep", label: str = "label", hidden=(64, 16), iterations: int = 20, seed: int = 0):
+def fit_deep(
+    train: DataFrame, inputs: int, features: str = "deep", label: str = "label", hidden=(64, 16),
+    iterations: int = 20, seed: int = 0,
+):
     """Two hidden layers over pooled embeddings."""
     return MultilayerPerceptronClassifier(
         featuresCol=features, labelCol=label, layers=[inputs, *hidden, 2], maxIter=iterations, seed=seed
