@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quillrank import session
 from quillrank.catalog.base import Tables
-from quillrank.llm import chat, quality_rules
+from quillrank.llm import chat, minhash, quality_rules, spans
 from quillrank.llm.common import prepared
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -105,3 +105,49 @@ def op10_chat_format(t: Tables) -> DataFrame:
     )
     parts = rows.unionByName(extra).withColumn("parts", chat.text_parts(F.col("text")))
     return chat.digest(chat.record(parts))
+
+
+NEAR_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 4), ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM d WHERE len(w) > 0)
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), sets AS (
+  SELECT doc_id, n, min(doc_id) OVER (PARTITION BY h) AS rep
+  FROM (SELECT doc_id, count(*) AS n, md5(string_agg(g, chr(10) ORDER BY g)) AS h FROM s GROUP BY doc_id)
+), reps AS (
+  SELECT s.doc_id, g, n FROM s JOIN sets USING (doc_id) WHERE rep = doc_id
+), links AS (
+  SELECT x.doc_id AS a, y.doc_id AS b FROM reps x JOIN reps y ON x.g = y.g AND x.doc_id <> y.doc_id
+  GROUP BY x.doc_id, y.doc_id, x.n, y.n HAVING count(*) * 100 >= 85 * (x.n + y.n - count(*))
+), reach AS (
+  SELECT DISTINCT rep AS node, rep AS root FROM sets
+  UNION
+  SELECT l.b, r.root FROM reach r JOIN links l ON l.a = r.node
+), comp AS (
+  SELECT node, min(root) AS component FROM reach GROUP BY node
+)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, coalesce(rep, d.doc_id) AS class_id,
+  coalesce(component, d.doc_id) AS component_id, d.doc_id = coalesce(component, d.doc_id) AS kept
+FROM d LEFT JOIN sets USING (doc_id) LEFT JOIN comp ON node = rep
+"""
+
+
+@query("op3_minhash_odd_sketch", NEAR_SQL)
+def op3_minhash_odd_sketch(t: Tables) -> DataFrame:
+    return minhash.near_duplicates(t.documents)
+
+
+@query("op4_sentence_spans")
+def op4_sentence_spans(t: Tables) -> DataFrame:
+    done = spans.without_repeats(t.documents.select("doc_id", "text"))
+    return done.select(
+        "doc_id",
+        F.coalesce("text", F.lit("")).alias("text"),
+        F.col("__sentences").alias("n_sentences"),
+        F.col("__removed").alias("n_removed"),
+    )
