@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quillrank import session
 from quillrank.catalog.base import Tables
-from quillrank.llm import chat, minhash, quality_rules, spans
+from quillrank.llm import chat, kneser_ney, minhash, packing, quality_rules, spans
 from quillrank.llm.common import prepared
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -151,3 +151,21 @@ def op4_sentence_spans(t: Tables) -> DataFrame:
         F.col("__sentences").alias("n_sentences"),
         F.col("__removed").alias("n_removed"),
     )
+
+
+@query("op5_kneser_ney")
+def op5_kneser_ney(t: Tables) -> DataFrame:
+    return kneser_ney.classify(t.documents, t.labels)
+
+
+def tokenizer(name: str) -> str:
+    """A file of the public tokenizers, on the driver and on every worker in the same place."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query("op9_best_fit_packing")
+def op9_best_fit_packing(t: Tables) -> DataFrame:
+    table = packing.pieces(t.documents, tokenizer("byte_bpe_50k.json"))
+    return packing.digest(packing.best_fit(table.drop("ids")))
