@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quillrank import session
 from quillrank.catalog.base import Tables
-from quillrank.llm import chat, huffman, kneser_ney, minhash, packing, quality_rules, spans
+from quillrank.llm import chat, huffman, kneser_ney, minhash, packing, quality_rules, spans, toxicity
 from quillrank.llm.common import prepared
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -176,3 +176,8 @@ def op8_huffman_ids(t: Tables) -> DataFrame:
     path = session.run_dir(t.spark, "huffman")
     huffman.write(huffman.tokenized(t.documents, tokenizer("word_bpe_49k.json")), path)
     return huffman.read(t.spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query("op6_factorization_machine")
+def op6_factorization_machine(t: Tables) -> DataFrame:
+    return toxicity.score(t.documents, t.labels)
