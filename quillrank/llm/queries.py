@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quillrank import session
 from quillrank.catalog.base import Tables
-from quillrank.llm import chat, huffman, kneser_ney, minhash, packing, quality_rules, spans, toxicity
+from quillrank.llm import chat, huffman, kneser_ney, latent, minhash, packing, quality_rules, spans, toxicity
 from quillrank.llm.common import prepared
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -181,3 +181,11 @@ def op8_huffman_ids(t: Tables) -> DataFrame:
 @query("op6_factorization_machine")
 def op6_factorization_machine(t: Tables) -> DataFrame:
     return toxicity.score(t.documents, t.labels)
+
+
+@query("op2_latent_decontamination")
+def op2_latent_decontamination(t: Tables) -> DataFrame:
+    found = latent.contaminated(t.documents, t.benchmark)
+    return found.select(
+        "doc_id", "contaminated", (~F.col("contaminated")).alias("kept"), F.col("hits.item_id").alias("item_ids")
+    )
