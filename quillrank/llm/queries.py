@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quillrank import session
 from quillrank.catalog.base import Tables
-from quillrank.llm import chat, huffman, kneser_ney, latent, minhash, packing, quality_rules, spans, toxicity
+from quillrank.llm import chat, extraction, huffman, kneser_ney, latent, minhash, packing, quality_rules, spans, toxicity
 from quillrank.llm.common import prepared
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -189,3 +189,8 @@ def op2_latent_decontamination(t: Tables) -> DataFrame:
     return found.select(
         "doc_id", "contaminated", (~F.col("contaminated")).alias("kept"), F.col("hits.item_id").alias("item_ids")
     )
+
+
+@query("op7_boosted_extraction")
+def op7_boosted_extraction(t: Tables) -> DataFrame:
+    return extraction.extract(t.pages)
