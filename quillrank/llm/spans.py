@@ -6,8 +6,8 @@ without punctuation. From every sentence the shortest run of at least two senten
 (lower case, white space collapsed), and so is the shortest such run that ends there. Hashes are joined globally; the
 first place of a run is the smallest (doc_id, sentence). Sentences covered by any other place of it go.
 
-Only (hash, doc_id, first, last) rows are shuffled for the search; a hash that holds a third of all rows is reduced to
-its first place by a partial aggregate, and its places meet that one row in a join that splits skewed partitions.
+Only (hash, doc_id, place) rows are shuffled for the search; a hash that holds a third of all rows is counted and reduced
+to its first place by partial aggregates, and its places meet that one row in a join that splits skewed partitions.
 
 Defined cases: null texts count as empty and come out empty; a text with no repeated run comes out as it is, to the last
 character; rows that share a key are taken as one document: their equal places are all first ones; a run repeated inside
@@ -26,6 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from quillrank.llm.common import documents
+from quillrank.plans.skew import spread_join
 from quillrank.session import stage
 
 MIN_WORDS = 20
@@ -51,8 +52,8 @@ def sentences(text: str) -> list[int]:
     return ends
 
 
-def runs(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """hash, first and last sentence of every run of a text."""
+def runs(text: str, backward: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """hash, first and last sentence of the shortest run from every sentence on, or up to every sentence."""
     ends = sentences(text)
     n = len(ends)
     parts = [text[a:b].lower().split() for a, b in zip([0, *ends], ends)]
@@ -67,41 +68,52 @@ def runs(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         power.append((power[-1] * _PRIME) & 0xFFFFFFFFFFFFFFFF)
     prefix, power = np.array(prefix, dtype=np.uint64), np.array(power, dtype=np.uint64)
     at = np.arange(n)
-    stop = np.maximum(np.searchsorted(size, size[:-1] + MIN_WORDS), at + 2)
-    start = np.minimum(np.searchsorted(size, size[1:] - MIN_WORDS, side="right") - 1, at - 1)
-    ok, back = stop <= n, (start >= 0) & (size[1:] >= MIN_WORDS)
-    first = np.concatenate([at[ok], start[back]])
-    last = np.concatenate([stop[ok], at[back] + 1])
-    first, last = np.unique(np.stack([first, last]), axis=1) if len(first) else (first, last)
+    if backward:
+        first, last = np.minimum(np.searchsorted(size, size[1:] - MIN_WORDS, side="right") - 1, at - 1), at + 1
+    else:
+        first, last = at, np.maximum(np.searchsorted(size, size[:-1] + MIN_WORDS), at + 2)
+    whole = (first >= 0) & (last <= n)
+    first, last = first[whole], last[whole]
     with np.errstate(over="ignore"):
         value = prefix[last] - prefix[first] * power[last - first]
     return value, first.astype(np.int32), (last - 1).astype(np.int32)
 
 
-def _run_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        found = [(i, *runs(t)) for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
-        keys = pa.array([i for i, h, _, _ in found for _ in range(len(h))], pa.int64())
-        hashes, first, last = (np.concatenate([f[k] for f in found]) if found else np.empty(0) for k in (1, 2, 3))
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(hashes.astype(np.uint64).view(np.int64)),
-                keys,
-                pa.array(first.astype(np.int32)),
-                pa.array(last.astype(np.int32)),
-            ],
-            ["h", "doc_id", "first", "last"],
-        )
+def _run_rows(backward: bool):
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [(i, *runs(t, backward)) for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
+            keys = np.repeat(np.array([f[0] for f in found], dtype=np.int64), [len(f[1]) for f in found])
+            hashes, first, last = (np.concatenate([f[k] for f in found] or [np.empty(0)]) for k in (1, 2, 3))
+            places = first.astype(np.int64) << 32 | last.astype(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(hashes.astype(np.uint64).view(np.int64)), pa.array(keys), pa.array(places)], ["h", "doc_id", "place"]
+            )
+
+    return rows
+
+
+RUN = "h long, doc_id long, place long"
 
 
 def repeated(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, spans): per text with repeats, the spans (first, last sentence) that are not the first of their kind."""
-    found = documents(df, key, text).filter("doc_id is not null").mapInArrow(_run_rows, "h long, doc_id long, first int, last int")
-    found = stage(found, "runs")
-    places = F.struct("doc_id", "first")
-    firsts = found.groupBy("h").agg(F.min(places).alias("place"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    later = found.join(firsts, "h").filter(places != F.col("place"))
-    spans = F.array_sort(F.collect_set(F.struct("first", "last")))
+    """(doc_id, spans): per text with repeats, the spans (first, last sentence) that are not the first of their kind.
+
+    Runs that start at each sentence are searched first. A repeated run that ends at a sentence begins with a repeated
+    run of the first kind, so runs of the second kind are only needed from texts that share something.
+    """
+    docs = documents(df, key, text).filter("doc_id is not null")
+    found = stage(docs.mapInArrow(_run_rows(False), RUN), "runs")
+    often = found.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h")
+    shared = stage(found.join(often, "h"), "shared")
+    involved = shared.select("doc_id").distinct()
+    texts = spread_join(docs, involved, "doc_id", "left_semi", salt=F.col("doc_id"))
+    runs_of = stage(shared.select("h", "doc_id", "place").union(texts.mapInArrow(_run_rows(True), RUN)), "runs")
+    at = F.struct("doc_id", F.shiftright("place", 32).alias("start"))
+    firsts = runs_of.groupBy("h").agg(F.min(at).alias("at"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    later = runs_of.join(firsts, "h").filter(at != F.col("at"))
+    first, last = F.shiftright("place", 32).cast("int"), F.col("place").bitwiseAND(0xFFFFFFFF).cast("int")
+    spans = F.array_sort(F.collect_set(F.struct(first.alias("first"), last.alias("last"))))
     return later.groupBy("doc_id").agg(spans.alias("spans"))
 
 
@@ -136,7 +148,8 @@ def without_repeats(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     A null text stays null. Rows without a key are left as they are.
     """
     spans = repeated(df, key, text).select(F.col("doc_id").alias("__key"), F.col("spans").alias("__spans"))
-    joined = df.join(spans, F.col(key).cast("long") == F.col("__key"), "left")
+    keyed = df.withColumn("__key", F.col(key).cast("long"))
+    joined = spread_join(keyed, spans, "__key", "left", salt=F.xxhash64("__key"))
     others = [c for c in df.columns if c != text]
     rows = joined.select(*others, text, "__spans")
     kinds = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in others)
