@@ -27,15 +27,6 @@ class Tables:
         return self.spark.read.parquet(self.path(name))
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """Deal the rows of a plain table scan out to all cores where the file gives fewer splits than there are cores.
-
-    A large table has more splits than that and is read as it lies.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
-
-
 def query(name: str, oracle: str | None = None):
     def register(fn: Callable[[Tables], DataFrame]):
         def run(spark: SparkSession, folder: str) -> DataFrame:

@@ -30,16 +30,15 @@ def slots(t: Tables):
 
 @query(
     "pooled_embeddings",
-    """WITH l AS (SELECT l_orderkey, l_partkey % 500 AS k, l_quantity / 10 AS w FROM lineitem),
+    """WITH l AS (SELECT l_orderkey, l_partkey AS k, l_quantity / 10 AS w FROM lineitem),
     v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings)
-    SELECT l_orderkey, round(sum(w * e[1]) / sqrt(any_value(q)), 6) AS first,
-           round(sum(w * e[64]) / sqrt(any_value(q)), 6) AS last
-    FROM l JOIN v ON vec_id = k JOIN (SELECT l_orderkey AS o, sum(w * w) AS q FROM l GROUP BY 1) ON o = l_orderkey
-    GROUP BY 1""",
+    SELECT l_orderkey, round(sum(w * e[1]) / sqrt(sum(w * w)), 6) AS first,
+           round(sum(w * e[64]) / sqrt(sum(w * w)), 6) AS last
+    FROM l JOIN v ON vec_id = k GROUP BY 1""",
 )
 def pooled_embeddings(t: Tables):
     lines = t.lineitem.select(
-        "l_orderkey", (F.col("l_partkey") % 500).alias("vec_id"), (F.col("l_quantity") / 10).alias("w")
+        "l_orderkey", F.col("l_partkey").alias("vec_id"), (F.col("l_quantity") / 10).alias("w")
     )
     out = V.pooled(lines, t.embeddings, "l_orderkey", "vec_id", "w")
     return rounded(out.select("l_orderkey", F.col("pooled")[0].alias("first"), F.col("pooled")[63].alias("last")))
@@ -51,7 +50,7 @@ def hashed_features(t: Tables):
 
 
 def wide_deep(t: Tables):
-    model = M.WideDeep(slots(t), iterations=10, hidden=(16, 8))
+    model = M.WideDeep(slots(t), iterations=10)
     prepared = model.prepare(training(t))
     return model.fit(prepared).predict(prepared)
 
@@ -224,12 +223,23 @@ def arm_counts(t: Tables):
 
 @query(
     "epsilon_greedy",
-    f"""SELECT c_custkey, CASE WHEN u < 0.2::DOUBLE THEN ['a', 'b', 'c'][CAST(floor(v * 3) AS BIGINT) + 1]
-      ELSE 'best' END AS arm, CAST(u < 0.2::DOUBLE AS INTEGER) AS explored
-    FROM (SELECT c_custkey, {hash_unit_sql('c_custkey', 4)} AS u, {hash_unit_sql('c_custkey', '4a')} AS v FROM customer)""",
+    f"""WITH k AS (SELECT l_shipinstruct AS arm, sum(n) AS exposure, sum(c) AS click FROM (
+      SELECT l_returnflag || l_linestatus AS l_shipinstruct, 1 AS n, CAST(l_discount > 0.05 AS INTEGER) AS c FROM lineitem)
+      GROUP BY 1),
+    s AS (SELECT arm, (click + (SELECT sum(click) / sum(exposure) FROM k) * 100) / (exposure + 100::DOUBLE) AS r FROM k),
+    a AS (SELECT list(arm ORDER BY arm) AS arms, arg_max(arm, r) AS best FROM s)
+    SELECT c_custkey, CASE WHEN u < 0.2::DOUBLE THEN arms[CAST(floor(v * len(arms)) AS BIGINT) + 1] ELSE best END AS arm,
+      CAST(u < 0.2::DOUBLE AS INTEGER) AS explored
+    FROM a, (SELECT c_custkey, {hash_unit_sql('c_custkey', 4)} AS u, {hash_unit_sql('c_custkey', '4a')} AS v FROM customer)""",
 )
 def epsilon_greedy(t: Tables):
-    return B.epsilon_greedy(t.customer, "c_custkey", ["a", "b", "c"], "best", 0.2, seed=4)
+    """Customers get the kind of line with the best smoothed share of discounts, or a random one."""
+    shown = t.lineitem.select(
+        F.concat("l_returnflag", "l_linestatus").alias("arm"),
+        F.lit(1).alias("exposure"),
+        (F.col("l_discount") > 0.05).cast("int").alias("click"),
+    )
+    return B.greedy_by_ctr(t.customer, "c_custkey", K.item_ctr(shown, ["arm"]), "arm", 0.2, added=100, seed=4)
 
 
 @query("thompson")

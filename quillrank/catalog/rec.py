@@ -24,7 +24,7 @@ def action_matrix(t: Tables):
     SELECT action, count(*) AS n, count(DISTINCT user_id) AS users FROM actions GROUP BY 1""",
 )
 def action_matrix_by_version(t: Tables):
-    rows = A.user_item_action(S.raw_log(t), S.known_songs(t), version_order="version")
+    rows = A.user_item_action(S.raw_log(t), S.songs(t), version_order="version")
     return rows.groupBy("action").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("user_id").alias("users"))
 
 
@@ -106,7 +106,7 @@ def association_diverse(t: Tables):
 
 
 def user_priors(acts, info):
-    return R.candidate_priors(acts, S.LAST_DAY, info, high=300_000)
+    return R.candidate_priors(acts, S.LAST_DAY, info)
 
 
 @query("candidate_priors", f"WITH {S.ACTIONS_SQL}, {S.INFO_SQL}, {S.PRIORS_SQL} SELECT * FROM priors")
@@ -275,9 +275,4 @@ def bid_ranking(t: Tables):
 )
 def version_pointer(t: Tables):
     last = t.events.agg(F.date_format(F.max("ts"), "yyyyMMdd").alias("d"))
-    return last.select(
-        F.lit("rules_001").alias("versionname"),
-        F.concat(F.lit("1,"), "d", F.lit(","), "d").alias("content"),
-        F.lit(1).alias("item_type"),
-        F.lit("daily_rec").alias("scene"),
-    )
+    return R.version_pointer(last, "rules_001")

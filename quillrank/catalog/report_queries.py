@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quillrank.catalog import stand_ins as S
-from quillrank.catalog.base import Tables, query, rounded, spread
+from quillrank.catalog.base import Tables, query, rounded
 from quillrank.catalog.model_queries import training
 from quillrank.catalog.search_queries import leads
 from quillrank.functions import doubles
@@ -56,7 +56,7 @@ def pv_uv_site(t: Tables):
     SELECT doc_id, words, CAST(ceil(words / 300) AS BIGINT) AS minutes FROM w""",
 )
 def reading_time(t: Tables):
-    return V.reading_time(spread(t.documents.select("doc_id", "text")), "doc_id", "text")
+    return V.reading_time(t.documents.select("doc_id", "text"), "doc_id", "text")
 
 
 @query(
@@ -229,9 +229,8 @@ def key_value_lines(t: Tables):
 
 
 def stream_of(t: Tables, name: str):
-    """A table's files as a stream."""
-    schema = getattr(t, name).schema
-    return t.spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(t.folder)
+    """A table as a stream, whether it is one file or a folder of part files: the pattern names either."""
+    return t.spark.readStream.schema(getattr(t, name).schema).parquet(f"{t.folder}/{name}.parque[t]")
 
 
 def event_stream(t: Tables):
@@ -243,30 +242,37 @@ def stream_counts(t: Tables):
     return counters.counted(event_stream(t), "url", "hit-counts")
 
 
-LAST_CLOSED = "(SELECT max(ts) - INTERVAL 10 MINUTE FROM events)"
-
-
 @query(
     "stream_ctr",
-    f"""WITH w AS (SELECT time_bucket(INTERVAL 6 HOUR, ts) - INTERVAL 6 HOUR * i AS start, event_type
+    """WITH w AS (SELECT time_bucket(INTERVAL 6 HOUR, ts) - INTERVAL 6 HOUR * i AS start, event_type
                    FROM events, range(2) r(i) WHERE event_type IN ('view', 'click'))
     SELECT strftime(start, '%Y-%m-%d %H:%M') AS start, strftime(start + INTERVAL 12 HOUR, '%Y-%m-%d %H:%M') AS end,
            count(*) AS exposure, count(*) FILTER (event_type = 'click') AS click,
            round(count(*) FILTER (event_type = 'click') / count(*), 6) AS ctr
-    FROM w WHERE start + INTERVAL 12 HOUR <= {LAST_CLOSED} GROUP BY start""",
+    FROM w GROUP BY start""",
 )
 def stream_ctr(t: Tables):
     shown = event_stream(t).filter(F.col("event_type").isin("view", "click")).withColumn(
         "clicked", (F.col("event_type") == "click").cast("int")
     )
-    out = counters.drained(counters.window_ctr(shown, "ts", [], "clicked", "12 hours", "6 hours"), "ctr")
+    out = counters.drained(counters.window_ctr(shown, "ts", [], "clicked", "12 hours", "6 hours"), ["start", "end"], "ctr")
     clock = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm").alias(c)
     return rounded(out.select(clock("start"), clock("end"), "exposure", "click", "ctr"))
 
 
-@query("stream_views")
+@query(
+    "stream_views",
+    """SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, count(*) AS pv, true AS uv_near FROM events GROUP BY 1, 2""",
+)
 def stream_views(t: Tables):
-    return counters.drained(counters.window_views(event_stream(t), "ts", "user_id", ["event_type"], "1 day"), "views")
+    """Views per day; the approximate number of users must lie within 10 % or one of the exact one."""
+    views = counters.window_views(event_stream(t), "ts", "user_id", ["event_type"], "1 day")
+    out = counters.drained(views, ["start", "end", "event_type"], "views").withColumn("day", F.date_format("start", "yyyy-MM-dd"))
+    exact = t.events.groupBy(F.date_format("ts", "yyyy-MM-dd").alias("day"), "event_type").agg(
+        F.countDistinct("user_id").alias("users")
+    )
+    near = F.abs(F.col("uv") - F.col("users")) <= F.greatest(F.col("users") * 0.1, F.lit(1.0))
+    return out.join(exact, ["day", "event_type"]).select("day", "event_type", "pv", near.alias("uv_near"))
 
 
 @query(

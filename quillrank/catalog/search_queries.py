@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window as W, functions as F
 
 from quillrank.catalog import stand_ins as S
-from quillrank.catalog.base import Tables, query, rounded, spread
+from quillrank.catalog.base import Tables, query, rounded
 from quillrank.functions import dirichlet_mean, dirichlet_mode, doubles, tokens
 from quillrank.operators import corpus as C, recommend as R, rules as U, search as Q, vectors as V
 from quillrank.session import stage
 
 def texts(t: Tables):
-    return spread(t.documents.select("doc_id", "text"))
+    return t.documents.select("doc_id", "text")
 
 
 WORDS = ["leaux the", "hein-en", "queeaux"]
@@ -20,7 +20,7 @@ WHITE = r"[ \t\n\x0b\f\r]"
 
 def site(t: Tables):
     """pages as search entries: the title element, the raw page, the address."""
-    return spread(t.pages.select("page_id", "html", "url")).select(
+    return t.pages.select("page_id", "html", "url").select(
         F.col("page_id").alias("id"),
         F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"),
         F.col("html").alias("content"),
@@ -161,10 +161,10 @@ ROUNDS = 5
 
 def _pagerank_sql() -> str:
     head = """
-    e AS (SELECT DISTINCT l_orderkey AS user_id, l_partkey AS item_id FROM lineitem),
+    e AS (SELECT l_partkey AS src, lead(l_partkey) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey) AS dst
+          FROM lineitem),
     links AS (SELECT src, dst, w / sum(w) OVER (PARTITION BY src) AS part FROM (
-      SELECT a.item_id AS src, b.item_id AS dst, CAST(count(*) AS DOUBLE) AS w
-      FROM e a JOIN e b ON a.user_id = b.user_id AND a.item_id < b.item_id GROUP BY 1, 2)),
+      SELECT src, dst, CAST(count(*) AS DOUBLE) AS w FROM e WHERE src <> dst GROUP BY 1, 2)),
     nodes AS (SELECT DISTINCT x AS node FROM (SELECT src AS x FROM links UNION ALL SELECT dst FROM links)),
     n AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM nodes),
     r0 AS MATERIALIZED (SELECT node, 1 / n AS rank FROM nodes, n)"""
@@ -180,11 +180,10 @@ def _pagerank_sql() -> str:
 
 @query("pagerank", f"WITH {_pagerank_sql()} SELECT node, round(rank, 9) AS rank FROM r{ROUNDS}")
 def pagerank(t: Tables):
-    matrix = t.lineitem.select(F.col("l_orderkey").alias("user_id"), F.col("l_partkey").alias("item_id")).distinct()
-    pairs = U.pair_counts(U.filter_users(matrix, 1, 100), low=1)
-    edges = pairs.filter("item_prior < item_posterior").select(
-        F.col("item_prior").alias("src"), F.col("item_posterior").alias("dst"), F.col("pair_cnt").alias("weight")
-    )
+    """Links from each line of an order to the next one: as many as there are lines, however long an order is."""
+    after = W.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey")
+    edges = t.lineitem.select(F.col("l_partkey").alias("src"), F.lead("l_partkey").over(after).alias("dst"))
+    edges = edges.filter("src <> dst").withColumn("weight", F.lit(1))
     return rounded(Q.pagerank(edges, ROUNDS), 9)
 
 
@@ -235,12 +234,12 @@ def suggestions(t: Tables):
 @query(
     "related_queries",
     f"""WITH {LOG}, m AS (SELECT DISTINCT l_orderkey AS user_id, p_name AS item_id FROM log),
-    {S.filters_sql((1, 100), (0, 10**9))}, {S.pairs_sql(2, 10**9)}
+    mi AS (SELECT * FROM m), {S.pairs_sql(2, None)}
     SELECT * FROM pairs""",
 )
 def related_queries(t: Tables):
     matrix = searches(t).select(F.col("l_orderkey").alias("user_id"), F.col("p_name").alias("item_id")).distinct()
-    return U.pair_counts(U.filter_users(matrix, 1, 100), high=10**9)
+    return U.pair_counts(matrix, high=None)
 
 
 @query(
@@ -363,13 +362,15 @@ def analogy(t: Tables):
 
 @query(
     "vector_names",
-    """SELECT vec_id, coalesce(p_name, 'null') AS p_name, len(embedding) AS dims FROM embeddings
-    LEFT JOIN (SELECT p_partkey, p_name FROM part WHERE p_size > 10) ON p_partkey = vec_id""",
+    """SELECT vec_id, coalesce(name, 'null') AS name, len(embedding) AS dims FROM embeddings
+    LEFT JOIN (SELECT doc_id, 'quality ' || CAST(quality AS VARCHAR) AS name FROM labels) ON doc_id = vec_id""",
 )
 def vector_names(t: Tables):
-    names = t.part.filter("p_size > 10").select(F.col("p_partkey").alias("vec_id"), "p_name")
+    """Names from a table that knows some of the vectors only."""
+    name = F.concat(F.lit("quality "), F.col("quality").cast("string")).alias("name")
+    names = t.labels.select(F.col("doc_id").alias("vec_id"), name)
     sized = t.embeddings.select("vec_id", F.size("embedding").cast("bigint").alias("dims"))
-    return V.with_names(sized, names, "vec_id", "p_name")
+    return V.with_names(sized, names, "vec_id", "name")
 
 
 @query(

@@ -12,8 +12,9 @@ def col(c: Column | str) -> Column:
 
 
 def as_number(c: Column | str) -> Column:
-    """Text to bigint, NULL where the text is no number."""
-    return col(c).cast("string").try_cast("bigint")
+    """Text to bigint, a fraction cut off; NULL where the text is no number."""
+    text = col(c).cast("string")
+    return F.coalesce(text.try_cast("bigint"), text.try_cast("decimal(38,10)").cast("bigint"))
 
 
 def hash_unit(c: Column | str, seed: int | str) -> Column:
@@ -48,13 +49,15 @@ def safe_ratio(a: Column, b: Column) -> Column:
 
 
 def version_at_least(c: Column | str, floor: str, order: str = "string") -> Column:
-    """``string`` compares as text ('10.0' < '6.0'); ``version`` compares number by number."""
+    """``string`` compares as text ('10.0' < '6.0'); ``version`` compares number by number, missing ones as zeros."""
     if order == "string":
         return col(c) >= F.lit(floor)
     if order != "version":
         raise ValueError("order is 'string' or 'version'")
+    wanted = [int(x) for x in floor.split(".")]
     parts = F.transform(F.split(col(c), r"\."), lambda x: x.try_cast("int"))
-    return parts >= F.array(*[F.lit(int(x)) for x in floor.split(".")])
+    zeros = F.array_repeat(F.lit(0), F.greatest(F.lit(len(wanted)) - F.size(parts), F.lit(0)))
+    return F.concat(parts, zeros) >= F.array(*[F.lit(x) for x in wanted])
 
 
 def strip_html(c: Column | str) -> Column:
@@ -110,9 +113,9 @@ def differs_or_unknown(a: Column | str, b: Column | str) -> Column:
 
 def dirichlet_mean(alpha: Column | str) -> Column:
     total = F.aggregate(doubles(alpha), F.lit(0.0), lambda s, x: s + x)
-    return F.transform(doubles(alpha), lambda x: x / total)
+    return F.transform(doubles(alpha), lambda x: safe_ratio(x, total))
 
 
 def dirichlet_mode(alpha: Column | str) -> Column:
     total = F.aggregate(doubles(alpha), F.lit(0.0), lambda s, x: s + x - 1.0)
-    return F.transform(doubles(alpha), lambda x: (x - 1.0) / total)
+    return F.transform(doubles(alpha), lambda x: safe_ratio(x - 1.0, total))

@@ -71,15 +71,22 @@ def user_item_action(
     return spread_join(rows, known_items, "item_id", "left_semi", salt=F.monotonically_increasing_id())
 
 
-def in_window(df: DataFrame, last: str, days: int = 0) -> DataFrame:
-    """Rows with ``last - days <= ds <= last`` (both ends included), ds as 'yyyyMMdd' text."""
+def in_window(df: DataFrame, last: str, days: int = 0, item_type: int | None = None) -> DataFrame:
+    """Rows with ``last - days <= ds <= last`` (both ends included), ds as 'yyyyMMdd' text, of one item type if given."""
     first = F.date_format(F.date_sub(F.to_date(F.lit(last), "yyyyMMdd"), days), "yyyyMMdd")
-    return df.filter((F.col("ds") <= last) & (F.col("ds") >= first))
+    return of_type(df, item_type).filter((F.col("ds") <= last) & (F.col("ds") >= first))
 
 
-def play_threshold(actions: DataFrame, ms: int = X.PLAY_MS_MIN) -> DataFrame:
-    """Distinct (user, item) with one play strictly longer than ``ms``."""
-    long_plays = actions.filter(
+def of_type(df: DataFrame, item_type: int | None) -> DataFrame:
+    return df if item_type is None else df.filter(F.col("item_type") == item_type)
+
+
+def play_threshold(
+    actions: DataFrame, ms: int = X.PLAY_MS_MIN, date: str | None = None, days: int = 0, item_type: int | None = None
+) -> DataFrame:
+    """Distinct (user, item) with one play strictly longer than ``ms``, in a day window and of one item type if given."""
+    chosen = of_type(actions, item_type) if date is None else in_window(actions, date, days, item_type)
+    long_plays = chosen.filter(
         (F.col("action") == X.ACTION_PLAY) & (F.col("item_id") != X.UNKNOWN) & (as_number("extend") > ms)
     )
     return long_plays.select("user_id", "item_id").distinct().withColumn("preference", F.lit(1))

@@ -6,7 +6,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from quillrank.functions import hash_slot, hash_unit
+from quillrank.functions import hash_slot, hash_unit, safe_ratio
+from quillrank.operators.ctr import smoothed_ctr
 from quillrank.functions.udfs import beta_sample
 from quillrank.plans.skew import spread_join
 from quillrank.session import stage
@@ -21,6 +22,19 @@ def epsilon_greedy(users: DataFrame, user: str, arms: list, best, epsilon: float
     )
 
 
+def greedy_by_ctr(
+    users: DataFrame, user: str, counts: DataFrame, arm: str, epsilon: float, added: float, seed: int = 0
+) -> DataFrame:
+    """Epsilon-greedy over the arms of ``counts`` (arm, exposure, click); the best one has the highest smoothed CTR.
+
+    Arms travel as one array, so there should be few of them; ties go to the smaller arm.
+    """
+    rated = smoothed_ctr(counts, added).select(F.struct((-F.col("smoothed")).alias("s"), F.col(arm).alias("arm")).alias("a"))
+    ordered = F.transform(F.array_sort(F.collect_list("a")), lambda x: x["arm"])
+    listed = stage(rated.agg(ordered.alias("arms")), "arms").first()["arms"]
+    return epsilon_greedy(users, user, sorted(listed), listed[0], epsilon, seed)
+
+
 def thompson(arms: DataFrame, arm: str, click: str = "click", exposure: str = "exposure", seed: int = 0) -> DataFrame:
     """One Beta(click + 1, miss + 1) draw per arm, repeatable per (arm, seed)."""
     key = F.xxhash64(F.col(arm), F.lit(seed))
@@ -29,10 +43,11 @@ def thompson(arms: DataFrame, arm: str, click: str = "click", exposure: str = "e
 
 
 def ucb(arms: DataFrame, click: str = "click", exposure: str = "exposure") -> DataFrame:
-    """Mean plus sqrt(2 ln N / n)."""
+    """Mean plus sqrt(2 ln N / n); an arm that was never shown comes first, with an infinite value."""
     total = arms.agg(F.sum(exposure).cast("double")).scalar()
     n = F.col(exposure).cast("double")
-    return arms.withColumn("ucb", F.col(click) / n + F.sqrt(2.0 * F.ln(total) / n))
+    value = safe_ratio(F.col(click), n) + F.sqrt(safe_ratio(2.0 * F.ln(total), n))
+    return arms.withColumn("ucb", F.when(n > 0, value).otherwise(F.lit(float("inf"))))
 
 
 def lin_ucb(log: DataFrame, arm: str, features: list[str], reward: str, alpha: float = 1.0, ridge: float = 1.0):

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from quillrank.functions import col, hash_feature, safe_ratio
 from quillrank.operators.metrics import auc
 from quillrank.plans.ranks import running_below
-from quillrank.plans.skew import spread_join
+from quillrank.plans.skew import null_safe_join, spread_join
 from quillrank.session import stage
 
 
@@ -64,8 +64,10 @@ def width_bins(df: DataFrame, column: str, bins: int) -> DataFrame:
     stats = column_stats(df, [column]).select(F.struct("*")).scalar()
     out = df.withColumn("__s", stats)
     low, high = F.col(f"__s.{column}_min"), F.col(f"__s.{column}_max")
-    number = F.floor((F.col(column) - low) / (high - low) * bins) + 1
-    return out.withColumn("bin", F.least(number, F.lit(bins)).cast("bigint")).drop("__s")
+    # A constant column has one bin, the first.
+    share = F.coalesce(safe_ratio(F.col(column) - low, high - low), F.lit(0.0))
+    number = F.when(F.col(column).isNotNull(), F.floor(share * bins) + 1)
+    return out.withColumn("bin", F.when(number > bins, F.lit(bins)).otherwise(number).cast("bigint")).drop("__s")
 
 
 def frequency_bins(counts: DataFrame, bins: int, value: str = "value", n: str = "n") -> DataFrame:
@@ -121,8 +123,7 @@ def best_split(df: DataFrame, value: str, label: str, bins: int) -> DataFrame:
 
 def count_encoded(df: DataFrame, column: str) -> DataFrame:
     counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("cnt"))
-    encoded = spread_join(df, counts.withColumnRenamed("cnt", f"{column}_count"), column, weights=counts)
-    return encoded
+    return spread_join(df, counts.withColumnRenamed("cnt", f"{column}_count"), column, weights=counts, nulls=True)
 
 
 def number_encoding(df: DataFrame, column: str, most_frequent: bool = True) -> DataFrame:
@@ -249,7 +250,7 @@ def history(df: DataFrame, key: str, ts: str, tie: str, value: str, period: Colu
     inside = rows.withColumn("__n1", F.count(F.lit(1)).over(earlier)).withColumn(
         "__s1", F.coalesce(F.sum(v).over(earlier), F.lit(0.0))
     )
-    out = inside.join(offsets, [key, "__p"])
+    out = null_safe_join(inside, offsets, [key, "__p"])
     n, s = F.col("__n0") + F.col("__n1"), F.col("__s0") + F.col("__s1")
     return out.withColumns(
         {"past_n": n, "past_sum": s, "past_mean": safe_ratio(s, n)}

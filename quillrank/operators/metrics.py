@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from quillrank.functions import clip, col, safe_ratio
 from quillrank.plans.ranks import range_bucket, running_below, top_by
+from quillrank.plans.skew import null_safe_join
 from quillrank.session import stage
 
 
@@ -77,8 +78,8 @@ def regression_errors(df: DataFrame, pred: str, actual: str, weight: str) -> Dat
         F.avg(e * e).alias("mse"),
         F.sqrt(F.avg(e * e)).alias("rmse"),
         F.avg(F.abs(e)).alias("mae"),
-        (1.0 - F.sum(e * e) / (F.var_pop(y) * F.count(y))).alias("r2"),
-        (F.sum(F.col(weight) * F.abs(e)) / F.sum(weight)).alias("wmae"),
+        (1.0 - safe_ratio(F.sum(e * e), F.var_pop(y) * F.count(y))).alias("r2"),
+        safe_ratio(F.sum(F.col(weight) * F.abs(e)), F.sum(weight)).alias("wmae"),
     )
 
 
@@ -204,7 +205,7 @@ def metric_report(df: DataFrame, segment: str, prob: str = "prob", label: str =
         safe_ratio(F.avg(prob), F.avg(F.col(label).cast("double"))).alias("ratio"),
         _mean_loss(prob, label).alias("logloss"),
     )
-    return rates.join(ranks, segment)
+    return null_safe_join(rates, ranks, [segment])
 
 
 def average_score(df: DataFrame, score: Column | str) -> DataFrame:

@@ -290,5 +290,5 @@ def anomaly_scores(rows: DataFrame, group: str, value: str) -> DataFrame:
     stats = rows.groupBy(group).agg(
         F.avg(v).alias("__m"), F.stddev_samp(v).alias("__d"), F.count(F.lit(1)).alias("cnt")
     )
-    joined = spread_join(rows, stats.select(group, "__m", "__d"), group, weights=stats)
+    joined = spread_join(rows, stats.select(group, "__m", "__d"), group, weights=stats, nulls=True)
     return joined.withColumn("z", (v - F.col("__m")) / F.nullif(F.col("__d"), F.lit(0.0))).drop("__m", "__d")

@@ -20,9 +20,10 @@ def candidate_priors(
     low: int = X.PLAY_MS_MIN,
     high: int = X.PLAY_MS_MAX,
     k: int = X.PRIOR_MAX,
+    item_type: int | None = None,
 ) -> DataFrame:
     """The ``k`` items each user played most within ``date - days .. date`` (both included)."""
-    plays = numbered_plays(in_window(actions, date, days), low, high)
+    plays = numbered_plays(in_window(actions, date, days, item_type), low, high)
     counted = plays.groupBy("user_id", "item_id").agg(F.count(F.lit(1)).alias("prior"))
     best = top_by(counted, ["user_id"], [F.desc("prior"), F.asc("item_id")], k)
     if info is None:
@@ -114,12 +115,13 @@ def random_hot(
     low: int = X.PLAY_MS_MIN,
     seed: int = 0,
     info: DataFrame | None = None,
+    item_type: int | None = None,
 ) -> DataFrame:
     """A shuffled hot list of one day: the ``pool`` most played items by ``rank * random`` descending.
 
     A large rank is a less played item, so the order favours the lower end of the pool.
     """
-    plays = numbered_plays(in_window(actions, date), low, strict=True)
+    plays = numbered_plays(in_window(actions, date, 0, item_type), low, strict=True)
     counted = plays.groupBy("item_id").agg(F.count(F.lit(1)).alias("hot_rate"))
     hottest = top_rows(counted, [F.desc("hot_rate"), F.asc("item_id")], pool, "rank1")
     mixed = hottest.withColumn("mix", F.col("rank1") * hash_unit("item_id", seed))
@@ -161,11 +163,13 @@ def fill_and_pack(
     return own.select(F.concat(F.lit(prefix), "user_id").alias("user_id"), F.concat_ws(",", whole).alias("reclist"))
 
 
-def version_pointer(spark, name: str, date: str, item_type: int = 1, scene: str = "daily_rec") -> DataFrame:
-    return spark.sql(
-        "SELECT :name AS versionname, concat('1,', :date, ',', :date) AS content, "
-        "CAST(:t AS INT) AS item_type, :scene AS scene",
-        args={"name": name, "date": date, "t": item_type, "scene": scene},
+def version_pointer(dates: DataFrame, name: str, item_type: int = 1, scene: str = "daily_rec") -> DataFrame:
+    """The pointer row for the list of a day; ``dates`` has the day in column ``d``."""
+    return dates.select(
+        F.lit(name).alias("versionname"),
+        F.concat(F.lit("1,"), "d", F.lit(","), "d").alias("content"),
+        F.lit(item_type).alias("item_type"),
+        F.lit(scene).alias("scene"),
     )
 
 

@@ -12,7 +12,9 @@ from quillrank.plans.skew import keep_by_count, spread_join
 from quillrank.session import stage, view
 
 
-def bool_matrix(baskets: DataFrame, actions: DataFrame, date: str, days: int = X.ACTION_DAYS) -> DataFrame:
+def bool_matrix(
+    baskets: DataFrame, actions: DataFrame, date: str, days: int = X.ACTION_DAYS, item_type: int | None = None
+) -> DataFrame:
     """Baskets and users who favoured, downloaded or shared an item, as distinct (user_id, item_id) pairs.
 
     ``baskets``: songlist_id, item_id. The day window is closed on both ends.
@@ -22,7 +24,7 @@ def bool_matrix(baskets: DataFrame, actions: DataFrame, date: str, days: int = X
         F.col("item_id").cast("string").alias("item_id"),
     )
     wanted = F.col("action").isin(X.ACTION_DOWNLOAD, X.ACTION_FAVOR, X.ACTION_SHARE)
-    users = in_window(actions, date, days).filter(wanted & (F.col("item_id") != X.UNKNOWN)).select(
+    users = in_window(actions, date, days, item_type).filter(wanted & (F.col("item_id") != X.UNKNOWN)).select(
         F.concat(F.lit(X.USER_PREFIX), F.col("user_id")).alias("user_id"), "item_id"
     )
     return lists.unionByName(users).distinct().withColumn("preference", F.lit(1))
@@ -58,10 +60,11 @@ def _mirror(half: DataFrame) -> DataFrame:
     return half.select(F.inline(F.array(side("i", "j"), side("j", "i"))))
 
 
-def pair_counts(matrix: DataFrame, low: int = X.PAIR_MIN, high: int = X.PAIR_MAX) -> DataFrame:
-    """Ordered item pairs with ``low <= common users <= high``. Run filter_users first."""
+def pair_counts(matrix: DataFrame, low: int = X.PAIR_MIN, high: int | None = X.PAIR_MAX) -> DataFrame:
+    """Ordered item pairs with ``low <= common users <= high``. Run filter_users first where users hold many items."""
     counted = _half_pairs(matrix).groupBy("i", "j").agg(F.count(F.lit(1)).alias("pair_cnt"))
-    return _mirror(counted.filter(F.col("pair_cnt").between(low, high)))
+    enough = F.col("pair_cnt") >= low
+    return _mirror(counted.filter(enough if high is None else enough & (F.col("pair_cnt") <= high)))
 
 
 def _metrics(pairs: DataFrame, users: DataFrame, k: int) -> DataFrame:
@@ -120,6 +123,8 @@ def mine_rules(
     counts = kept.groupBy("item_id").agg(F.first("cnt").alias("cnt"))
     codes = stage(global_row_number(counts, [F.asc("item_id")], "code"), "item_codes")
     coded = spread_join(kept.select("user_id", "item_id"), codes, "item_id", weights=codes)
+    if (codes.agg(F.max("code")).first()[0] or 0) >= 1 << 31:
+        return association_metrics(pair_counts(kept, *pairs), kept, k)
     packed = F.shiftleft("i", 32).bitwiseOR(F.col("j")).alias("pair")
     counted = _half_pairs(coded, "code").select(packed).groupBy("pair").agg(F.count(F.lit(1)).alias("pair_cnt"))
     frequent = counted.filter(F.col("pair_cnt").between(*pairs)).select(

@@ -113,6 +113,8 @@ def snippets(
     in the content reach the Python worker.
     """
     phrase, words = query_words(query)
+    if not phrase:
+        docs = docs.limit(0)
     pattern = "|".join(re.escape(w) for w in sorted({w for w in words if w}, key=lambda w: (-len(w), w)))
 
     @F.pandas_udf("array<struct<start:int,stop:int,phrase_count:int,hits:int,snippet:string>>")
@@ -178,7 +180,7 @@ def bm25(
         )
     ).scalar()
     rows = counted.withColumn("s", stats)
-    norm = k1 * (1.0 - b + b * F.col("length") / F.col("s.avg"))
+    norm = k1 * (1.0 - b + b * F.coalesce(safe_ratio(F.col("length"), F.col("s.avg")), F.lit(0.0)))
 
     def part(i: int) -> Column:
         tf, df, n = F.col(f"tf_{i}").cast("double"), F.col(f"s.df_{i}"), F.col("s.n")

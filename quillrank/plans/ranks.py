@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from quillrank.plans.skew import null_safe_join
 from quillrank.session import cut, stage
 
 BUCKETS = 256
@@ -49,7 +50,7 @@ def running_below(
     partial = cut_up
     for s in sums:
         partial = partial.withColumn(f"__{s}_in", F.coalesce(F.sum(s).over(inside), F.lit(0)))
-    joined = partial.join(offsets if group else F.broadcast(offsets), [*group, "__bucket"])
+    joined = null_safe_join(partial, offsets if group else F.broadcast(offsets), [*group, "__bucket"])
     for s in sums:
         joined = joined.withColumn(f"{s}_below", F.col(f"__{s}_before") + F.col(f"__{s}_in"))
     drop = ["__bucket", *[f"__{s}_in" for s in sums], *[f"__{s}_before" for s in sums]]

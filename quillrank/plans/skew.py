@@ -39,6 +39,7 @@ def spread_join(
     weight: str = "cnt",
     salts: int = 32,
     salt: Column | None = None,
+    nulls: bool = False,
 ) -> DataFrame:
     """Join ``left`` to the smaller ``right`` without a task that holds all rows of a frequent key.
 
@@ -46,8 +47,15 @@ def spread_join(
     repeated: where ``weights`` gives the left row count per key, for the HEAVY most frequent keys only (at most HEAVY
     keys are broadcast), else for all keys with a quarter of the salts, which spares a pass over ``left``.
     ``salt`` is a number that comes out the same when a task is run again; the default, a hash of the row, needs left
-    rows that are not copies of each other.
+    rows that are not copies of each other. With ``nulls``, null keys meet each other.
     """
+    if nulls:
+        wrapped = f"__{key}"
+        kept = [c for c in right.columns if c != key]
+        left = left.withColumn(wrapped, F.struct(key))
+        right = right.select(F.struct(key).alias(wrapped), *kept)
+        weights = weights and weights.select(F.struct(key).alias(wrapped), weight)
+        return spread_join(left, right, wrapped, how, weights, weight, salts, salt).drop(wrapped)
     right = stage(right, f"right_by_{key}")
     if is_small(right):
         return left.join(F.broadcast(right), key, how)
@@ -62,6 +70,13 @@ def spread_join(
     return many.join(one, [key, "__salt"], how).drop("__salt")
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join on keys that are equal or both null; the keys come from ``left``."""
+    renamed = right.withColumnsRenamed({k: f"__right_{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"__right_{k}")) for k in keys]
+    return left.join(renamed, same).drop(*[f"__right_{k}" for k in keys])
+
+
 def is_small(table: DataFrame) -> bool:
     """At most SMALL_ROWS rows with at most SMALL_BYTES of text form; reads no more than that many rows."""
     size = F.sum(F.length(F.to_json(F.struct(*table.columns))))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,11 +21,29 @@ SETTINGS = {
 
 
 def configure(spark: SparkSession) -> SparkSession:
+    """Set the settings above and send this package to the workers, whose Python functions import it."""
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
+    sc = spark.sparkContext
+    if getattr(sc, "_quillrank", None) is None:
+        sc.addPyFile(_packed())
+        sc._quillrank = True
     return spark
 
 
+def _packed() -> str:
+    """This package as a zip file; the driver serves it to the workers."""
+    here = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="quillrank-"), "quillrank.zip")
+    with zipfile.ZipFile(path, "w") as out:
+        for folder, _, names in os.walk(here):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    out.write(full, os.path.relpath(full, os.path.dirname(here)))
+    return path
+
+
 def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "8g") -> SparkSession:
     spark = (
         SparkSession.builder.master(f"local[{cores}]")

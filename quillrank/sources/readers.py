@@ -8,12 +8,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 TRAINING_SCHEMA = "label double, user_features string, user_weights string, ads_features string, ads_weights string"
 TRAINING_DEFAULTS = {"label": 0.0, "user_features": "0", "user_weights": "0.0", "ads_features": "0", "ads_weights": "0.0"}
 
-BASKET_QUERY = (
-    "SELECT r.id AS id, r.playlist_id AS songlist_id, s.third_id AS item_id, '-1' AS sq, r.create_time, r.update_time "
-    "FROM {songs} s JOIN {relation} r ON s.id = r.song_id"
-)
-
-
 def training_rows(raw: DataFrame) -> DataFrame:
     """Raw training columns to label, string lists and float lists; works on a stream as well."""
     full = raw.select(*[F.coalesce(F.col(c), F.lit(v)).alias(c) for c, v in TRAINING_DEFAULTS.items()])
@@ -68,9 +62,14 @@ def jdbc(
     return reader.load()
 
 
-def baskets_jdbc(spark: SparkSession, url: str, properties: dict[str, str], songs: str, relation: str, **more) -> DataFrame:
-    """Playlists with the items' outside ids; the join runs in the database."""
-    return jdbc(spark, url, BASKET_QUERY.format(songs=songs, relation=relation), properties, **more)
+def joined_jdbc(
+    spark: SparkSession, url: str, properties: dict[str, str], tables: tuple[str, str], on: tuple[str, str],
+    columns: dict[str, str], **more,
+) -> DataFrame:
+    """Two tables (``l`` and ``r``) joined in the database; ``columns`` gives the expression behind each output name."""
+    chosen = ", ".join(f"{expression} AS {name}" for name, expression in columns.items())
+    query = f"SELECT {chosen} FROM {tables[0]} l INNER JOIN {tables[1]} r ON l.{on[0]} = r.{on[1]}"
+    return jdbc(spark, url, query, properties, **more)
 
 
 def kafka(spark: SparkSession, servers: str, topic: str, schema: str, start: str = "latest") -> DataFrame:

@@ -36,14 +36,17 @@ def to_versions(counts: DataFrame, table: str, checkpoint: str) -> StreamingQuer
     )
 
 
-def latest(spark: SparkSession, table: str, key: str = "url") -> DataFrame:
-    """The newest value of every key over all versions."""
+def latest(spark: SparkSession, table: str, keys: str | list[str] = "url") -> DataFrame:
+    """The newest values of every key over all versions."""
     rows = spark.read.option("basePath", table).parquet(table)
-    return rows.groupBy(key).agg(F.max_by("time", "batch").alias("time"))
+    keys = [keys] if isinstance(keys, str) else keys
+    values = [c for c in rows.columns if c not in (*keys, "batch")]
+    newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch").alias("__v"))
+    return newest.select(*keys, "__v.*")
 
 
 def window_views(hits: DataFrame, ts: str, user: str, keys: list[str], length: str, late: str = LATE) -> DataFrame:
-    """Page views and approximate distinct users per time window, for append mode."""
+    """Page views and approximate distinct users per time window, for append or update mode."""
     return (
         hits.withWatermark(ts, late)
         .groupBy(F.window(ts, length), *keys)
@@ -55,7 +58,7 @@ def window_views(hits: DataFrame, ts: str, user: str, keys: list[str], length: s
 def window_ctr(
     hits: DataFrame, ts: str, keys: list[str], clicked: str, length: str, slide: str, late: str = LATE
 ) -> DataFrame:
-    """Exposures, clicks and CTR per sliding window, for append mode."""
+    """Exposures, clicks and CTR per sliding window, for append or update mode."""
     return (
         hits.withWatermark(ts, late)
         .groupBy(F.window(ts, length, slide), *keys)
@@ -71,20 +74,15 @@ def window_ctr(
     )
 
 
-def drained(stream: DataFrame, name: str) -> DataFrame:
-    """Run an append-mode stream over all data there is and read back what it wrote."""
-    spark = stream.sparkSession
-    table, checkpoint = run_dir(spark, name), run_dir(spark, f"{name}-state")
-    query = (
-        stream.writeStream.outputMode("append")
-        .format("parquet")
-        .option("path", table)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(table)
+def drained(stream: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """Run a stream of windows over all data there is and read the newest values of every window.
+
+    In update mode each batch writes the windows it changed, so the last ones are there as well, though no later event
+    has closed them.
+    """
+    table, checkpoint = run_dir(stream.sparkSession, name), run_dir(stream.sparkSession, f"{name}-state")
+    to_versions(stream, table, checkpoint).awaitTermination()
+    return latest(stream.sparkSession, table, keys)
 
 
 def counted(stream: DataFrame, key: str, name: str) -> DataFrame:

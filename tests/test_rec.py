@@ -245,7 +245,7 @@ def test_bid_ranking(spark, rows):
 
 
 def test_version_pointer(spark):
-    row = R.version_pointer(spark, "v1", "20240105").first()
+    row = R.version_pointer(spark.createDataFrame([("20240105",)], "d string"), "v1").first()
     assert tuple(row) == ("v1", "1,20240105,20240105", 1, "daily_rec")
 
 
