@@ -125,7 +125,11 @@ def one_hot(t: Tables):
     return X.one_hot(t.orders.select("o_orderkey", "o_orderstatus"), "o_orderstatus", ["F", "O", "P"]).drop("o_orderstatus")
 
 
-@query("hash_encode")
+@query(
+    "hash_encode",
+    f"""SELECT p_partkey, p_name, CAST(floor({hash_unit_sql('p_name', 0)} * 100000) AS INTEGER) AS p_name_hash
+    FROM part""",
+)
 def hash_encode(t: Tables):
     return X.hashed(t.part.select("p_partkey", "p_name"), "p_name", 100_000)
 

@@ -44,9 +44,16 @@ def pooled_embeddings(t: Tables):
     return rounded(out.select("l_orderkey", F.col("pooled")[0].alias("first"), F.col("pooled")[63].alias("last")))
 
 
-@query("hashed_features")
+@query(
+    "hashed_features",
+    f"""WITH f AS (SELECT o_orderkey AS id, unnest([o_orderpriority, CAST(year(o_orderdate) AS VARCHAR), 'any']) AS n,
+      unnest([1, 1, round(o_totalprice / 500000, 3)]::DOUBLE[]) AS w
+      FROM orders JOIN customer ON c_custkey = o_custkey)
+    SELECT id, CAST(floor({hash_unit_sql('n', 0)} * 100000) AS INTEGER) AS i, round(sum(w), 6) AS w FROM f GROUP BY 1, 2""",
+)
 def hashed_features(t: Tables):
-    return training(t).select("id", M.hashed_cells("ads_features", "ads_weights", M.FEATURE_SIZE).alias("cells"))
+    cells = M.hashed_cells("ads_features", "ads_weights", M.FEATURE_SIZE)
+    return rounded(training(t).select("id", F.inline(cells)))
 
 
 def wide_deep(t: Tables):

@@ -28,7 +28,8 @@ def hash_slot(c: Column | str, slots: int, seed: int | str) -> Column:
 
 
 def hash_feature(c: Column | str, buckets: int) -> Column:
-    return F.pmod(F.xxhash64(col(c)), F.lit(buckets)).cast("int")
+    """A bucket from the md5 of a value; NULL for NULL."""
+    return hash_slot(c, buckets, 0).cast("int")
 
 
 def logistic(x: Column | str) -> Column:

@@ -13,26 +13,20 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.linalg import SparseVector, VectorUDT
+from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from quillrank.functions import clip, hash_feature, logit
 from quillrank.operators.metrics import auc, average_score, logloss
 from quillrank.operators.sampling import fold
 from quillrank.operators.vectors import pooled
 from quillrank.plans.skew import spread_join
-from quillrank.session import stage
+from quillrank.session import run_dir, stage
 
 FEATURE_SIZE = 100_000
 
 
-def _sparse(cells: Column, size: int) -> Column:
-    # Spark has no expression that builds a sparse vector.
-    build = F.udf(lambda cs: SparseVector(size, [(c["i"], c["w"]) for c in cs]), VectorUDT())
-    return build(cells)
-
-
 def hashed_lines(rows: DataFrame, rid: str, names: str, weights: str, buckets: int = FEATURE_SIZE) -> DataFrame:
     """(row id, bucket, weight) of weighted feature lists, one line per list entry."""
     cells = F.arrays_zip(F.col(names).alias("n"), F.col(weights).alias("w"))
@@ -45,8 +39,9 @@ def hashed_cells(names: str | Column, weights: str | Column, buckets: int) -> Co
     """The same inside one row: sorted (bucket, weight) cells, without a shuffle."""
     names = F.col(names) if isinstance(names, str) else names
     weights = F.col(weights) if isinstance(weights, str) else weights
-    slots = F.transform(names, lambda n: hash_feature(n, buckets))
-    pairs = F.arrays_zip(slots.alias("i"), weights.alias("w"))
+    hashed = F.transform(names, lambda n: hash_feature(n, buckets))
+    pairs = F.filter(F.arrays_zip(hashed.alias("i"), weights.alias("w")), lambda p: p["i"].isNotNull())
+    slots = F.transform(pairs, lambda p: p["i"])
 
     def total(slot: Column) -> Column:
         same = F.filter(pairs, lambda p: p["i"] == slot)
@@ -57,10 +52,25 @@ def hashed_cells(names: str | Column, weights: str | Column, buckets: int) -> Co
     )
 
 
+def with_sparse(rows: DataFrame, cells: str, out: str, size: int) -> DataFrame:
+    """Replace a column of (i, w) cells by a sparse vector, in a written table.
+
+    Spark has no expression for one, but a struct of its fields, once written, is read back as a vector column.
+    """
+    vector = F.struct(
+        F.lit(0).cast("tinyint").alias("type"),
+        F.lit(size).alias("size"),
+        F.transform(cells, lambda c: c["i"]).alias("indices"),
+        F.transform(cells, lambda c: c["w"]).alias("values"),
+    )
+    path = run_dir(rows.sparkSession, "sparse")
+    rows.withColumn(out, vector).drop(cells).write.parquet(path)
+    kept = [f for f in rows.schema.fields if f.name != cells]
+    return rows.sparkSession.read.schema(T.StructType([*kept, T.StructField(out, VectorUDT())])).parquet(path)
+
+
 def sparse_features(rows: DataFrame, names: str, weights: str, out: str, buckets: int = FEATURE_SIZE) -> DataFrame:
-    # A Python function cannot take an expression that holds a lambda; the generator keeps the two apart.
-    cells = F.inline(F.array(F.struct(hashed_cells(names, weights, buckets).alias("__cells"))))
-    return rows.select("*", cells).withColumn(out, _sparse(F.col("__cells"), buckets)).drop("__cells")
+    return with_sparse(rows.withColumn("__cells", hashed_cells(names, weights, buckets)), "__cells", out, buckets)
 
 
 def pooled_features(rows: DataFrame, table: DataFrame, rid: str, names: str, weights: str, out: str) -> DataFrame:
@@ -114,10 +124,8 @@ class WideDeep:
         for side in ("user", "ads"):
             out = pooled_features(out, self.table, rid, f"{side}_features", f"{side}_weights", f"{side}_pool")
         both = F.concat("user_pool", "ads_pool")
-        flat = stage(out.select(rid, "label", "cells", both.alias("pools")), "wide_deep_rows")
-        return flat.select(
-            rid, "label", _sparse(F.col("cells"), self.buckets).alias("wide"), array_to_vector("pools").alias("deep")
-        )
+        flat = with_sparse(out.select(rid, "label", "cells", both.alias("pools")), "cells", "wide", self.buckets)
+        return flat.select(rid, "label", "wide", array_to_vector("pools").alias("deep"))
 
     def logits(self, prepared: DataFrame) -> DataFrame:
         scored = _prob(self.wide.transform(prepared), "wide_prob")
