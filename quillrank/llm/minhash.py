@@ -8,8 +8,10 @@
    becomes the pivot and is compared with all others: a group of near copies is linked through the text they were
    copied from, with work linear in the group. Sketches refuse poor candidates, then the sets decide.
 4. After components are known, members of one bucket that lie in different components are the only ones left to
-   compare. They get further pivots for a few rounds, and then all their cross-component pairs, with the sketch test
-   inside the join. So no link that any band proposes is lost, and pairs inside a component are never listed.
+   compare. Shingles that no other of them has bound every overlap from above, which ends the search for texts that were
+   changed too much to link with anything. The others get further pivots for a few rounds, and then all their
+   cross-component pairs, with that bound and the sketch test inside the join. So no link that any band proposes is
+   lost, and pairs inside a component are never listed.
 
 With 28 bands of 5 samples a pair at the limit of 0.85 is proposed with probability 1 - 8e-8. The sketch test lets
 everything pass whose estimate lies within five standard errors of the limit.
@@ -29,6 +31,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from quillrank.llm.common import ascii_lower, documents, words
 from quillrank.llm.components import connected
+from quillrank.plans.skew import spread_join
 from quillrank.session import stage
 
 WORDS = 5
@@ -159,13 +162,56 @@ def sketch_allows(a: Column, b: Column) -> Column:
 
 def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) whose full sets are alike enough."""
-    left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa"))
-    right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb"))
+    ends = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
+    used = spread_join(sets, ends, "doc_id", "left_semi", salt=F.col("doc_id"))
+    left = used.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa"))
+    right = used.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb"))
     both = F.size(F.array_intersect("sa", "sb"))
     size = F.size("sa") + F.size("sb")
     return pairs.join(left, "a").join(right, "b").filter(both * 100 >= (size - both) * PERCENT).select("a", "b")
 
 
+def shared_sizes(reps: DataFrame, sets: DataFrame) -> DataFrame:
+    """(rep, n, s): size of each set, and how many of its shingles another set of ``reps`` has as well.
+
+    No overlap with another set can be larger than s, so a set with s below PERCENT of n links with nothing, and two
+    sets link only if both have at least PERCENT / (100 + PERCENT) of the sum of their sizes.
+    """
+    used = spread_join(sets, reps.withColumnRenamed("rep", "doc_id"), "doc_id", "left_semi", salt=F.col("doc_id"))
+    single = used.select("doc_id", F.explode("shingles").alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("k"), F.min("doc_id").alias("rep"))
+    alone = single.filter("k = 1").groupBy("rep").agg(F.count(F.lit(1)).alias("alone"))
+    sizes = used.select(F.col("doc_id").alias("rep"), F.size("shingles").alias("n"))
+    return sizes.join(alone, "rep", "left").select("rep", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("s"))
+
+
+def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members, with their component, of the buckets that hold several components."""
+    now = members.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    split = now.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y")
+    return stage(now.join(split.select("band"), "band"), "open")
+
+
+def _pivot_pairs(members: DataFrame, tried: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """Pairs of each bucket's pivot with the members of other components, and the pivots (band, rep).
+
+    The pivot is the member with most partners over all bands that was not the pivot of this bucket before.
+    """
+    free = members if tried is None else members.join(tried, ["band", "rep"], "left_anti")
+    order = F.struct("degree", (-F.col("rep")).alias("r"))
+    best = free.groupBy("band").agg(F.max_by(F.struct("rep", "sketch", "component"), order).alias("p"))
+    pivots = stage(best.select("band", F.col("p.rep").alias("pivot"), F.col("p.sketch").alias("other"), F.col("p.component").alias("at")), "pivots")
+    near = members.join(pivots, "band").filter((F.col("component") != F.col("at")) & sketch_allows(F.col("sketch"), F.col("other")))
+    return near.select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b")), pivots.select("band", F.col("pivot").alias("rep"))
+
+
+def _cross_pairs(members: DataFrame) -> DataFrame:
+    """All pairs of a bucket in different components that sizes and sketches allow."""
+    others = members.select("band", F.col("rep").alias("b"), F.col("component").alias("at"), F.col("sketch").alias("other"), F.col("n").alias("n2"), F.col("s").alias("s2"))
+    enough = F.least("s", "s2") * (100 + PERCENT) >= (F.col("n") + F.col("n2")) * PERCENT
+    across = (F.col("component") != F.col("at")) & (F.col("rep") < F.col("b")) & enough & sketch_allows(F.col("sketch"), F.col("other"))
+    return members.join(others, "band").filter(across).select(F.col("rep").alias("a"), "b")
+
+
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per input row: doc_id, n_shingles, class_id, component_id and kept.
 
@@ -181,43 +227,33 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     classes = stage(some.groupBy(*same).agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")), "classes")
     keyed = classes.select("rep", F.posexplode("bands").alias("i", "key"))
     banded = keyed.select("rep", F.xxhash64("i", "key").alias("band"))
-    shared = banded.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    shared = banded.groupBy("band").agg(F.count(F.lit(1)).alias("k")).filter("k > 1")
     members = stage(banded.join(shared, "band"), "buckets")
-    degree = members.groupBy("rep").agg(F.sum(F.col("n") - 1).alias("degree"))
-    members = stage(members.drop("n").join(degree, "rep").join(classes.select("rep", "sketch"), "rep"), "members")
-
-    sketches = F.col("sketch"), F.col("other")
-    links, labels, open_ = None, None, members
-    tried = None
-    for turn in range(PIVOT_ROUNDS + 1):
-        if turn:
-            label = F.coalesce("component", "rep")
-            now = members.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", label)
-            split = now.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y")
-            open_ = stage(now.join(split.select("band"), "band"), "open")
-            if open_.isEmpty():
-                break
-        order = F.struct("degree", (-F.col("rep")).alias("r"))
+    degree = members.groupBy("rep").agg(F.sum(F.col("k") - 1).alias("degree"))
+    members = stage(members.drop("k").join(degree, "rep").join(classes.select("rep", "sketch"), "rep"), "members")
+    wanted = degree.select(F.col("rep").alias("doc_id"))
+    sets = spread_join(docs, wanted, "doc_id", "left_semi", salt=F.col("doc_id"))
+    sets = stage(sets.mapInArrow(full_sets, "doc_id long, shingles array<long>"), "sets")
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        return stage(confirmed(stage(pairs.distinct(), "pairs"), sets), "checked")
+
+    pairs, tried = _pivot_pairs(members.withColumn("component", F.col("rep")), None)
+    links = linked(pairs)
+    labels = stage(connected(links), "labels")
+    rest = _open(members, labels)
+    sizes = shared_sizes(rest.select("rep").distinct(), sets).filter(F.col("s") * 100 >= F.col("n") * PERCENT)
+    members = stage(members.join(sizes, "rep"), "members")
+    for turn in range(1, PIVOT_ROUNDS + 1):
+        rest = _open(members, labels)
+        if rest.isEmpty():
+            break
         if turn < PIVOT_ROUNDS:
-            free = open_ if tried is None else open_.join(tried, ["band", "rep"], "left_anti")
-            best = free.groupBy("band").agg(F.max_by(F.struct("rep", "sketch"), order).alias("p"))
-            pivots = stage(best.select("band", F.col("p.rep").alias("pivot"), F.col("p.sketch").alias("other")), "pivots")
-            used = pivots.select("band", F.col("pivot").alias("rep"))
-            tried = used if tried is None else tried.union(used)
-            near = open_.join(pivots, "band").filter(sketch_allows(*sketches) & (F.col("rep") != F.col("pivot")))
-            if turn:
-                home = labels.select(F.col("node").alias("pivot"), F.col("component").alias("at"))
-                near = near.join(home, "pivot", "left").filter(F.col("component") != F.coalesce("at", "pivot"))
-            found = near.select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b"))
+            pairs, used = _pivot_pairs(rest, tried)
+            tried = tried.union(used)
         else:
-            others = open_.select("band", F.col("rep").alias("b"), F.col("component").alias("at"), F.col("sketch").alias("other"))
-            across = (F.col("component") != F.col("at")) & (F.col("rep") < F.col("b")) & sketch_allows(*sketches)
-            found = open_.join(others, "band").filter(across).select(F.col("rep").alias("a"), "b")
-        pairs = stage(found.distinct(), "pairs")
-        wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
-        sets = docs.join(wanted, "doc_id", "left_semi").mapInArrow(full_sets, "doc_id long, shingles array<long>")
-        checked = stage(confirmed(pairs, sets), "checked")
-        links = checked if links is None else links.union(checked)
+            pairs = _cross_pairs(rest)
+        links = links.union(linked(pairs))
         labels = stage(connected(links), "labels")
 
     placed = classes.select(*same, "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left")
