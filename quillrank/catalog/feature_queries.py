@@ -145,6 +145,18 @@ def target_encode(t: Tables):
     return rounded(X.target_encoding(sized(t), "l_partkey", "label", 20))
 
 
+@query(
+    "target_encode_past",
+    """SELECT event_id, user_id, round((coalesce(sum(CAST(event_type = 'purchase' AS INTEGER)) OVER w, 0) + 4)
+      / (count(*) OVER w + 20), 6) AS encoded
+    FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""",
+)
+def target_encode_past(t: Tables):
+    rows = t.events.select("event_id", "user_id", "ts", (F.col("event_type") == "purchase").cast("int").alias("bought"))
+    out = X.past_target_encoding(rows, "user_id", "ts", "event_id", "bought", added=20, prior=0.2)
+    return rounded(out.select("event_id", "user_id", "encoded"))
+
+
 @query(
     "label_transfer",
     """WITH l AS (SELECT o_custkey, p_brand, count(*) AS n FROM orders JOIN lineitem ON l_orderkey = o_orderkey
@@ -180,6 +192,17 @@ def category_stats(t: Tables):
     return rounded(X.category_stats(t.lineitem, "l_suppkey", "l_extendedprice"), 4)
 
 
+@query(
+    "price_in_category",
+    """SELECT l_orderkey, l_linenumber, l_suppkey, count(*) OVER (PARTITION BY l_suppkey) AS n,
+    round(l_extendedprice / avg(l_extendedprice) OVER (PARTITION BY l_suppkey), 6) AS ratio FROM lineitem""",
+)
+def price_in_category(t: Tables):
+    rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice")
+    out = X.with_category_stats(rows, "l_suppkey", "l_extendedprice")
+    return rounded(out.select("l_orderkey", "l_linenumber", "l_suppkey", "n", "ratio"))
+
+
 @query(
     "share_rank",
     """WITH s AS (SELECT l_returnflag, l_suppkey, sum(l_quantity) AS amount FROM lineitem GROUP BY 1, 2)

@@ -59,6 +59,16 @@ def reading_time(t: Tables):
     return V.reading_time(t.documents.select("doc_id", "text"), "doc_id", "text")
 
 
+@query(
+    "reading_total",
+    r"""WITH w AS (SELECT CAST(sum(len(list_filter(regexp_split_to_array(lower(text), '[\s\-]+'),
+      lambda x: length(x) > 0))) AS BIGINT) AS words FROM documents)
+    SELECT words, CAST(ceil(words / 300) AS BIGINT) AS minutes FROM w""",
+)
+def reading_total(t: Tables):
+    return V.reading_total(t.documents.select("doc_id", "text"), "doc_id", "text")
+
+
 @query(
     "archive_rollup",
     """SELECT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month, count(*) AS posts

@@ -154,6 +154,18 @@ def target_encoding(df: DataFrame, column: str, label: str, added: float, rate:
     return smoothed_ctr(counts, added, rate).withColumnRenamed("smoothed", "encoded")
 
 
+def past_target_encoding(
+    df: DataFrame, column: str, ts: str, tie: str, label: str, added: float, prior: float
+) -> DataFrame:
+    """Smoothed mean label of the earlier rows of a row's value: neither its own label nor later ones go in.
+
+    ``prior`` is the rate that ``added`` rows before the first one are taken to have.
+    """
+    past = history(df, column, ts, tie, label)
+    encoded = (F.col("past_sum") + prior * added) / (F.col("past_n") + F.lit(float(added)))
+    return past.withColumn("encoded", encoded).drop("past_n", "past_sum", "past_mean")
+
+
 def label_transfer(links: DataFrame, labels: DataFrame, owner: str, via: str, label: str) -> DataFrame:
     """Share of each label among an owner's links, labels taken over from the other side.
 
@@ -175,6 +187,13 @@ def category_stats(df: DataFrame, category: str, value: str) -> DataFrame:
     )
 
 
+def with_category_stats(df: DataFrame, category: str, value: str) -> DataFrame:
+    """Every row with its category's statistics and the value over the category's mean."""
+    stats = category_stats(df, category, value)
+    joined = spread_join(df, stats, category, "left", weights=stats, weight="n", nulls=True)
+    return joined.withColumn("ratio", safe_ratio(F.col(value), F.col("mean")))
+
+
 def shares(df: DataFrame, key: str, within: str, value: str) -> DataFrame:
     """Sum per key, its share of the coarser key it lies in, and its rank there (1 + keys with a larger sum)."""
     per_key = stage(df.groupBy(within, key).agg(F.sum(value).alias("amount")), "amounts")

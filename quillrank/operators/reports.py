@@ -28,6 +28,13 @@ def reading_time(docs: DataFrame, doc: str, text: str, rate: int = 300, html: bo
     return docs.select(doc, words.alias("words")).withColumn("minutes", F.ceil(F.col("words") / rate).cast("bigint"))
 
 
+def reading_total(docs: DataFrame, doc: str, text: str, rate: int = 300, html: bool = False) -> DataFrame:
+    """Words of all texts together, and the minutes they take."""
+    words = F.coalesce(F.sum("words"), F.lit(0)).alias("words")
+    total = reading_time(docs, doc, text, rate, html).agg(words)
+    return total.withColumn("minutes", F.ceil(F.col("words") / rate).cast("bigint"))
+
+
 def archive_counts(posts: DataFrame, ts: str) -> DataFrame:
     """Posts per month, per year and in all."""
     parts = posts.select(F.year(ts).alias("year"), F.month(ts).alias("month"))
