@@ -6,13 +6,15 @@
    task sums Y'Y and Y'A over its passages; partial sums are added up in a tree of bounded groups. From both, the right
    singular vectors of the projection of A on the range of Y follow on the driver, in matrices of fixed size.
 3. Windows of two blocks, folded into the latent space, meet the windows of the benchmark items (a stated query set, in
-   blocks of ITEMS) as one matrix product per batch. Pairs with a cosine of NEAR or more are candidates.
+   blocks of ITEMS) as one matrix product per batch. Pairs with a cosine of NEAR or more (less for items
+   shorter than a window) are candidates, if a share of
+   COMMON of the different words of the item's window stands in the text's window.
 4. A candidate aligns an item with a place in the text. The longest common subsequence of the item's words and the words
    around that place must reach STRONG of the item, or WEAK of it while the answer, the last third of the item, is there
    at least half. Word order counts and changed, added or lost words do not hide a paraphrase.
 
-A verbatim passage of three blocks or more has a window inside the text whose cosine with a window of the item, up to two
-words off, is near one wherever it stands. The words of all documents are read three times and never shuffled.
+Windows of an item start every SHIFT words, those of a text every STEP words, so a verbatim passage meets a window that is at
+most half of SHIFT words off, and a short one lies whole in a window of the text. The words of all documents are read three times and never shuffled.
 
 Defined cases: null and blank texts match nothing; items without words match nothing; texts and items shorter than a
 window are one window; items that repeat are all reported; rows that share a key are judged one by one; an empty
@@ -32,12 +34,13 @@ from quillrank.llm.common import documents
 from quillrank.session import run_dir, stage
 
 TERMS = 1 << 14
-RANK, OVERSAMPLING = 56, 8
-STEP = 8
-SHIFT = 4
-NEAR = 0.6
+RANK, OVERSAMPLING = 40, 8
+STEP = 16
+SHIFT = 8
+NEAR, COMMON = 0.5, 0.5
 STRONG, WEAK, ANSWER = 0.75, 0.6, 0.5
 ITEMS = 2000
+BITS = 512
 FAN_IN = 16
 HITS = "array<struct<item_id:long,start:long,length:long,cosine:double,overlap:double>>"
 
@@ -91,7 +94,8 @@ def _moments(idf: np.ndarray, random: np.ndarray):
     width = random.shape[1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((TERMS + width, width))
+        total = np.zeros((TERMS + width, width), dtype=np.float32)
+        weight = idf.astype(np.float32)
         for batch in batches:
             b = Blocks(batch.column(1))
             if not len(b.words):
@@ -100,10 +104,10 @@ def _moments(idf: np.ndarray, random: np.ndarray):
             total[TERMS:] += y.T @ y
             order = np.argsort(b.terms.astype(np.uint16), kind="stable")
             block, term = b.of_words()[order], b.terms[order]
-            for k in range(0, len(order), 65536):
-                t = term[k : k + 65536]
+            for k in range(0, len(order), 1 << 18):
+                t = term[k : k + (1 << 18)]
                 at = np.flatnonzero(np.append(True, t[1:] != t[:-1]))
-                total[t[at]] += np.add.reduceat(y[block[k : k + 65536]], at, axis=0) * idf[t[at], None]
+                total[t[at]] += np.add.reduceat(y[block[k : k + (1 << 18)]], at, axis=0) * weight[t[at], None]
         yield pa.RecordBatch.from_arrays(
             [pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([total.astype("<f4").tobytes()], pa.binary())],
             ["g", "m"],
@@ -145,6 +149,16 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
 
 
+def bitmaps(words: np.ndarray) -> np.ndarray:
+    """A bitmap of BITS bits for each row of word hashes; -1 stands for no word."""
+    out = np.zeros((len(words), BITS // 64), dtype=np.uint64)
+    row = np.arange(len(words))
+    for w in words.T:
+        bit = (w % BITS).astype(np.uint64)
+        out[row, bit >> np.uint64(6)] |= np.where(w >= 0, np.uint64(1) << (bit & np.uint64(63)), np.uint64(0))
+    return out
+
+
 class Item:
     """An item's words as bit masks for the subsequence, whole and its last third."""
 
@@ -181,19 +195,37 @@ class Query:
 
     def __init__(self, items: list[tuple[int, list[int]]], folding: np.ndarray):
         self.folding = folding
-        self.items, self.owner, self.offset, rows = [], [], [], []
+        self.items, self.owner, self.offset, rows, windows = [], [], [], [], []
         for item_id, words in items:
             words = np.array(words, dtype=np.int64) & 0xFFFFFFFF
             if not len(words):
                 continue
             last = max(len(words) - 2 * STEP, 0)
             for o in sorted({*range(0, last + 1, SHIFT), last}):
-                rows.append(folding[words[o : o + 2 * STEP] % TERMS].sum(axis=0))
+                part = words[o : o + 2 * STEP]
+                rows.append(folding[part % TERMS].sum(axis=0))
+                windows.append(np.pad(part, (0, 2 * STEP - len(part)), constant_values=-1))
                 self.owner.append(len(self.items))
                 self.offset.append(o)
             self.items.append(Item(item_id, words))
+        self.bits = bitmaps(np.array(windows, dtype=np.int64).reshape(len(rows), 2 * STEP))
+        self.sizes = np.bitwise_count(self.bits).sum(axis=1)
+        # A window that an item fills in part only is that much less like the item.
+        lengths = np.array([min(self.items[k].n, 2 * STEP) for k in self.owner])
+        self.near = NEAR * np.sqrt(lengths / (2 * STEP))
         self.matrix = _unit(np.array(rows, dtype=np.float32).reshape(len(rows), folding.shape[1]))
 
+    def _common(self, b: Blocks, rows: np.ndarray, r: np.ndarray, q: np.ndarray) -> np.ndarray:
+        """Those of the pairs (row, query window) in which enough different words of the query window stand in the text's
+        window; windows are compared as bitmaps of their hashed words."""
+        start = b.first[rows]
+        end = np.minimum(start + 2 * STEP, (b.starts + b.sizes)[b.owner[rows]])
+        place = start[:, None] + np.arange(2 * STEP)
+        texts = bitmaps(np.where(place < end[:, None], b.words[np.minimum(place, len(b.words) - 1)], -1))
+        found = np.bitwise_count(texts[r] & self.bits[q]).sum(axis=1)
+        ok = found >= COMMON * self.sizes[q]
+        return np.stack([r[ok], q[ok]], axis=1)
+
     def hits(self, column: pa.Array) -> list[list[dict]]:
         b = Blocks(column)
         out: list[dict[int, dict]] = [{} for _ in b.sizes]
@@ -208,7 +240,8 @@ class Query:
         for k in range(0, len(use), 2048):
             rows = use[k : k + 2048]
             cosine = _unit(window[rows]) @ self.matrix.T
-            for r, q in np.argwhere(cosine >= NEAR).tolist():
+            pairs = self._common(b, rows, *np.nonzero(cosine >= self.near))
+            for r, q in pairs.tolist():
                 text, item = int(b.owner[rows[r]]), self.owner[q]
                 size, known = int(b.sizes[text]), self.items[item]
                 place = int(b.number[rows[r]]) * STEP - self.offset[q]
