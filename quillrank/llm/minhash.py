@@ -205,11 +205,13 @@ def _pivot_pairs(members: DataFrame, tried: DataFrame | None) -> tuple[DataFrame
 
 
 def _cross_pairs(members: DataFrame) -> DataFrame:
-    """All pairs of a bucket in different components that sizes and sketches allow."""
-    others = members.select("band", F.col("rep").alias("b"), F.col("component").alias("at"), F.col("sketch").alias("other"), F.col("n").alias("n2"), F.col("s").alias("s2"))
+    """All pairs in different components that sizes and sketches allow, each in the smallest bucket that they share."""
+    names = {"rep": "b", "component": "at", "sketch": "other", "n": "n2", "s": "s2", "bands": "bands2"}
+    others = members.select("band", *[F.col(c).alias(name) for c, name in names.items()])
     enough = F.least("s", "s2") * (100 + PERCENT) >= (F.col("n") + F.col("n2")) * PERCENT
     across = (F.col("component") != F.col("at")) & (F.col("rep") < F.col("b")) & enough & sketch_allows(F.col("sketch"), F.col("other"))
-    return members.join(others, "band").filter(across).select(F.col("rep").alias("a"), "b")
+    here = F.array_min(F.array_intersect("bands", "bands2")) == F.col("band")
+    return members.join(others, "band").filter(across & here).select(F.col("rep").alias("a"), "b")
 
 
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -225,8 +227,8 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     some = signed.filter("n_shingles > 0")
     same = ["key1", "key2", "n_shingles"]
     classes = stage(some.groupBy(*same).agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")), "classes")
-    keyed = classes.select("rep", F.posexplode("bands").alias("i", "key"))
-    banded = keyed.select("rep", F.xxhash64("i", "key").alias("band"))
+    classes = classes.withColumn("bands", F.transform("bands", lambda key, i: F.xxhash64(i, key)))
+    banded = classes.select("rep", F.explode("bands").alias("band"))
     shared = banded.groupBy("band").agg(F.count(F.lit(1)).alias("k")).filter("k > 1")
     members = stage(banded.join(shared, "band"), "buckets")
     degree = members.groupBy("rep").agg(F.sum(F.col("k") - 1).alias("degree"))
@@ -252,9 +254,11 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
             pairs, used = _pivot_pairs(rest, tried)
             tried = tried.union(used)
         else:
-            pairs = _cross_pairs(rest)
-        links = links.union(linked(pairs))
-        labels = stage(connected(links), "labels")
+            pairs = _cross_pairs(rest.join(classes.select("rep", "bands"), "rep"))
+        more = linked(pairs)
+        if not more.isEmpty():
+            links = links.union(more)
+            labels = stage(connected(links), "labels")
 
     placed = classes.select(*same, "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left")
     rows = signed.select("doc_id", *same).join(placed, same, "left")
