@@ -117,34 +117,48 @@ def decode(bits: bytes, checkpoints: bytes, n: int, table: np.ndarray) -> np.nda
     return out.reshape(-1)[:n]
 
 
+def narrow(ids: bytes) -> tuple[int, bytes]:
+    """Bytes per id, and the ids in so many: two where that is enough, else the four they had."""
+    values = np.frombuffer(ids, dtype="<u4")
+    return (2, values.astype("<u2").tobytes()) if values.max(initial=0) < 1 << 16 else (4, ids)
+
+
+def wide(width: int, ids: bytes) -> np.ndarray:
+    return np.frombuffer(ids, dtype=f"<u{width}")
+
+
+TOKENS = "doc_id long, width int, ids binary"
+
+
 def tokenized(df: DataFrame, tokenizer: str, end: int = END, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """A written table (doc_id, ids): each document's ids and the end id, little-endian unsigned 32-bit numbers."""
+    """A written table of TOKENS: each document's ids and the end id, as little-endian numbers of ``width`` bytes."""
 
     def ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = encode_all(tokenizer, batch.column(1).to_pylist(), end)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["doc_id", "ids"])
+            found = [narrow(x) for x in encode_all(tokenizer, batch.column(1).to_pylist(), end)]
+            columns = [pa.array([x[0] for x in found], pa.int32()), pa.array([x[1] for x in found], pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["doc_id", "width", "ids"])
 
     path = run_dir(df.sparkSession, "ids")
-    documents(df, key, text).mapInArrow(ids, "doc_id long, ids binary").write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema("doc_id long, ids binary").parquet(path)
+    documents(df, key, text).mapInArrow(ids, TOKENS).write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(TOKENS).parquet(path)
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(0, dtype=np.int64)
     for batch in batches:
-        part = np.bincount(np.frombuffer(b"".join(batch.column(0).to_pylist()), dtype="<u4"))
-        if len(part) > len(total):
-            part, total = total, part
-        total[: len(part)] += part
+        found = [wide(*x) for x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
+        part = np.bincount(np.concatenate(found or [np.zeros(0, np.int64)]), minlength=len(total))
+        part[: len(total)] += total
+        total = part
     seen = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen], pa.int64())], ["id", "n"])
 
 
 def write(tokens: DataFrame, path: str) -> None:
-    """Write the tables ``codes`` and ``blocks`` of (doc_id, ids) below ``path``."""
+    """Write the tables ``codes`` and ``blocks`` of a table of TOKENS below ``path``."""
     spark = tokens.sparkSession
-    counts = tokens.select("ids").mapInArrow(_counted, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    counts = tokens.select("width", "ids").mapInArrow(_counted, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     found = counts.toPandas()
     lengths = code_lengths(found["n"].to_numpy(dtype=np.int64))
     ids = found["id"].to_numpy(dtype=np.int64)
@@ -159,18 +173,18 @@ def write(tokens: DataFrame, path: str) -> None:
         docs, texts, held = [], [], 0
 
         def block() -> pa.RecordBatch:
-            sizes = [len(t) // 4 for t in texts]
-            bits, checkpoints = encode(np.frombuffer(b"".join(texts), dtype="<u4"), code, length)
+            sizes = [len(t) for t in texts]
+            bits, checkpoints = encode(np.concatenate(texts), code, length)
             values = [[part], [number], [start], [docs], [sizes], [held], [bits], [checkpoints]]
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int64(), pa.binary(), pa.binary()]
             names = ["part", "block", "start", "doc_ids", "n_tokens", "n_ids", "bits", "checkpoints"]
             return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, kinds)], names)
 
         for batch in batches:
-            for doc, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for doc, size, ids in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 docs.append(doc)
-                texts.append(ids)
-                held += len(ids) // 4
+                texts.append(wide(size, ids))
+                held += len(texts[-1])
                 if held >= BLOCK:
                     yield block()
                     start, number = start + held, number + 1
