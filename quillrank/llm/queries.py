@@ -148,7 +148,6 @@ def op4_sentence_spans(t: Tables) -> DataFrame:
     return done.select(
         "doc_id",
         F.coalesce("text", F.lit("")).alias("text"),
-        F.col("__sentences").alias("n_sentences"),
         F.col("__removed").alias("n_removed"),
     )
 

@@ -1,10 +1,10 @@
 """Repeated passages: runs of consecutive sentences that occur elsewhere are removed but for their first place.
 
-A text is cut into sentences after . ! ? ; their full-width forms and line breaks. A sentence of more than LONG words is
-cut again after words whose checksum is divisible by CUT, so that a passage is cut alike wherever it stands, with or
-without punctuation. From every sentence the shortest run of at least two sentences and MIN_WORDS words is hashed
-(lower case, white space collapsed), and so is the shortest such run that ends there. Hashes are joined globally; the
-first place of a run is the smallest (doc_id, sentence). Sentences covered by any other place of it go.
+A text is cut into sentences after . ! ? ; their full-width forms and line breaks. One of fewer than SHORT words joins the
+next one; one of more than LONG words is cut again after words whose checksum is divisible by CUT. So a passage is cut
+alike wherever it stands, with or without punctuation. From every sentence on, the shortest run of at least two
+sentences and MIN_WORDS words is hashed (lower case, white space collapsed). Hashes are joined globally; the first place
+of a run is the smallest (doc_id, sentence). Sentences covered by any other place of it go.
 
 Only (hash, doc_id, place) rows are shuffled for the search; a hash that holds a third of all rows is counted and reduced
 to its first place by partial aggregates, and its places meet that one row in a join that splits skewed partitions.
@@ -29,8 +29,8 @@ from quillrank.llm.common import documents
 from quillrank.plans.skew import spread_join
 from quillrank.session import stage
 
-MIN_WORDS = 20
-LONG, CUT = 12, 6
+MIN_WORDS = 25
+SHORT, LONG, CUT = 4, 12, 6
 _END = re.compile(r"[.!?;]+(?=\s)\s*|[。！？；]+\s*|\s*\n\s*")
 _WORD = re.compile(r"\S+\s*")
 _PRIME = 0x9E3779B97F4A7C15
@@ -39,11 +39,15 @@ _PRIME = 0x9E3779B97F4A7C15
 def sentences(text: str) -> list[int]:
     """End offsets of the sentences of a text; the first one starts at 0."""
     ends, start = [], 0
+    before = 0
     for stop in [m.end() for m in _END.finditer(text)] + [len(text)]:
+        if stop != len(text) and text.count(" ", before, stop) < SHORT + 1 and len(text[before:stop].split()) < SHORT:
+            before = stop
+            continue
+        before = stop
         if stop == start:
             continue
-        piece = text[start:stop]
-        if len(piece) > 2 * LONG and piece.count(" ") >= LONG and len(piece.split()) > LONG:
+        if text.count(" ", start, stop) >= LONG and len(text[start:stop].split()) > LONG:
             for m in _WORD.finditer(text, start, stop):
                 if m.end() < stop and not zlib.crc32(m[0].strip().lower().encode()) % CUT:
                     ends.append(m.end())
@@ -52,107 +56,92 @@ def sentences(text: str) -> list[int]:
     return ends
 
 
-def runs(text: str, backward: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """hash, first and last sentence of the shortest run from every sentence on, or up to every sentence."""
+def runs(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """hash, first and last sentence of the shortest run from every sentence on."""
     ends = sentences(text)
     n = len(ends)
     parts = [text[a:b].lower().split() for a, b in zip([0, *ends], ends)]
     if n < 2 or sum(map(len, parts)) < MIN_WORDS:
         return np.empty(0, np.uint64), np.empty(0, np.int32), np.empty(0, np.int32)
     size = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
-    unit = np.array([xxhash.xxh3_64_intdigest(" ".join(p)) for p in parts], dtype=np.uint64)
+    first = np.arange(n)
+    last = np.maximum(np.searchsorted(size, size[:-1] + MIN_WORDS), first + 2)
+    first = first[last <= n]
+    last = last[: len(first)]
     # Polynomial hashes of prefixes modulo 2^64, one Python integer a sentence.
     prefix, power = [0], [1]
-    for u in unit.tolist():
-        prefix.append((prefix[-1] * _PRIME + u) & 0xFFFFFFFFFFFFFFFF)
+    for p in parts:
+        prefix.append((prefix[-1] * _PRIME + xxhash.xxh3_64_intdigest(" ".join(p))) & 0xFFFFFFFFFFFFFFFF)
         power.append((power[-1] * _PRIME) & 0xFFFFFFFFFFFFFFFF)
     prefix, power = np.array(prefix, dtype=np.uint64), np.array(power, dtype=np.uint64)
-    at = np.arange(n)
-    if backward:
-        first, last = np.minimum(np.searchsorted(size, size[1:] - MIN_WORDS, side="right") - 1, at - 1), at + 1
-    else:
-        first, last = at, np.maximum(np.searchsorted(size, size[:-1] + MIN_WORDS), at + 2)
-    whole = (first >= 0) & (last <= n)
-    first, last = first[whole], last[whole]
     with np.errstate(over="ignore"):
         value = prefix[last] - prefix[first] * power[last - first]
     return value, first.astype(np.int32), (last - 1).astype(np.int32)
 
 
-def _run_rows(backward: bool):
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [(i, *runs(t, backward)) for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
-            keys = np.repeat(np.array([f[0] for f in found], dtype=np.int64), [len(f[1]) for f in found])
-            hashes, first, last = (np.concatenate([f[k] for f in found] or [np.empty(0)]) for k in (1, 2, 3))
-            places = first.astype(np.int64) << 32 | last.astype(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(hashes.astype(np.uint64).view(np.int64)), pa.array(keys), pa.array(places)], ["h", "doc_id", "place"]
-            )
-
-    return rows
+def _run_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        found = [(i, *runs(t)) for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
+        keys = np.repeat(np.array([f[0] for f in found], dtype=np.int64), [len(f[1]) for f in found])
+        hashes, first, last = (np.concatenate([f[k] for f in found] or [np.empty(0)]) for k in (1, 2, 3))
+        places = first.astype(np.int64) << 32 | last.astype(np.int64)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(hashes.astype(np.uint64).view(np.int64)), pa.array(keys), pa.array(places)], ["h", "doc_id", "place"]
+        )
 
 
 RUN = "h long, doc_id long, place long"
 
 
 def repeated(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, spans): per text with repeats, the spans (first, last sentence) that are not the first of their kind.
+    """(doc_id, spans): per text with repeats, the spans that are not the first of their kind.
 
-    Runs that start at each sentence are searched first. A repeated run that ends at a sentence begins with a repeated
-    run of the first kind, so runs of the second kind are only needed from texts that share something.
+    A span is first sentence * 2^32 + last sentence.
     """
     docs = documents(df, key, text).filter("doc_id is not null")
-    found = stage(docs.mapInArrow(_run_rows(False), RUN), "runs")
+    found = stage(docs.mapInArrow(_run_rows, RUN), "runs")
     often = found.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h")
     shared = stage(found.join(often, "h"), "shared")
-    involved = shared.select("doc_id").distinct()
-    texts = spread_join(docs, involved, "doc_id", "left_semi", salt=F.col("doc_id"))
-    runs_of = stage(shared.select("h", "doc_id", "place").union(texts.mapInArrow(_run_rows(True), RUN)), "runs")
     at = F.struct("doc_id", F.shiftright("place", 32).alias("start"))
-    firsts = runs_of.groupBy("h").agg(F.min(at).alias("at"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    later = runs_of.join(firsts, "h").filter(at != F.col("at"))
-    first, last = F.shiftright("place", 32).cast("int"), F.col("place").bitwiseAND(0xFFFFFFFF).cast("int")
-    spans = F.array_sort(F.collect_set(F.struct(first.alias("first"), last.alias("last"))))
-    return later.groupBy("doc_id").agg(spans.alias("spans"))
+    firsts = shared.groupBy("h").agg(F.min(at).alias("at"))
+    later = shared.join(firsts, "h").filter(at != F.col("at"))
+    return later.groupBy("doc_id").agg(F.sort_array(F.collect_set("place")).alias("spans"))
 
 
 def _cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The text column (the last but one) without the spans of the last column; adds counts of sentences."""
+    """The text column (the last but one) without the spans of the last column, and how many sentences went."""
     for batch in batches:
-        texts, spans = batch.column(batch.num_columns - 2).to_pylist(), batch.column(batch.num_columns - 1).to_pylist()
-        out, total, removed = [], [], []
+        texts, spans = (batch.column(batch.num_columns - k).to_pylist() for k in (2, 1))
+        out, removed = [], []
         for text, gone in zip(texts, spans):
-            if text is None:
-                out, total, removed = [*out, None], [*total, 0], [*removed, 0]
-                continue
             ends = sentences(text)
             cover = np.zeros(len(ends) + 1, dtype=np.int64)
-            for s in gone or ():
-                cover[s["first"]] += 1
-                cover[s["last"] + 1] -= 1
+            places = np.array(gone, dtype=np.int64)
+            np.add.at(cover, places >> 32, 1)
+            np.add.at(cover, (places & 0xFFFFFFFF) + 1, -1)
             dead = np.cumsum(cover)[:-1] > 0
             pieces = zip([0, *ends], ends, dead.tolist())
-            out.append("".join(text[a:b] for a, b, d in pieces if not d).rstrip() if dead.any() else text)
-            total.append(len(ends))
+            out.append("".join(text[a:b] for a, b, d in pieces if not d).rstrip())
             removed.append(int(dead.sum()))
         kept = [batch.column(i) for i in range(batch.num_columns - 2)]
-        extra = [pa.array(out, pa.string()), pa.array(total, pa.int64()), pa.array(removed, pa.int64())]
-        names = [*batch.schema.names[:-2], "__text", "__sentences", "__removed"]
-        yield pa.RecordBatch.from_arrays([*kept, *extra], names)
+        names = [*batch.schema.names[:-2], "__text", "__removed"]
+        yield pa.RecordBatch.from_arrays([*kept, pa.array(out, pa.string()), pa.array(removed, pa.int64())], names)
 
 
 def without_repeats(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The input's columns with the cleaned text in place, and n_sentences and n_removed as ``__sentences``, ``__removed``.
+    """The input's columns with the cleaned text in place, and the number of sentences that went as ``__removed``.
 
-    A null text stays null. Rows without a key are left as they are.
+    Only texts that change are joined to their spans and cut; all others pass by. A null text stays null, rows without a
+    key are left as they are.
     """
-    spans = repeated(df, key, text).select(F.col("doc_id").alias("__key"), F.col("spans").alias("__spans"))
+    spans = stage(repeated(df, key, text).select(F.col("doc_id").alias("__key"), "spans"), "spans")
     keyed = df.withColumn("__key", F.col(key).cast("long"))
-    joined = spread_join(keyed, spans, "__key", "left", salt=F.xxhash64("__key"))
+    known = spans.select("__key")
+    same = spread_join(keyed, known, "__key", "left_anti", salt=F.xxhash64("__key"))
+    changed = spread_join(keyed.filter(F.col(text).isNotNull()), known, "__key", "left_semi", salt=F.xxhash64("__key"))
     others = [c for c in df.columns if c != text]
-    rows = joined.select(*others, text, "__spans")
+    rows = changed.join(spans.withColumnRenamed("spans", "__spans"), "__key").select(*others, text, "__spans")
     kinds = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in others)
-    schema = f"{kinds}, __text string, __sentences long, __removed long"
-    cleaned = rows.mapInArrow(_cleaned, schema)
-    return cleaned.select(*[F.col("__text").alias(text) if c == text else F.col(c) for c in df.columns], "__sentences", "__removed")
+    cleaned = rows.mapInArrow(_cleaned, f"{kinds}, __text string, __removed long")
+    cleaned = cleaned.select(*[F.col("__text").alias(text) if c == text else F.col(c) for c in df.columns], "__removed")
+    return same.select(*df.columns, F.lit(0).cast("long").alias("__removed")).union(cleaned)
