@@ -71,6 +71,71 @@ def test_kneser_ney_against_brute_force(docs, spark):
     assert not got[100]["kept"] and all(got[k]["kept"] for k in range(90))
 
 
+def brute_words(texts):
+    """Word bigrams of (key, text) by dictionaries: the mean negative log-probability of a text seen from outside or inside."""
+    def pairs(t):
+        w = [x[:-1] if x[-1] in ".,;:!?" else x for x in t.lower().split()]
+        return list(zip(["", *w], w))
+
+    second, at2, at1 = Counter(), defaultdict(set), defaultdict(set)
+    for i, t in texts:
+        for y, z in pairs(t):
+            second[y, z] += 1
+            at2[y, z].add(i)
+            at1[z].add(i)
+    first = Counter(z for _, z in second)
+
+    def discount(counts):
+        n = [max(sum(1 for c in counts.values() if c == k), 1) for k in (1, 2, 3, 4)]
+        y = n[0] / (n[0] + 2 * n[1])
+        d = [min(max(k + 1 - (k + 2) * y * n[k + 1] / n[k], 0.05), k + 0.95) for k in range(3)]
+        return lambda c: d[min(c, 3) - 1]
+
+    d1, d2 = discount(first), discount(second)
+    after = defaultdict(list)
+    for (y, _), c in second.items():
+        after[y].append(c)
+    least = sum(map(d1, first.values())) / sum(first.values()) / (len(first) + 1)
+
+    def p(i, y, z):
+        weight = sum(map(d2, after[y])) / sum(after[y]) if y in after else 1.0
+        low = least if at1[z] <= {i} else (first[z] - d1(first[z])) / sum(first.values()) + least
+        return weight * low if at2[y, z] <= {i} else (second[y, z] - d2(second[y, z])) / sum(after[y]) + weight * low
+
+    return lambda i, t: -sum(math.log(p(i, *x)) for x in pairs(t)) / len(pairs(t))
+
+
+def test_word_bigrams_reject_junk_of_ordinary_words(docs, spark):
+    """Word lists and one word over and over have ordinary letters; perplexity is that of a dictionary model."""
+    rnd = random.Random(4)
+    words = ["".join(rnd.choice("etaoinsrhl") for _ in range(rnd.randint(2, 7))) for _ in range(200)]
+    follow = {w: rnd.sample(words, 4) for w in words}
+
+    def prose(n):
+        out = [rnd.choice(words)]
+        while len(out) < n:
+            out.append(rnd.choice(follow[out[-1]]))
+        return " ".join(w + rnd.choice(["", "", "", ",", "."]) for w in out)
+
+    rows = [(k, prose(rnd.randint(60, 300))) for k in range(120)] + [(k, prose(200).upper()) for k in range(120, 130)]
+    rows += [(k, " ".join(rnd.choice(words) for _ in range(200))) for k in range(130, 135)]
+    rows += [(k, " ".join([rnd.choice(words)] * 300)) for k in range(135, 140)]
+    rows += [(140, prose(150)), (140, rows[0][1]), (140, rows[0][1]), (None, prose(100)), (141, " .\n"), (142, None)]
+    labels = spark.createDataFrame([(k, 1) for k in range(120)], "doc_id long, quality int")
+    got = kneser_ney.classify(docs([(i, t and t.lower()) for i, t in rows], extra=True), labels).collect()
+    assert len(got) == len(rows)
+    want, found = brute_words([(i, t) for i, t in rows[:120]]), defaultdict(list)
+    for r in got:
+        found[r["doc_id"]].append(r)
+    for i, t in rows[:140]:
+        assert abs(math.log(found[i][0]["word_perplexity"]) - want(i, t)) < 1e-6
+    assert not any(found[k][0]["kept"] for k in range(130, 140))
+    assert sum(found[k][0]["kept"] for k in range(130)) > 125 and found[142][0]["kept"] and found[None][0]["n_words"] == 100
+    assert found[141][0]["n_words"] == 0 and found[141][0]["word_perplexity"] is None
+    one, two, three = sorted(found[140], key=lambda r: r["word_perplexity"])
+    assert len({one["word_perplexity"], two["word_perplexity"], three["word_perplexity"]}) == 2
+
+
 def test_kneser_ney_without_trusted_text(docs, spark):
     none = spark.createDataFrame([], "doc_id long, quality int")
     assert [r["kept"] for r in kneser_ney.classify(docs([(1, "abc"), (2, None)]), none).collect()] == [True, True]
