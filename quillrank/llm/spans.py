@@ -3,8 +3,12 @@
 A text is cut into sentences after . ! ? ; their full-width forms and line breaks. One of fewer than SHORT words joins the
 next one; one of more than LONG words is cut again after words whose checksum is divisible by CUT. So a passage is cut
 alike wherever it stands, with or without punctuation. From every sentence on, the shortest run of at least two
-sentences and MIN_WORDS words is hashed (lower case, white space collapsed). Hashes are joined globally; the first place
-of a run is the smallest (doc_id, sentence). Sentences covered by any other place of it go.
+sentences and MIN_WORDS words is hashed (lower case, white space collapsed), and so is the shortest such run up to every
+sentence. Hashes are joined globally; the first place of a run is the smallest (doc_id, sentence). Sentences covered by any
+other place of it go.
+
+Runs from each sentence are searched first. A repeated run up to a sentence begins with a repeated run of the first kind, so
+runs of the second kind are made only where one of those starts.
 
 Only (hash, doc_id, place) rows are shuffled for the search; a hash that holds a third of all rows is counted and reduced
 to its first place by partial aggregates, and its places meet that one row in a join that splits skewed partitions.
@@ -29,7 +33,7 @@ from quillrank.llm.common import documents
 from quillrank.plans.skew import spread_join
 from quillrank.session import stage
 
-MIN_WORDS = 25
+MIN_WORDS = 20
 SHORT, LONG, CUT = 4, 12, 6
 _END = re.compile(r"[.!?;]+(?=\s)\s*|[。！？；]+\s*|\s*\n\s*")
 _WORD = re.compile(r"\S+\s*")
@@ -56,18 +60,26 @@ def sentences(text: str) -> list[int]:
     return ends
 
 
-def runs(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """hash, first and last sentence of the shortest run from every sentence on."""
+def runs(text: str, forward: bool = True, starts: list[int] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """hash, first and last sentence of the shortest runs from every sentence on and, but for those, up to every sentence.
+
+    Those of the first kind are left out without ``forward``, those of the second kind that do not begin at ``starts``.
+    """
     ends = sentences(text)
     n = len(ends)
     parts = [text[a:b].lower().split() for a, b in zip([0, *ends], ends)]
     if n < 2 or sum(map(len, parts)) < MIN_WORDS:
         return np.empty(0, np.uint64), np.empty(0, np.int32), np.empty(0, np.int32)
     size = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
-    first = np.arange(n)
-    last = np.maximum(np.searchsorted(size, size[:-1] + MIN_WORDS), first + 2)
-    first = first[last <= n]
-    last = last[: len(first)]
+    at = np.arange(n)
+    last = np.maximum(np.searchsorted(size, size[:-1] + MIN_WORDS), at + 2)
+    to = at + 1
+    back = np.minimum(np.searchsorted(size, size[1:] - MIN_WORDS, side="right") - 1, at - 1)
+    new = (back >= 0) & (last[back] != to)
+    if starts is not None:
+        new &= np.isin(back, starts)
+    whole = (last <= n) & forward
+    first, last = np.concatenate([at[whole], back[new]]), np.concatenate([last[whole], to[new]])
     # Polynomial hashes of prefixes modulo 2^64, one Python integer a sentence.
     prefix, power = [0], [1]
     for p in parts:
@@ -80,8 +92,11 @@ def runs(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _run_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs from each sentence of (doc_id, text), or runs up to each sentence of (doc_id, text, starts)."""
     for batch in batches:
-        found = [(i, *runs(t)) for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
+        keys, texts = (batch.column(k).to_pylist() for k in (0, 1))
+        kinds = [(True, [])] * len(keys) if batch.num_columns == 2 else [(False, s) for s in batch.column(2).to_pylist()]
+        found = [(i, *runs(t, *kind)) for i, t, kind in zip(keys, texts, kinds)]
         keys = np.repeat(np.array([f[0] for f in found], dtype=np.int64), [len(f[1]) for f in found])
         hashes, first, last = (np.concatenate([f[k] for f in found] or [np.empty(0)]) for k in (1, 2, 3))
         places = first.astype(np.int64) << 32 | last.astype(np.int64)
@@ -102,9 +117,13 @@ def repeated(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     found = stage(docs.mapInArrow(_run_rows, RUN), "runs")
     often = found.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h")
     shared = stage(found.join(often, "h"), "shared")
-    at = F.struct("doc_id", F.shiftright("place", 32).alias("start"))
-    firsts = shared.groupBy("h").agg(F.min(at).alias("at"))
-    later = shared.join(firsts, "h").filter(at != F.col("at"))
+    start = F.shiftright("place", 32)
+    starts = shared.groupBy("doc_id").agg(F.collect_set(start.cast("int")).alias("starts"))
+    texts = spread_join(docs, starts, "doc_id", salt=F.xxhash64("text")).select("doc_id", "text", "starts")
+    runs_of = shared.union(stage(texts.mapInArrow(_run_rows, RUN), "runs_to"))
+    at = F.struct("doc_id", start.alias("start"))
+    firsts = runs_of.groupBy("h").agg(F.min(at).alias("at"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    later = runs_of.join(firsts, "h").filter(at != F.col("at"))
     return later.groupBy("doc_id").agg(F.sort_array(F.collect_set("place")).alias("spans"))
 
 

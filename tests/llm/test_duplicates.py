@@ -138,6 +138,24 @@ def test_spans_empty_and_repeated_rows(docs):
     assert [r["text"] for r in rows] == [text, text]
 
 
+def test_a_passage_goes_to_its_last_sentence(docs):
+    """No run that starts inside the last sentences ends where the passage does."""
+    rnd = random.Random(6)
+
+    def text(*sizes):
+        return " ".join(" ".join(f"q{rnd.randint(0, 10**6)}" for _ in range(n)) + "." for n in sizes)
+
+    rows, want = [], {}
+    for k, sizes in enumerate([(10, 9, 8, 5), (12, 11, 10, 5), (7, 12, 6, 8, 11, 4, 9, 12, 5), (12, 12, 12)]):
+        passage = text(*sizes)
+        for i in range(10 * k, 10 * k + 3):
+            head, tail = text(11, 9), text(12, 7)
+            rows.append((i, f"{head} {passage} {tail}"))
+            want[i] = rows[-1][1] if i % 10 == 0 else f"{head} {tail}"
+    got = {r["doc_id"]: r["text"] for r in spans.without_repeats(docs(rows)).collect()}
+    assert got == want and spans.MIN_WORDS == 20
+
+
 def test_passages_planted_inside_sentences_are_found():
     rnd = random.Random(9)
     for _ in range(60):
