@@ -30,9 +30,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, the one with the smallest key."""
+    """One document of each group of near-duplicates (similarity 0.8 or more), the one with the smallest key."""
     prepared(session.configure(spark))
-    return _without(docs, minhash.near_duplicates(docs), ~F.col("kept"))
+    return _without(docs, minhash.near_duplicates(docs, percent=80), ~F.col("kept"))
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -13,7 +13,7 @@
    cross-component pairs, with that bound and the sketch test inside the join. So no link that any band proposes is
    lost, and pairs inside a component are never listed.
 
-With 28 bands of 5 samples a pair at the limit of 0.85 is proposed with probability 1 - 8e-8. The sketch test lets
+With 28 bands of 5 samples a pair at the limit of 0.85 is proposed with probability 1 - 8e-8, one at 0.80 with 1 - 2e-5. The sketch test lets
 everything pass whose estimate lies within five standard errors of the limit.
 
 Defined cases: null and blank texts have an empty set and link with nothing; texts with fewer words than a shingle have
@@ -146,13 +146,13 @@ def hashed_words(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.transform(tokens, lambda w: F.xxhash64(w)).alias("words"))
 
 
-def sketch_allows(a: Column, b: Column) -> Column:
+def sketch_allows(a: Column, b: Column, percent: int = PERCENT) -> Column:
     """Whether the sketches' estimate lies within five standard errors of the limit.
 
     Two sketches differ by the parity of d flips, d = 2 * SAMPLES * (1 - similarity) on average; of n bits about
     n / 2 * (1 - exp(-2 d / n)) are then ones.
     """
-    limit = PERCENT / 100
+    limit = percent / 100
     lowest = limit - 5 * (limit * (1 - limit) / SAMPLES) ** 0.5
     flips = 2 * SAMPLES * (1 - lowest)
     ones = SKETCH_BITS / 2 * (1 - np.exp(-2 * flips / SKETCH_BITS))
@@ -160,7 +160,7 @@ def sketch_allows(a: Column, b: Column) -> Column:
     return sum(differ[1:], differ[0]) <= int(np.ceil(ones))
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The pairs (a, b) whose full sets are alike enough."""
     ends = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
     used = spread_join(sets, ends, "doc_id", "left_semi", salt=F.col("doc_id"))
@@ -168,14 +168,14 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     right = used.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb"))
     both = F.size(F.array_intersect("sa", "sb"))
     size = F.size("sa") + F.size("sb")
-    return pairs.join(left, "a").join(right, "b").filter(both * 100 >= (size - both) * PERCENT).select("a", "b")
+    return pairs.join(left, "a").join(right, "b").filter(both * 100 >= (size - both) * percent).select("a", "b")
 
 
 def shared_sizes(reps: DataFrame, sets: DataFrame) -> DataFrame:
     """(rep, n, s): size of each set, and how many of its shingles another set of ``reps`` has as well.
 
-    No overlap with another set can be larger than s, so a set with s below PERCENT of n links with nothing, and two
-    sets link only if both have at least PERCENT / (100 + PERCENT) of the sum of their sizes.
+    No overlap with another set can be larger than s, so a set with s below the limit's share of n links with nothing, and two
+    sets link only if both have at least percent / (100 + percent) of the sum of their sizes.
     """
     used = spread_join(sets, reps.withColumnRenamed("rep", "doc_id"), "doc_id", "left_semi", salt=F.col("doc_id"))
     single = used.select("doc_id", F.explode("shingles").alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("k"), F.min("doc_id").alias("rep"))
@@ -191,7 +191,7 @@ def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
     return stage(now.join(split.select("band"), "band"), "open")
 
 
-def _pivot_pairs(members: DataFrame, tried: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+def _pivot_pairs(members: DataFrame, tried: DataFrame | None, percent: int) -> tuple[DataFrame, DataFrame]:
     """Pairs of each bucket's pivot with the members of other components, and the pivots (band, rep).
 
     The pivot is the member with most partners over all bands that was not the pivot of this bucket before.
@@ -200,25 +200,25 @@ def _pivot_pairs(members: DataFrame, tried: DataFrame | None) -> tuple[DataFrame
     order = F.struct("degree", (-F.col("rep")).alias("r"))
     best = free.groupBy("band").agg(F.max_by(F.struct("rep", "sketch", "component"), order).alias("p"))
     pivots = stage(best.select("band", F.col("p.rep").alias("pivot"), F.col("p.sketch").alias("other"), F.col("p.component").alias("at")), "pivots")
-    near = members.join(pivots, "band").filter((F.col("component") != F.col("at")) & sketch_allows(F.col("sketch"), F.col("other")))
+    near = members.join(pivots, "band").filter((F.col("component") != F.col("at")) & sketch_allows(F.col("sketch"), F.col("other"), percent))
     return near.select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b")), pivots.select("band", F.col("pivot").alias("rep"))
 
 
-def _cross_pairs(members: DataFrame) -> DataFrame:
+def _cross_pairs(members: DataFrame, percent: int) -> DataFrame:
     """All pairs in different components that sizes and sketches allow, each in the smallest bucket that they share."""
     names = {"rep": "b", "component": "at", "sketch": "other", "n": "n2", "s": "s2", "bands": "bands2"}
     others = members.select("band", *[F.col(c).alias(name) for c, name in names.items()])
-    enough = F.least("s", "s2") * (100 + PERCENT) >= (F.col("n") + F.col("n2")) * PERCENT
-    across = (F.col("component") != F.col("at")) & (F.col("rep") < F.col("b")) & enough & sketch_allows(F.col("sketch"), F.col("other"))
+    enough = F.least("s", "s2") * (100 + percent) >= (F.col("n") + F.col("n2")) * percent
+    across = (F.col("component") != F.col("at")) & (F.col("rep") < F.col("b")) & enough & sketch_allows(F.col("sketch"), F.col("other"), percent)
     here = F.array_min(F.array_intersect("bands", "bands2")) == F.col("band")
     return members.join(others, "band").filter(across & here).select(F.col("rep").alias("a"), "b")
 
 
-def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """One row per input row: doc_id, n_shingles, class_id, component_id and kept.
 
-    class_id is the smallest key with the same set, component_id the smallest key reachable over links. kept marks the
-    rows of that smallest key. Writes tables below the shared folder and runs jobs while it builds its result.
+    class_id is the smallest key with the same set, component_id the smallest key reachable over links, which join sets with
+    a Jaccard similarity of ``percent`` or more in a hundred. kept marks the rows of that smallest key. Writes tables below the shared folder and runs jobs while it builds its result.
     """
     docs = hashed_words(documents(df, key, text))
     signed = stage(docs.mapInArrow(signatures, SIGNATURE), "signatures")
@@ -238,23 +238,23 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     sets = stage(sets.mapInArrow(full_sets, "doc_id long, shingles array<long>"), "sets")
 
     def linked(pairs: DataFrame) -> DataFrame:
-        return stage(confirmed(stage(pairs.distinct(), "pairs"), sets), "checked")
+        return stage(confirmed(stage(pairs.distinct(), "pairs"), sets, percent), "checked")
 
-    pairs, tried = _pivot_pairs(members.withColumn("component", F.col("rep")), None)
+    pairs, tried = _pivot_pairs(members.withColumn("component", F.col("rep")), None, percent)
     links = linked(pairs)
     labels = stage(connected(links), "labels")
     rest = _open(members, labels)
-    sizes = shared_sizes(rest.select("rep").distinct(), sets).filter(F.col("s") * 100 >= F.col("n") * PERCENT)
+    sizes = shared_sizes(rest.select("rep").distinct(), sets).filter(F.col("s") * 100 >= F.col("n") * percent)
     members = stage(members.join(sizes, "rep"), "members")
     for turn in range(1, PIVOT_ROUNDS + 1):
         rest = _open(members, labels)
         if rest.isEmpty():
             break
         if turn < PIVOT_ROUNDS:
-            pairs, used = _pivot_pairs(rest, tried)
+            pairs, used = _pivot_pairs(rest, tried, percent)
             tried = tried.union(used)
         else:
-            pairs = _cross_pairs(rest.join(classes.select("rep", "bands"), "rep"))
+            pairs = _cross_pairs(rest.join(classes.select("rep", "bands"), "rep"), percent)
         more = linked(pairs)
         if not more.isEmpty():
             links = links.union(more)

@@ -139,7 +139,7 @@ FROM d LEFT JOIN sets USING (doc_id) LEFT JOIN comp ON node = rep
 
 @query("op3_minhash_odd_sketch", NEAR_SQL)
 def op3_minhash_odd_sketch(t: Tables) -> DataFrame:
-    return minhash.near_duplicates(t.documents)
+    return minhash.near_duplicates(t.documents, percent=85)
 
 
 @query("op4_sentence_spans")

@@ -8,6 +8,7 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
+from quillrank.llm import minhash
 
 WORDS = "the of and to in is that it for was on are as with river stone garden evening market letter window summer teacher bridge".split()
 
@@ -79,3 +80,28 @@ def test_run_is_the_chain_of_stages(spark, folder):
     found = corpus_pipeline.run(spark, path)
     assert found.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
     assert {r["doc_id"] for r in found.select("doc_id").distinct().collect()} == set(texts) - {*range(120, 125), *range(81, 92), *range(110, 114)}
+
+
+def test_near_copies_between_80_and_85_percent_go(spark, docs):
+    """Scattered changes in texts of 300 words; the operator's own query still links from 85 % on."""
+    rnd = random.Random(12)
+
+    def shingles(text):
+        w = text.split()
+        return {tuple(w[k : k + 5]) for k in range(len(w) - 4)}
+
+    rows, gone = [], set()
+    for k in range(0, 60, 2):
+        text = [f"n{rnd.randint(0, 10**6)}" for _ in range(300)]
+        other, changes = list(text), rnd.choice([5, 6, 7, 9])
+        for j in range(changes):
+            other[10 + 30 * j] = f"c{rnd.randint(0, 10**6)}"
+        rows += [(k, " ".join(text)), (k + 1, " ".join(other))]
+        a, b = shingles(rows[-2][1]), shingles(rows[-1][1])
+        if len(a & b) / len(a | b) >= 0.8:
+            gone.add(k + 1)
+            assert len(a & b) / len(a | b) < 0.85
+    assert 10 < len(gone) < 25
+    df = docs(rows)
+    assert {k for k, _ in rows} - {r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, df, "").collect()} == gone
+    assert minhash.near_duplicates(df, percent=85).filter("kept").count() == len(rows)
