@@ -10,11 +10,11 @@
 4. After components are known, members of one bucket that lie in different components are the only ones left to
    compare. Shingles that no other of them has bound every overlap from above, which ends the search for texts that were
    changed too much to link with anything. The others get further pivots for a few rounds, and then all their
-   cross-component pairs, with that bound and the sketch test inside the join. So no link that any band proposes is
-   lost, and pairs inside a component are never listed.
+   cross-component pairs, with that bound and the sketch test inside the join. So a link that
+   any band proposes is lost with SKETCH_LOSS at most, and pairs inside a component are never listed.
 
-With 28 bands of 5 samples a pair at the limit of 0.85 is proposed with probability 1 - 8e-8, one at 0.80 with 1 - 2e-5. The sketch test lets
-everything pass whose estimate lies within five standard errors of the limit.
+With 28 bands of 5 samples a pair at the limit of 0.85 is proposed with probability 1 - 8e-8, one at 0.80 with 1 - 2e-5. The sketch test
+refuses at most SKETCH_LOSS of the pairs at the limit, by the exact distribution of ones, and fewer of those above it.
 
 Defined cases: null and blank texts have an empty set and link with nothing; texts with fewer words than a shingle have
 one shingle, the whole sequence; keys should be unique: rows that share one are one node, compared by the greatest of
@@ -24,6 +24,8 @@ their texts' word arrays, and each gets a result; other columns are ignored; an
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +41,7 @@ PERCENT = 85
 BANDS, BAND_ROWS = 28, 5
 SAMPLES = BANDS * BAND_ROWS
 SKETCH_BITS = 256
+SKETCH_LOSS = 1e-7
 PIVOT_ROUNDS = 3
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -146,18 +149,29 @@ def hashed_words(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.transform(tokens, lambda w: F.xxhash64(w)).alias("words"))
 
 
-def sketch_allows(a: Column, b: Column, percent: int = PERCENT) -> Column:
-    """Whether the sketches' estimate lies within five standard errors of the limit.
+@cache
+def sketch_limit(percent: int) -> int:
+    """The least number of ones that two sketches at the limit exceed with a probability of SKETCH_LOSS at most.
 
-    Two sketches differ by the parity of d flips, d = 2 * SAMPLES * (1 - similarity) on average; of n bits about
-    n / 2 * (1 - exp(-2 d / n)) are then ones.
+    Each of the samples that differ flips two random bits, so both the number of flips and the bits that they hit vary.
     """
-    limit = percent / 100
-    lowest = limit - 5 * (limit * (1 - limit) / SAMPLES) ** 0.5
-    flips = 2 * SAMPLES * (1 - lowest)
-    ones = SKETCH_BITS / 2 * (1 - np.exp(-2 * flips / SKETCH_BITS))
+    differ = 1 - percent / 100
+    moves = np.arange(SKETCH_BITS + 1) / SKETCH_BITS
+    ones = np.eye(1, SKETCH_BITS + 1)[0]
+    total = np.zeros(SKETCH_BITS + 1)
+    for k in range(SAMPLES + 1):
+        total += comb(SAMPLES, k) * differ**k * (1 - differ) ** (SAMPLES - k) * ones
+        for _ in range(2):
+            down, up = ones * moves, ones * (1 - moves)
+            ones = np.append(down[1:], 0) + np.append(0, up[:-1])
+    above = np.append(np.cumsum(total[::-1])[::-1][1:], 0)
+    return int(np.argmax(above <= SKETCH_LOSS))
+
+
+def sketch_allows(a: Column, b: Column, percent: int = PERCENT) -> Column:
+    """Whether the sketches differ by no more ones than a pair at the limit can."""
     differ = [F.bit_count(F.get(a, k).bitwiseXOR(F.get(b, k))) for k in range(SKETCH_BITS // 64)]
-    return sum(differ[1:], differ[0]) <= int(np.ceil(ones))
+    return sum(differ[1:], differ[0]) <= sketch_limit(percent)
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:

@@ -77,6 +77,21 @@ def test_sketch_estimates(docs):
     assert abs(estimate - j) < 0.1
 
 
+def test_sketch_limit_counts_both_errors():
+    """Draws of the stated model: samples that differ, each with two flips in a bitmap."""
+    rng, n = np.random.default_rng(0), 200_000
+    for percent in (80, 85):
+        flips = 2 * rng.binomial(minhash.SAMPLES, 1 - percent / 100, n)
+        odd = np.zeros((n, minhash.SKETCH_BITS), dtype=bool)
+        row = np.repeat(np.arange(n), flips)
+        np.logical_xor.at(odd, (row, rng.integers(0, minhash.SKETCH_BITS, len(row))), True)
+        ones = odd.sum(axis=1)
+        assert (ones > minhash.sketch_limit(percent)).sum() == 0
+        # The limit is no looser than that asks for: six standard errors at most.
+        assert minhash.sketch_limit(percent) < ones.mean() + 6 * ones.std()
+    assert minhash.sketch_limit(85) >= 70
+
+
 def test_components(spark):
     rnd = random.Random(3)
     links = [(rnd.randint(0, 300), rnd.randint(0, 300)) for _ in range(200)] + [(400 + k, 401 + k) for k in range(60)] + [(7, 7)]
