@@ -2,8 +2,10 @@
 
 Terms are the distinct lower-case words of a text and the first PREFIX letters of longer ones, hashed to 2 ** BITS
 slots. The score is the logistic of a bias, a weight per term, and the inner products of the factors of all pairs of
-terms, so that a pair (an insult and the mention of a group, say) can count more than both terms alone. Weights are fitted
-with an L1 penalty first, which leaves most terms at nothing; only terms with a weight get factors.
+terms, so that a pair (an insult and the mention of a group, say) can count more than both terms alone, also where neither
+counts alone. Every term of the sampled rows has factors. They start from small random numbers and from the directions in
+which pairs of terms explain what weights alone leave (eigenvectors of the pairs' summed errors, kept if they are
+stronger than with random signs); then weights, with an L1 penalty, and factors are learnt together.
 
 The model is fitted on at most ``sample`` labelled rows, those with the smallest hashes of their keys, in one task; its
 size is bounded by the slots, and it is broadcast to score all documents in one scan. Only the text goes into a score.
@@ -27,9 +29,10 @@ from quillrank.session import stage
 BITS, PREFIX = 18, 6
 FACTORS = 8
 SAMPLE = 20_000
-MIN_ROWS = 4
 EPOCHS, BATCH = 6, 256
-RATE, L1, L2 = 2.0, 6.0, 1e-4
+RATE, L1 = 2.0, 6.0
+FACTOR_EPOCHS, FACTOR_RATE, FACTOR_START, FACTOR_L2 = 14, 0.3, 0.003, 0.1
+ROUNDS = 8
 
 
 def terms(text: Column) -> Column:
@@ -67,8 +70,7 @@ class Machine:
         paired = self.v[term].any(axis=1)
         if paired.any():
             v, r = self.v[term[paired]], row[paired]
-            total = np.zeros((n, FACTORS))
-            np.add.at(total, r, v)
+            total = _sums(v, r, n)
             out += 0.5 * ((total**2).sum(axis=1) - np.bincount(r, weights=(v**2).sum(axis=1), minlength=n))
         return out
 
@@ -91,60 +93,79 @@ class Machine:
         def errors(rows: np.ndarray, t: np.ndarray, r: np.ndarray) -> np.ndarray:
             return 1 / (1 + np.exp(-self.margins(t, r, len(rows)))) - y[rows]
 
-        # Follow-the-regularised-leader with an L1 penalty, per coordinate.
+        # Follow-the-regularised-leader with an L1 penalty for weights, AdaGrad for factors, per coordinate.
         z, g2 = np.zeros(len(self.w)), np.zeros(len(self.w))
-        for _ in range(EPOCHS):
+        gv = np.ones(self.v.shape)
+        for epoch in range(EPOCHS + FACTOR_EPOCHS):
+            if epoch == EPOCHS:
+                left = y - 1 / (1 + np.exp(-self.margins(term, row, n)))
+                self.v = rng.normal(0, FACTOR_START, self.v.shape) + self._directions(term, row, left, rng)
             for rows, t, r in batches():
                 e = errors(rows, t, r)
-                g = np.bincount(t, weights=e[r], minlength=len(z))
-                z += g - (np.sqrt(g2 + g * g) - np.sqrt(g2)) / RATE * self.w
-                g2 += g * g
-                self.w = np.where(np.abs(z) > L1, -(z - np.sign(z) * L1) / ((1 + np.sqrt(g2)) / RATE), 0.0)
-                self.bias -= 0.01 * e.mean()
-        # Factors for the terms that are left, by AdaGrad; weights move on with them.
-        left = np.flatnonzero(self.w)
-        self.v[left] = rng.normal(0, 0.05, (len(left), FACTORS))
-        known = np.zeros(len(self.w), dtype=bool)
-        known[left] = True
-        gv, gw = np.full(self.v.shape, 1e-3), np.full(len(self.w), 1e-3)
-        for _ in range(EPOCHS):
-            for rows, t, r in batches():
-                e = errors(rows, t, r)
-                keep = known[t]
-                t, r = t[keep], r[keep]
-                v = self.v[t]
-                total = np.zeros((len(rows), FACTORS))
-                np.add.at(total, r, v)
-                step = np.zeros_like(self.v)
-                np.add.at(step, t, e[r, None] * (total[r] - v))
-                step += L2 * self.v
-                gv += step * step
-                self.v -= 0.02 * step / np.sqrt(gv)
-                slope = np.bincount(t, weights=e[r], minlength=len(self.w)) + L2 * self.w * known
-                gw += slope * slope
-                self.w -= 0.02 * slope / np.sqrt(gw)
+                used, place = np.unique(t, return_inverse=True)
+                g = np.bincount(place, weights=e[r], minlength=len(used))
+                z[used] += g - (np.sqrt(g2[used] + g * g) - np.sqrt(g2[used])) / RATE * self.w[used]
+                g2[used] += g * g
+                moved = -(z[used] - np.sign(z[used]) * L1) / ((1 + np.sqrt(g2[used])) / RATE)
+                self.w[used] = np.where(np.abs(z[used]) > L1, moved, 0.0)
                 self.bias -= 0.01 * e.mean()
+                if epoch >= EPOCHS:
+                    v = self.v[t]
+                    slope = e[r, None] * (_sums(v, r, len(rows))[r] - v)
+                    step = _sums(slope, place, len(used)) + FACTOR_L2 * self.v[used]
+                    gv[used] += step * step
+                    self.v[used] -= FACTOR_RATE * step / np.sqrt(gv[used])
+
+    def _directions(self, term: np.ndarray, row: np.ndarray, left: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+        """Factors that explain what is left of the labels: leading eigenvectors of the sum of left * x x' over rows, less its
+        diagonal, each row over its number of terms; columns that are no stronger than chance are zero."""
+        n = len(left)
+        share = 1 / np.maximum(np.bincount(row, minlength=n), 1)
+
+        def strongest(c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            own = np.bincount(term, weights=c[row], minlength=len(self.w))[:, None]
+
+            def times(u: np.ndarray) -> np.ndarray:
+                return _sums((c[:, None] * _sums(u[term], row, n))[row], term, len(self.w)) - own * u
+
+            u = np.linalg.qr(rng.normal(size=(len(self.w), 2 * FACTORS)))[0]
+            for _ in range(ROUNDS):
+                u = np.linalg.qr(times(u))[0]
+            values, turn = np.linalg.eigh(u.T @ times(u))
+            return values[::-1], (u @ turn)[:, ::-1]
+
+        values, vectors = strongest(left * share)
+        chance = strongest(left * share * rng.choice([-1.0, 1.0], n))[0].max()
+        out = np.zeros(self.v.shape)
+        for k in range(min(FACTORS, vectors.shape[1])):
+            if values[k] > chance:
+                u = vectors[:, [k]]
+                pairs = 0.5 * (_sums(u[term], row, n) ** 2 - _sums(u[term] ** 2, row, n))
+                # Such a start moves no more than half a unit of the margins.
+                out[:, k] = u[:, 0] * np.sqrt(min(1.0, 0.5 / max(pairs.std(), 1e-9)))
+        return out
+
+
+def _sums(values: np.ndarray, group: np.ndarray, size: int) -> np.ndarray:
+    """Column sums of the rows of each group."""
+    return np.stack([np.bincount(group, weights=c, minlength=size) for c in values.T], axis=1)
 
 
 def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per term with a weight, and the bias under term -1."""
+    """One row per term, and the bias under term -1."""
     parts = [(_flat(b.column(0)), b.column(1).to_numpy(zero_copy_only=False)) for b in batches]
     y = np.concatenate([p[1] for p in parts] or [np.zeros(0)]).astype(float)
     before = np.cumsum([0] + [len(p[1]) for p in parts])
     term = np.concatenate([p[0][0] for p in parts] or [np.zeros(0, np.int64)])
     row = np.concatenate([p[0][1] + k for p, k in zip(parts, before)] or [np.zeros(0, np.int64)])
-    used, place, count = np.unique(term, return_inverse=True, return_counts=True)
-    often = count >= MIN_ROWS
-    dense = np.cumsum(often) - 1
-    keep = often[place]
-    machine = Machine(int(often.sum()))
-    machine.fit(dense[place[keep]], row[keep], y)
-    left = np.flatnonzero(machine.w)
+    used, place = np.unique(term, return_inverse=True)
+    machine = Machine(len(used))
+    machine.fit(place, row, y)
     yield pa.RecordBatch.from_arrays(
         [
-            pa.array(np.concatenate([[-1], used[often][left]]), pa.int64()),
-            pa.array(np.concatenate([[machine.bias], machine.w[left]])),
-            pa.array([[0.0] * FACTORS, *machine.v[left].tolist()], pa.list_(pa.float64())),
+            pa.array(np.concatenate([[-1], used]), pa.int64()),
+            pa.array(np.concatenate([[machine.bias], machine.w])),
+            pa.array([[0.0] * FACTORS, *machine.v.tolist()], pa.list_(pa.float64())),
         ],
         ["term", "w", "v"],
     )
@@ -162,21 +183,19 @@ def score(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     rows = docs.join(F.broadcast(chosen), "doc_id").select(terms(F.col("text")).alias("terms"), F.col("toxic").cast("double"), "doc_id")
     # In one order whatever the partitions were, so that a fit can be repeated.
     fitted = stage(rows.repartition(1).sortWithinPartitions("doc_id").select("terms", "toxic").mapInArrow(_train, "term long, w double, v array<double>"), "machine")
-    got = fitted.collect()  # at most one row per slot, and the bias
+    got = fitted.toArrow()  # at most one row per slot, and the bias
     machine = Machine(1 << BITS)
-    for r in got:
-        if r["term"] < 0:
-            machine.bias = r["w"]
-        else:
-            machine.w[r["term"]], machine.v[r["term"]] = r["w"], r["v"]
+    term, w = got["term"].to_numpy(), got["w"].to_numpy()
+    v = got["v"].combine_chunks().flatten().to_numpy().reshape(-1, FACTORS)
+    machine.bias = float(w[term < 0].sum())
+    machine.w[term[term >= 0]], machine.v[term[term >= 0]] = w[term >= 0], v[term >= 0]
     machine.w, machine.v = machine.w.astype(np.float32), machine.v.astype(np.float32)
     shared = df.sparkSession.sparkContext.broadcast(machine)
 
     def margins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             term, row = _flat(batch.column(1))
-            found = shared.value.w[term] != 0
-            value = shared.value.margins(term[found], row[found], batch.num_rows)
+            value = shared.value.margins(term, row, batch.num_rows)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(1 / (1 + np.exp(-value)))], ["doc_id", "score"])
 
     scored = docs.select("doc_id", terms(F.col("text")).alias("terms")).mapInArrow(margins, "doc_id long, score double")

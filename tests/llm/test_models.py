@@ -160,6 +160,24 @@ def test_factorization_machine_learns_pairs(docs, spark):
     assert (got.predicted.to_numpy() == truth)[held].mean() > 0.97
 
 
+def test_factorization_machine_learns_pairs_without_single_terms(docs, spark):
+    """Each of two words is as frequent in toxic texts as in others: toxic is who has both or neither."""
+    rnd = random.Random(2)
+    rows, labels = [], []
+    for k in range(3000):
+        words = [f"word{rnd.randint(0, 200)}" for _ in range(12)]
+        insult, group = rnd.random() < 0.5, rnd.random() < 0.5
+        words += ["rotten"] * insult + ["north"] * group
+        rnd.shuffle(words)
+        rows.append((k, " ".join(words)))
+        labels.append((k, int(insult == group)))
+    truth = np.array([y for _, y in labels])
+    for word in ("rotten", "north"):
+        assert abs(np.corrcoef([word in t for _, t in rows], truth)[0, 1]) < 0.05
+    got = toxicity.score(docs(rows), spark.createDataFrame(labels, "doc_id long, toxic int")).filter("held_out").toPandas()
+    assert (got.predicted.to_numpy() == truth[got.doc_id]).mean() > 0.95
+
+
 def test_factorization_machine_cases(docs, spark):
     df = docs([(1, None), (2, ""), (3, "x y"), (3, "x y"), (None, "z")])
     none = spark.createDataFrame([], "doc_id long, toxic int")
