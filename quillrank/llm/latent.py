@@ -9,12 +9,17 @@
    blocks of ITEMS) as one matrix product per batch. Pairs with a cosine of NEAR or more (less for items
    shorter than a window) are candidates, if a share of
    COMMON of the different words of the item's window stands in the text's window.
-4. A candidate aligns an item with a place in the text. The longest common subsequence of the item's words and the words
+4. Besides, every item is looked for by its rarest words: so many of them that a text which holds WEAK of the item's words in
+   order holds one of these at least. Places where a bitmap of the blocks around lacks more of the item's words than
+   that leaves open are dropped, all places around the others are tried. So no pair that step 5 accepts at any place is
+   refused before it, however short the item is and however its words are weighted.
+5. A candidate aligns an item with a place in the text. The longest common subsequence of the item's words and the words
    around that place must reach STRONG of the item, or WEAK of it while the answer, the last third of the item, is there
    at least half. Word order counts and changed, added or lost words do not hide a paraphrase.
 
 Windows of an item start every SHIFT words, those of a text every STEP words, so a verbatim passage meets a window that is at
-most half of SHIFT words off, and a short one lies whole in a window of the text. The words of all documents are read three times and never shuffled.
+most half of SHIFT words off, and a short one lies whole in a window of the text. What
+those windows miss, the rarest words find. The words of all documents are read three times and never shuffled.
 
 Defined cases: null and blank texts match nothing; items without words match nothing; texts and items shorter than a
 window are one window; items that repeat are all reported; rows that share a key are judged one by one; an empty
@@ -63,6 +68,7 @@ class Blocks:
         self.owner = np.repeat(np.arange(len(self.sizes)), per_text)
         self.number = np.arange(len(self.owner)) - np.repeat(np.cumsum(per_text) - per_text, per_text)
         self.first = self.starts[self.owner] + self.number * STEP
+        self.of_text = np.cumsum(per_text) - per_text
 
     def sums(self, table: np.ndarray) -> np.ndarray:
         """The sum of a row of ``table`` per word, for every block, some blocks at a time."""
@@ -163,7 +169,7 @@ class Item:
     """An item's words as bit masks for the subsequence, whole and its last third."""
 
     def __init__(self, item_id: int, words: np.ndarray):
-        self.item_id, self.n = item_id, len(words)
+        self.item_id, self.n, self.words = item_id, len(words), words
         tail = words[self.n - max(self.n // 3, 1) :]
         self.parts = [self.masks(words), self.masks(tail)]
 
@@ -193,7 +199,7 @@ class Item:
 class Query:
     """Items with their windows in the latent space."""
 
-    def __init__(self, items: list[tuple[int, list[int]]], folding: np.ndarray):
+    def __init__(self, items: list[tuple[int, list[int]]], folding: np.ndarray, idf: np.ndarray):
         self.folding = folding
         self.items, self.owner, self.offset, rows, windows = [], [], [], [], []
         for item_id, words in items:
@@ -214,6 +220,57 @@ class Query:
         lengths = np.array([min(self.items[k].n, 2 * STEP) for k in self.owner])
         self.near = NEAR * np.sqrt(lengths / (2 * STEP))
         self.matrix = _unit(np.array(rows, dtype=np.float32).reshape(len(rows), folding.shape[1]))
+        self._probes(idf)
+
+    def _probes(self, idf: np.ndarray) -> None:
+        """The rarest words of the items, in order of the words, with the item and the place of each; bitmaps of whole items."""
+        size = max((i.n for i in self.items), default=1)
+        whole = [np.pad(i.words, (0, size - i.n), constant_values=-1) for i in self.items]
+        self.whole = bitmaps(np.array(whole, dtype=np.int64).reshape(len(self.items), size))
+        self.lengths = np.array([i.n for i in self.items], dtype=np.int64)
+        # Words that may be missing where WEAK of an item is there.
+        self.missing = self.lengths - np.ceil(WEAK * self.lengths - 1e-9).astype(np.int64)
+        places = [np.argsort(-idf[i.words % TERMS], kind="stable")[: m + 1] for i, m in zip(self.items, self.missing)]
+        words = np.concatenate([i.words[p] for i, p in zip(self.items, places)] or [np.empty(0, np.int64)])
+        order = np.argsort(words, kind="stable")
+        self.probe_item = np.repeat(np.arange(len(places)), [len(p) for p in places])[order]
+        self.probe_place = np.concatenate(places or [np.empty(0, np.int64)])[order]
+        self.probe_words, self.probe_from, self.probe_counts = np.unique(words[order], return_index=True, return_counts=True)
+        self.first_window = np.searchsorted(np.array(self.owner, dtype=np.int64), np.arange(len(self.items)))
+
+    def _shared(self, b: Blocks) -> Iterator[tuple[int, int, int, int]]:
+        """(text, item, first, last): places to try where the text has a probe of the item, and not too many of its other words
+        are missing around them.
+
+        An alignment that leaves out m words of the item has a probe at most m + STEP words from where it would stand.
+        """
+        owner = np.repeat(np.arange(len(b.sizes)), b.sizes)
+        place = b.first[:, None] + np.arange(STEP)
+        end = (b.starts + b.sizes)[b.owner][:, None]
+        bits = bitmaps(np.where(place < end, b.words[np.minimum(place, len(b.words) - 1)], -1))
+        before = int(self.lengths.max()) // STEP + 2
+        wide = int(b.sizes.max()) // STEP + before + 2
+        for k in range(0, len(b.words), 1 << 16):
+            w = b.words[k : k + (1 << 16)]
+            at = np.minimum(np.searchsorted(self.probe_words, w), len(self.probe_words) - 1)
+            hit = np.flatnonzero(self.probe_words[at] == w)
+            count = self.probe_counts[at[hit]]
+            which = np.repeat(self.probe_from[at[hit]] - np.cumsum(count) + count, count) + np.arange(count.sum())
+            word = np.repeat(hit + k, count)
+            text, item = owner[word], self.probe_item[which]
+            bucket = (word - b.starts[text] - self.probe_place[which]) // STEP
+            _, one = np.unique((text * len(self.items) + item) * wide + bucket + before, return_index=True)
+            text, item = text[one], item[one]
+            first = bucket[one] * STEP - STEP - self.missing[item]
+            last = first + 3 * STEP - 1 + 2 * self.missing[item]
+            low = np.maximum(first - STEP, 0) // STEP
+            high = (np.minimum(last + self.lengths[item] + STEP, b.sizes[text]) - 1) // STEP
+            near = np.zeros((len(one), BITS // 64), dtype=np.uint64)
+            for j in range(int((high - low).max(initial=-1)) + 1):
+                use = low + j <= high
+                near[use] |= bits[b.of_text[text[use]] + low[use] + j]
+            ok = np.bitwise_count(self.whole[item] & ~near).sum(axis=1) <= self.missing[item]
+            yield from zip(*(x[ok].tolist() for x in (text, item, first, last)))
 
     def _common(self, b: Blocks, rows: np.ndarray, r: np.ndarray, q: np.ndarray) -> np.ndarray:
         """Those of the pairs (row, query window) in which enough different words of the query window stand in the text's
@@ -237,23 +294,35 @@ class Query:
         window[:-1][~last[:-1]] += block[1:][~last[:-1]]
         use = np.flatnonzero(~last | (b.number == 0))
         seen = set()
+
+        def judge(text: int, item: int, place: int, cosine) -> None:
+            size, known = int(b.sizes[text]), self.items[item]
+            key = (text, item, place)
+            if key in seen:
+                return
+            seen.add(key)
+            start, end = max(place - STEP, 0), max(min(place + known.n + STEP, size), 0)
+            at = int(b.starts[text])
+            overlap = known.found(b.words[at + start : at + end].tolist())
+            if overlap and overlap > out[text].get(item, {}).get("overlap", 0.0):
+                out[text][item] = {"item_id": known.item_id, "start": start, "length": end - start, "cosine": float(cosine()), "overlap": overlap}
+
         for k in range(0, len(use), 2048):
             rows = use[k : k + 2048]
             cosine = _unit(window[rows]) @ self.matrix.T
             pairs = self._common(b, rows, *np.nonzero(cosine >= self.near))
             for r, q in pairs.tolist():
-                text, item = int(b.owner[rows[r]]), self.owner[q]
-                size, known = int(b.sizes[text]), self.items[item]
                 place = int(b.number[rows[r]]) * STEP - self.offset[q]
-                key = (text, item, place // STEP)
-                if key in seen:
-                    continue
-                seen.add(key)
-                start, end = max(place - STEP, 0), min(place + known.n + STEP, size)
-                at = int(b.starts[text])
-                overlap = known.found(b.words[at + start : at + end].tolist())
-                if overlap and overlap > out[text].get(item, {}).get("overlap", 0.0):
-                    out[text][item] = {"item_id": known.item_id, "start": start, "length": end - start, "cosine": float(cosine[r, q]), "overlap": overlap}
+                judge(int(b.owner[rows[r]]), self.owner[q], place, lambda: cosine[r, q])
+        for text, item, first, last in self._shared(b):
+            n, size, at = self.items[item].n, int(b.sizes[text]), int(b.starts[text])
+            if out[text].get(item, {}).get("overlap") == 1.0:
+                continue
+            # No place between can have more than all of them together.
+            if self.items[item].found(b.words[at + max(first - STEP, 0) : at + min(last + n + STEP, size)].tolist()):
+                for place in range(first, last + 1):
+                    row = int(b.of_text[text]) + min(max(place, 0), size - 1) // STEP
+                    judge(text, item, place, lambda: (_unit(window[[row]]) @ self.matrix[self.first_window[item]])[0])
         return [[found[i] for i in sorted(found)] for found in out]
 
 
@@ -281,7 +350,7 @@ def contaminated(df: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
     found = None
     for k in range(0, max(count, 1), ITEMS):
         block = ordered.offset(k).limit(ITEMS).collect()  # at most ITEMS items
-        shared = spark.sparkContext.broadcast(Query([(r["item_id"], r["words"]) for r in block], folding))
+        shared = spark.sparkContext.broadcast(Query([(r["item_id"], r["words"]) for r in block], folding, idf))
 
         def search(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             kind = pa.list_(pa.struct([("item_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("cosine", pa.float64()), ("overlap", pa.float64())]))

@@ -217,6 +217,35 @@ def test_latent_finds_passages_and_paraphrases(docs, spark):
     assert all(r["contaminated"] == bool(r["hits"]) for r in got)
 
 
+def test_latent_recall_against_brute_force(docs, spark):
+    """Items of all lengths, verbatim or with a share of their words, among words of very unequal frequency."""
+    rnd = random.Random(13)
+    vocabulary = [f"v{k}" for k in range(3000)]
+    weights = [1 / (k + 3) for k in range(3000)]
+
+    def filler(n):
+        return rnd.choices(vocabulary, weights, k=n)
+
+    items = [filler(n) for n in [*range(3, 44), 59, 100, 200]]
+    rows, planted = [], []
+    for k in range(3 * len(items)):
+        i = k % len(items)
+        kept = rnd.choice([1.0, 0.8, 0.7, 0.65])
+        inside = [w if rnd.random() < kept else rnd.choice(vocabulary) for w in items[i]]
+        rows.append((k, " ".join(filler(rnd.randint(0, 90)) + inside + filler(rnd.randint(0, 90)))))
+        planted.append((k, i))
+    got = latent.contaminated(docs(rows), spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(items)], "item_id long, text string"))
+    found = {r["doc_id"]: {h["item_id"] for h in r["hits"]} for r in got.collect()}
+    number, wanted = {w: k for k, w in enumerate(vocabulary)}, 0
+    for k, i in [*planted, *[(k, rnd.randrange(len(items))) for k, _ in rows]]:
+        text, item = [number[w] for w in rows[k][1].split()], latent.Item(i, np.array([number[w] for w in items[i]]))
+        starts = range(-item.n, len(text), 4)
+        if any(item.found(text[max(p - latent.STEP, 0) : max(p + item.n + latent.STEP, 0)]) for p in starts):
+            wanted += 1
+            assert i in found[k], (k, i, item.n)
+    assert wanted > 90 and all(i in found[k] for k, i in planted if " ".join(items[i]) in rows[k][1])
+
+
 def test_latent_blocks_and_empty(docs, spark, monkeypatch):
     none = spark.createDataFrame([], "item_id long, text string")
     assert latent.contaminated(docs([(1, "a b c")]), none).filter("contaminated").count() == 0
