@@ -307,6 +307,11 @@ def test_trees_read_structure_alone():
     assert np.mean(share) > 0.7
 
 
+def test_marks_count_alike_at_every_length():
+    rate = [extraction.Page(f"<p>{'so; it: is! ' * n}</p>").features()[-1, 10] for n in (100, 800, 900, 5000)]
+    assert np.allclose(rate, rate[0], rtol=0.01) and rate[0] > 20
+
+
 def test_decoding_has_no_orphans():
     rnd = np.random.default_rng(0)
     parsed = extraction.Page("<div>a<div>b<p>c</p><p>d</p></div><ul><li>e<li>f</ul></div><div>g</div>")
