@@ -394,13 +394,13 @@ def dirichlet(t: Tables):
 @query("lda_doc_topics")
 def lda_doc_topics(t: Tables):
     docs = texts(t).select("doc_id", tokens("text").alias("words"))
-    return V.doc_topics(V.fit_topics(docs, "words", k=4, iterations=5, min_df=5), docs, "doc_id")
+    return V.doc_topics(V.fit_topics(docs, "words", k=4, iterations=5, min_df=1), docs, "doc_id")
 
 
 @query("lda_topic_words")
 def lda_topic_words(t: Tables):
     docs = texts(t).select("doc_id", tokens("text").alias("words"))
-    return V.topic_words(V.fit_topics(docs, "words", k=4, iterations=5, min_df=5), 10)
+    return V.topic_words(V.fit_topics(docs, "words", k=4, iterations=5, min_df=1), 10)
 
 
 @query("word2vec_neighbours")
@@ -408,9 +408,9 @@ def word2vec_neighbours(t: Tables):
     corpus = C.basket_corpus(S.actions(t), low=2, ms=0).select(F.split("list", " ").alias("words"))
     vectors = stage(V.word_vectors(V.fit_word2vec(corpus, "words", size=16, min_count=2, maxIter=3)), "word_vectors")
     numbered = vectors.select(F.col("word").cast("bigint").alias("vec_id"), "embedding")
-    # The items of the catalogue are the queries; a larger catalogue is refused and goes in several calls.
+    # All items of the catalogue are queries, a block of them in each scan.
     queries = numbered.withColumnRenamed("vec_id", "query_id")
-    return V.nearest(numbered, queries, 5)
+    return V.nearest_in_blocks(numbered, queries, 5)
 
 
 @query("bag_of_words_components")

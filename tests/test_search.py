@@ -6,6 +6,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from quillrank.functions import dirichlet_mean, dirichlet_mode, json_items, version_at_least
@@ -143,6 +144,24 @@ def test_nearest_refuses_too_many_queries(spark):
         V.nearest(df, df.withColumnRenamed("vec_id", "query_id"), max_queries=4)
 
 
+def test_nearest_in_blocks_asks_for_all(spark):
+    m = np.random.default_rng(1).normal(size=(50, 4)).round(3)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(m)], "vec_id bigint, embedding array<double>")
+    queries = df.withColumnRenamed("vec_id", "query_id")
+    want = sorted(map(tuple, V.nearest(df, queries, 2).collect()))
+    assert sorted(map(tuple, V.nearest_in_blocks(df, queries, 2, block=20).collect())) == want and len(want) == 100
+
+
+def test_hashed_counts_drop_no_word(spark):
+    """More different words than slots, each once: every one counts in the vectors, and in the topics."""
+    df = spark.createDataFrame([(d, [f"w{d}x{k}" for k in range(300)]) for d in range(8)], "doc int, words array<string>")
+    got = V.count_embedding(df, "words", 2)
+    sums = got.select(F.aggregate(vector_to_array("counts"), F.lit(0.0), lambda a, x: a + x).alias("s")).collect()
+    assert [r.s for r in sums] == [300.0] * 8
+    model = V.fit_topics(df, "words", k=2, iterations=1)
+    assert model.names.count() > 2300
+
+
 def test_pooling_divides_by_root_of_squares(spark):
     table = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 2.0])], "k int, embedding array<double>")
     lines = spark.createDataFrame([("r", 1, 3.0), ("r", 2, 4.0), ("s", 2, -1.0), ("t", 1, 1.0), ("t", 1, 1.0)], "id string, k int, w double")
