@@ -8,7 +8,21 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quillrank import session
 from quillrank.catalog.base import Tables
-from quillrank.llm import chat, extraction, huffman, kneser_ney, latent, minhash, packing, quality_rules, spans, toxicity
+from quillrank.llm import (
+    bpe,
+    chat,
+    extraction,
+    huffman,
+    kneser_ney,
+    latent,
+    merkle,
+    minhash,
+    packing,
+    quality_rules,
+    resampling,
+    spans,
+    toxicity,
+)
 from quillrank.llm.common import prepared
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -193,3 +207,120 @@ def op2_latent_decontamination(t: Tables) -> DataFrame:
 @query("op7_boosted_extraction")
 def op7_boosted_extraction(t: Tables) -> DataFrame:
     return extraction.extract(t.pages)
+
+
+# The CRC-32 of a list of half bytes, the lower half of each byte first, by the table of the sixteen half bytes.
+CRC_SQL = """
+half AS (
+  SELECT list(list_reduce([CAST(i AS BIGINT), -1, -1, -1, -1], lambda c, x: xor(c >> 1, (c & 1) * 3988292384)) ORDER BY i) AS t
+  FROM range(16) r(i)
+)"""
+NIBBLES = "list_transform(range(2 * strlen(X)), lambda i: CAST(instr('0123456789ABCDEF', substr(hex(encode(X)), CAST(xor(i, 1) + 1 AS BIGINT), 1)) - 1 AS BIGINT))"
+CRC = f"xor(4294967295, list_reduce({NIBBLES}, lambda c, x: xor(c >> 4, t[(xor(c, x) & 15) + 1]), CAST(4294967295 AS BIGINT)))"
+
+MERKLE_SQL = (
+    """
+WITH RECURSIVE """
+    + CRC_SQL
+    + """, fields AS (
+  SELECT doc_id, lang, text, coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+      || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS front,
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lowered,
+    """
+    + CRC.replace("X", "CAST(doc_id AS VARCHAR)")
+    + """ % 3 = 0 AS hit
+  FROM documents, half
+), leaves AS (
+  SELECT doc_id, dense_rank() OVER (ORDER BY lang NULLS FIRST) AS g, sha256(front || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+    CASE WHEN hit THEN sha256(front || coalesce(strlen(lowered) || ':' || lowered, '-')) END AS changed
+  FROM fields
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place, count(*) OVER (PARTITION BY g) AS n FROM leaves
+), nodes AS (
+  SELECT g, 0 AS lvl, place, n, leaf AS h FROM placed
+  UNION ALL
+  SELECT g, lvl + 1, place // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY place)) FROM nodes WHERE n > 1 GROUP BY g, lvl, place // 8, n
+), subroots AS (
+  SELECT g, h AS subroot, row_number() OVER (ORDER BY g) - 1 AS place, count(*) OVER () AS n FROM nodes WHERE n = 1
+), tops AS (
+  SELECT 0 AS lvl, place, n, subroot AS h FROM subroots
+  UNION ALL
+  SELECT lvl + 1, place // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY place)) FROM tops WHERE n > 1 GROUP BY lvl, place // 8, n
+), links AS (
+  SELECT x.g, x.lvl, x.place, coalesce(string_agg(y.h, '' ORDER BY y.place) FILTER (y.place < x.place), '') AS l,
+    coalesce(string_agg(y.h, '' ORDER BY y.place) FILTER (y.place > x.place), '') AS r
+  FROM nodes x JOIN nodes y ON x.g = y.g AND x.lvl = y.lvl AND x.place // 8 = y.place // 8 WHERE x.n > 1 GROUP BY ALL
+), top_links AS (
+  SELECT x.lvl, x.place, coalesce(string_agg(y.h, '' ORDER BY y.place) FILTER (y.place < x.place), '') AS l,
+    coalesce(string_agg(y.h, '' ORDER BY y.place) FILTER (y.place > x.place), '') AS r
+  FROM tops x JOIN tops y ON x.lvl = y.lvl AND x.place // 8 = y.place // 8 WHERE x.n > 1 GROUP BY ALL
+), walk AS (
+  SELECT doc_id, leaf, g, place AS id, 0 AS lvl, place, '' AS siblings, coalesce(changed, leaf) AS h FROM placed
+  UNION ALL
+  SELECT doc_id, leaf, w.g, id, w.lvl + 1, w.place // 8, siblings || l || r, sha256(l || h || r)
+  FROM walk w JOIN links k ON w.g = k.g AND w.lvl = k.lvl AND w.place = k.place
+), half_way AS (
+  SELECT * FROM walk QUALIFY row_number() OVER (PARTITION BY g, id ORDER BY lvl DESC) = 1
+), walk_on AS (
+  SELECT doc_id, leaf, w.g, id, 0 AS lvl, s.place, siblings, h, subroot FROM half_way w JOIN subroots s ON w.g = s.g
+  UNION ALL
+  SELECT doc_id, leaf, w.g, id, w.lvl + 1, w.place // 8, siblings || l || r, sha256(l || h || r), subroot
+  FROM walk_on w JOIN top_links k ON w.lvl = k.lvl AND w.place = k.place
+)
+SELECT doc_id, leaf, subroot, root, sha256(siblings) AS proof_sha256, h AS folded_root, h = root AS verified
+FROM (SELECT * FROM walk_on QUALIFY row_number() OVER (PARTITION BY g, id ORDER BY lvl DESC) = 1), (SELECT h AS root FROM tops WHERE n = 1)
+"""
+)
+
+
+@query("op11_merkle_manifest", MERKLE_SQL)
+def op11_merkle_manifest(t: Tables) -> DataFrame:
+    return merkle.verify(merkle.manifest(merkle.tampered(t.documents)))
+
+
+@query("op12_pair_index_bpe")
+def op12_pair_index_bpe(t: Tables) -> DataFrame:
+    path = tokenizer("byte_bpe_50k.json")
+    return bpe.digest(bpe.decode(bpe.encode(t.documents, path), path))
+
+
+RESAMPLING_SQL = (
+    """
+WITH """
+    + CRC_SQL
+    + """, texts AS MATERIALIZED (
+  SELECT row_number() OVER () AS id, doc_id, target, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM (SELECT doc_id, text, FALSE AS target FROM documents UNION ALL SELECT NULL, text, TRUE FROM benchmark)
+), runs AS MATERIALIZED (
+  SELECT id, target, array_to_string(list_slice(w, i, i + n - 1), ' ') AS f, count(*) AS c
+  FROM (SELECT id, target, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM texts, range(1, 4) r(n)) GROUP BY ALL
+), bucketed AS MATERIALIZED (
+  SELECT f, """
+    + CRC.replace("X", "f")
+    + """ % 10000 AS b FROM (SELECT DISTINCT f FROM runs), half
+), counted AS (
+  SELECT b, coalesce(sum(c) FILTER (NOT target), 0) AS s, coalesce(sum(c) FILTER (target), 0) AS t FROM runs JOIN bucketed USING (f) GROUP BY b
+), gain AS (
+  SELECT b, floor(1000 * ln((t + 1.0::DOUBLE) * ((SELECT sum(s) FROM counted) + 10000.0::DOUBLE)
+    / ((s + 1.0::DOUBLE) * ((SELECT sum(t) FROM counted) + 10000.0::DOUBLE)))) AS gain
+  FROM counted
+), weights AS (
+  SELECT id, CAST(sum(c) AS BIGINT) AS n, CAST(sum(c * gain) AS BIGINT) AS weight
+  FROM runs JOIN bucketed USING (f) JOIN gain USING (b) WHERE NOT target GROUP BY id
+), scored AS (
+  SELECT id, doc_id, len(w) >= 20 AS enough, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score
+  FROM texts LEFT JOIN weights USING (id) WHERE NOT target
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY enough ORDER BY score DESC, doc_id NULLS LAST) AS place,
+    sum(CAST(enough AS BIGINT)) OVER () * 5 // 100 AS drawn FROM scored
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN enough AND place <= drawn THEN place END AS rank FROM placed
+"""
+)
+
+
+@query("op13_importance_resampling", RESAMPLING_SQL)
+def op13_importance_resampling(t: Tables) -> DataFrame:
+    return resampling.digest(resampling.resample(resampling.weigh(t.documents, t.benchmark)))

@@ -23,4 +23,4 @@ def test_entry_lists_them():
     import __spark_entry__ as entry
 
     assert set(QUERIES) | set(PIPELINE) <= set(entry.queries())
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
