@@ -5,10 +5,9 @@ from the CRC states of its parts: appending a word of n bytes to a state is a li
 four tables of 256 entries per n, so that all runs of a batch are found by array look-ups.
 
 The head is broadcast: HEAD_WORDS frequent words with their exact states, and HEAD_PAIRS frequent pairs of them with
-their states and buckets. Frequent is what makes up at least a FREQUENT-th of the words or pairs of some task, which every
-word or pair with that share of the whole corpus does; tasks send at most FREQUENT of each, whose counts are summed. All
-other words, the tail, take the CRC of their bytes directly, and pairs outside the head are put together from states. So
-the head decides the time only, and the bucket totals are exact.
+their states and buckets. All texts are counted for it; a task keeps the largest counts only and sends at most FREQUENT words
+and pairs, which are summed. All other words, the tail, take the CRC of their bytes directly, and pairs outside the head
+are put together from states. So the head decides the time only, and the bucket totals are exact.
 
 Three passes read the texts: for the head, for the bucket totals of documents and of the target, and for the weights.
 Only the totals (at most BUCKETS numbers) and the head (bounded, see above) pass through the driver. Ranks come from a
@@ -24,11 +23,13 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from quillrank.llm.bpe import Codes
 from quillrank.llm.common import documents
 from quillrank.plans.ranks import global_row_number
 from quillrank.session import stage
@@ -81,14 +82,14 @@ class Head:
 
     def forget(self) -> None:
         """Keep the head alone."""
-        self.codes: dict[bytes, int] = {}
+        self.codes = Codes(zip(self.head, range(len(self.head))))
         self.listed: list[bytes] = []
         self.state = self.spaced = np.empty(0, np.uint32)
         self.size = np.empty(0, np.int64)
         self.learn(self.head)
 
     def learn(self, new: list[bytes]) -> None:
-        self.codes.update(zip(new, range(len(self.listed), len(self.listed) + len(new))))
+        """Add words, which ``codes`` has numbered on."""
         self.listed += new
         crc = zlib.crc32
         self.state = np.append(self.state, np.array([crc(w) for w in new], np.uint32))
@@ -115,12 +116,14 @@ class Head:
     def coded(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Codes of all words, and the number of words of each text."""
         cut = [words(t) for t in texts]
-        flat = [w for c in cut for w in c]
-        if len(self.listed) > len(self.head) + TAIL:
+        if self.full():
             self.forget()
-        if new := set(flat).difference(self.codes):
-            self.learn(list(new))
-        return np.fromiter(map(self.codes.__getitem__, flat), np.int64, len(flat)), np.array([len(c) for c in cut], np.int64)
+        code = np.fromiter(map(self.codes.__getitem__, chain.from_iterable(cut)), np.int64)
+        self.learn(list(islice(self.codes, len(self.listed), None)))
+        return code, np.array([len(c) for c in cut], np.int64)
+
+    def full(self) -> bool:
+        return len(self.listed) > len(self.head) + TAIL
 
     def buckets(self, code: np.ndarray, sizes: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
         """(number of the text, bucket) of all features, by the number of words in a feature."""
@@ -148,6 +151,40 @@ class Head:
         return [*out, (text[start[longer]], three % BUCKETS)]
 
 
+class Tally:
+    """Counts of the most frequent of many numbers: at most 16 FREQUENT of them are kept at any time."""
+
+    def __init__(self):
+        self.named: dict[tuple[bytes, bytes | None], int] = {}
+        self.waiting: list[np.ndarray] = []
+        self.keys, self.counts = np.empty(0, np.int64), np.empty(0, np.int64)
+
+    def add(self, keys: np.ndarray) -> None:
+        self.waiting.append(keys)
+        if sum(map(len, self.waiting)) > 64 * FREQUENT:
+            self.sum()
+
+    def sum(self) -> None:
+        new, n = np.unique(np.concatenate([np.empty(0, np.int64), *self.waiting]), return_counts=True)
+        keys, at = np.unique(np.concatenate([self.keys, new]), return_inverse=True)
+        counts = np.bincount(at, weights=np.concatenate([self.counts, n]), minlength=len(keys)).astype(np.int64)
+        if len(keys) > 16 * FREQUENT:
+            kept = np.argpartition(-counts, 16 * FREQUENT)[: 16 * FREQUENT]
+            keys, counts = keys[kept], counts[kept]
+        self.keys, self.counts, self.waiting = keys, counts, []
+
+    def name(self, of) -> None:
+        """Put words in the place of numbers, before the numbers change; only the most frequent stay."""
+        self.sum()
+        best = np.argsort(-self.counts, kind="stable")[:FREQUENT]
+        for key, n in zip(self.keys[best].tolist(), self.counts[best].tolist()):
+            words = of(key)
+            self.named[words] = self.named.get(words, 0) + n
+        if len(self.named) > 4 * FREQUENT:
+            self.named = dict(sorted(self.named.items(), key=lambda x: -x[1])[:FREQUENT])
+        self.keys, self.counts = self.keys[:0], self.counts[:0]
+
+
 def _bytes(df: DataFrame) -> DataFrame:
     return df.select("doc_id", F.col("text").cast("binary").alias("text"))
 
@@ -157,33 +194,25 @@ def head(texts: DataFrame) -> tuple[list[bytes], list[tuple[int, int]]]:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Head([], [])
-        ones: dict[bytes, int] = {}
-        twos: dict[tuple[bytes, bytes], int] = {}
-
-        def add(counts: dict, keys: np.ndarray, name) -> None:
-            values, n = np.unique(keys, return_counts=True)
-            for v, c in zip(values.tolist(), n.tolist()):
-                key = name(v)
-                counts[key] = counts.get(key, 0) + c
-            if len(counts) > 16 * FREQUENT:
-                # What stays is at least what makes up a FREQUENT-th of all that was counted.
-                least = sorted(counts.values(), reverse=True)[FREQUENT]
-                for key in [k for k, c in counts.items() if c <= least]:
-                    del counts[key]
+        ones, twos = Tally(), Tally()
+
+        def name() -> None:
+            ones.name(lambda v: (known.listed[v], None))
+            twos.name(lambda v: (known.listed[v >> 32], known.listed[v & 0xFFFFFFFF]))
 
         for batch in batches:
+            if known.full():
+                name()
             code, sizes = known.coded(batch.column(1).to_pylist())
             text = np.repeat(np.arange(len(sizes)), sizes)
-            add(ones, code, known.listed.__getitem__)
+            ones.add(code)
             start = np.flatnonzero(text[1:] == text[:-1])
-            add(twos, code[start] << 32 | code[start + 1], lambda v: (known.listed[v >> 32], known.listed[v & 0xFFFFFFFF]))
-        for counts in (ones, twos):
-            best = sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:FREQUENT]
-            first = [k if isinstance(k, bytes) else k[0] for k, _ in best]
-            second = [None if isinstance(k, bytes) else k[1] for k, _ in best]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(first, pa.binary()), pa.array(second, pa.binary()), pa.array([c for _, c in best], pa.int64())], ["a", "b", "n"]
-            )
+            twos.add(code[start] << 32 | code[start + 1])
+        name()
+        for counts in (ones.named, twos.named):
+            best = sorted(counts.items(), key=lambda x: -x[1])[:FREQUENT]
+            a, b, n = [k[0] for k, _ in best], [k[1] for k, _ in best], [c for _, c in best]
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary()), pa.array(n, pa.int64())], ["a", "b", "n"])
 
     counts = stage(_bytes(texts).mapInArrow(count, "a binary, b binary, n long").groupBy("a", "b").agg(F.sum("n").alias("n")), "head")
     short = F.length("a") <= LONGEST

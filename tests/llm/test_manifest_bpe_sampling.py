@@ -181,7 +181,7 @@ def test_resampling(docs, spark, monkeypatch, frequent, tail):
 
 def test_states_follow_any_word():
     known = resampling.Head([b"the", b"of", b"w" * 64], [(0, 1), (2, 0)])
-    known.learn([b"x" * 63, b"y" * 64, b"z" * 500, b"q"])
+    known.coded([b" ".join([b"x" * 63, b"y" * 64, b"z" * 500, b"q"])])
     for a in range(7):
         for b in range(7):
             state = known.follow(known.state[[a]], np.array([b]))
