@@ -33,7 +33,7 @@ from tokenizers import Tokenizer
 
 from quillrank.llm.common import documents
 
-BLOCK = 16_000_000
+BLOCK = 8_000_000
 CACHE = 500_000
 # Fixed value: the split pattern of byte-level BPE, with the letters and numbers below U+0180 written out.
 _WORD = re.compile(
