@@ -5,7 +5,8 @@ slots. The score is the logistic of a bias, a weight per term, and the inner pro
 terms, so that a pair (an insult and the mention of a group, say) can count more than both terms alone, also where neither
 counts alone. Every term of the sampled rows has factors. They start from small random numbers and from the directions in
 which pairs of terms explain what weights alone leave (eigenvectors of the pairs' summed errors, kept if they are
-stronger than with random signs); then weights, with an L1 penalty, and factors are learnt together.
+stronger than with random signs); then weights, with an L1 penalty, and factors are learnt together. A part of the sampled
+rows is kept back to decide how long; where factors do not lower the loss of those rows, the weights stay alone.
 
 The model is fitted on at most ``sample`` labelled rows, those with the smallest hashes of their keys, in one task; its
 size is bounded by the slots, and it is broadcast to score all documents in one scan. Only the text goes into a score.
@@ -31,8 +32,11 @@ FACTORS = 8
 SAMPLE = 20_000
 EPOCHS, BATCH = 6, 256
 RATE, L1 = 2.0, 6.0
-FACTOR_EPOCHS, FACTOR_RATE, FACTOR_START, FACTOR_L2 = 14, 0.3, 0.003, 0.1
+FACTOR_EPOCHS, FACTOR_RATE, FACTOR_START, FACTOR_L2, FACTOR_G2 = 14, 0.3, 0.003, 0.01, 0.01
 ROUNDS = 8
+HELD, PATIENCE = 6, 3
+# Margins are held within these bounds.
+MARGIN = 30.0
 
 
 def terms(text: Column) -> Column:
@@ -59,7 +63,10 @@ def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Machine:
-    """Weights and factors over ``size`` terms; rows are given as (term, row) pairs in row order."""
+    """Weights and factors over ``size`` terms; rows are given as (term, row) pairs in row order.
+
+    The pairs of a row count over its number of terms, so that long texts have margins of the same size as short ones.
+    """
 
     def __init__(self, size: int):
         self.bias, self.w = 0.0, np.zeros(size)
@@ -67,41 +74,59 @@ class Machine:
 
     def margins(self, term: np.ndarray, row: np.ndarray, n: int) -> np.ndarray:
         out = self.bias + np.bincount(row, weights=self.w[term], minlength=n)
-        paired = self.v[term].any(axis=1)
-        if paired.any():
-            v, r = self.v[term[paired]], row[paired]
-            total = _sums(v, r, n)
-            out += 0.5 * ((total**2).sum(axis=1) - np.bincount(r, weights=(v**2).sum(axis=1), minlength=n))
-        return out
+        if self.v.any():
+            out += _pairs(self.v, term, row, n).sum(axis=1)
+        return np.clip(out, -MARGIN, MARGIN)
+
+    def chances(self, term: np.ndarray, row: np.ndarray, n: int) -> np.ndarray:
+        return 1 / (1 + np.exp(-self.margins(term, row, n)))
+
+    def loss(self, term: np.ndarray, row: np.ndarray, y: np.ndarray) -> float:
+        p = self.chances(term, row, len(y))
+        return float(-np.log(np.where(y > 0, p, 1 - p)).mean())
 
     def fit(self, term: np.ndarray, row: np.ndarray, y: np.ndarray) -> None:
-        n, rng = len(y), np.random.default_rng(0)
-        odds = (y.sum() + 1) / (n - y.sum() + 1)
+        """Learn from all rows for as many rounds as are best where every HELD-th row is kept back."""
+        odds = (y.sum() + 1) / (len(y) - y.sum() + 1)
         self.bias = float(np.log(odds))
-        if n == 0 or y.min() == y.max():
+        held = np.arange(len(y)) % HELD == 0
+        if not len(y) or y.min() == y.max():
             return
-        at = np.searchsorted(row, np.arange(n + 1))
-
-        def batches() -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-            order = rng.permutation(n)
-            for k in range(0, n, BATCH):
-                rows = order[k : k + BATCH]
-                sizes = at[rows + 1] - at[rows]
-                inside = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-                yield rows, term[np.repeat(at[rows], sizes) + inside], np.repeat(np.arange(len(rows)), sizes)
-
-        def errors(rows: np.ndarray, t: np.ndarray, r: np.ndarray) -> np.ndarray:
-            return 1 / (1 + np.exp(-self.margins(t, r, len(rows)))) - y[rows]
-
+        rounds = 0
+        if held.any() and not held.all() and y[~held].min() < y[~held].max():
+            rounds = Machine(len(self.w))._rounds(term, row, y, held)
+        for _ in self._learn(term, row, y, np.arange(len(y)), rounds):
+            pass
+
+    def _rounds(self, term: np.ndarray, row: np.ndarray, y: np.ndarray, held: np.ndarray) -> int:
+        """After how many rounds with factors the loss of the held rows is lowest; 0 if the weights do better alone."""
+        taught, test = np.flatnonzero(~held), np.flatnonzero(held)
+        self.bias = float(np.log((y[taught].sum() + 1) / (len(taught) - y[taught].sum() + 1)))
+        tried, lowest, best = _chosen(term, row, len(y), test), np.inf, 0
+        for number in self._learn(term, row, y, taught, FACTOR_EPOCHS):
+            loss = self.loss(*tried, y[test])
+            if loss < lowest - 1e-4:
+                lowest, best = loss, number
+            elif number - best >= PATIENCE:
+                break
+        return best
+
+    def _learn(self, term: np.ndarray, row: np.ndarray, y: np.ndarray, taught: np.ndarray, rounds: int) -> Iterator[int]:
+        """Weights alone first, then ``rounds`` of weights and factors; yields the number of rounds so far."""
+        rng = np.random.default_rng(0)
         # Follow-the-regularised-leader with an L1 penalty for weights, AdaGrad for factors, per coordinate.
         z, g2 = np.zeros(len(self.w)), np.zeros(len(self.w))
-        gv = np.ones(self.v.shape)
-        for epoch in range(EPOCHS + FACTOR_EPOCHS):
+        gv = np.full(self.v.shape, FACTOR_G2)
+        for epoch in range(EPOCHS + rounds):
             if epoch == EPOCHS:
-                left = y - 1 / (1 + np.exp(-self.margins(term, row, n)))
-                self.v = rng.normal(0, FACTOR_START, self.v.shape) + self._directions(term, row, left, rng)
-            for rows, t, r in batches():
-                e = errors(rows, t, r)
+                yield 0
+                t, r = _chosen(term, row, len(y), taught)
+                left = y[taught] - self.chances(t, r, len(taught))
+                self.v = rng.normal(0, FACTOR_START, self.v.shape) + self._directions(t, r, left, rng)
+            order = rng.permutation(taught)
+            for rows in np.split(order, range(BATCH, len(order), BATCH)):
+                t, r = _chosen(term, row, len(y), rows)
+                e = self.chances(t, r, len(rows)) - y[rows]
                 used, place = np.unique(t, return_inverse=True)
                 g = np.bincount(place, weights=e[r], minlength=len(used))
                 z[used] += g - (np.sqrt(g2[used] + g * g) - np.sqrt(g2[used])) / RATE * self.w[used]
@@ -111,10 +136,13 @@ class Machine:
                 self.bias -= 0.01 * e.mean()
                 if epoch >= EPOCHS:
                     v = self.v[t]
-                    slope = e[r, None] * (_sums(v, r, len(rows))[r] - v)
+                    share = e / np.maximum(np.bincount(r, minlength=len(rows)), 1)
+                    slope = share[r, None] * (_sums(v, r, len(rows))[r] - v)
                     step = _sums(slope, place, len(used)) + FACTOR_L2 * self.v[used]
                     gv[used] += step * step
                     self.v[used] -= FACTOR_RATE * step / np.sqrt(gv[used])
+            if epoch >= EPOCHS:
+                yield epoch - EPOCHS + 1
 
     def _directions(self, term: np.ndarray, row: np.ndarray, left: np.ndarray, rng: np.random.Generator) -> np.ndarray:
         """Factors that explain what is left of the labels: leading eigenvectors of the sum of left * x x' over rows, less its
@@ -123,10 +151,15 @@ class Machine:
         share = 1 / np.maximum(np.bincount(row, minlength=n), 1)
 
         def strongest(c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            own = np.bincount(term, weights=c[row], minlength=len(self.w))[:, None]
+            own = np.bincount(term, weights=c[row], minlength=len(self.w))
 
             def times(u: np.ndarray) -> np.ndarray:
-                return _sums((c[:, None] * _sums(u[term], row, n))[row], term, len(self.w)) - own * u
+                out = np.empty_like(u)
+                for k in range(u.shape[1]):
+                    column = np.ascontiguousarray(u[:, k])
+                    inner = c * np.bincount(row, weights=column[term], minlength=n)
+                    out[:, k] = np.bincount(term, weights=inner[row], minlength=len(column)) - own * column
+                return out
 
             u = np.linalg.qr(rng.normal(size=(len(self.w), 2 * FACTORS)))[0]
             for _ in range(ROUNDS):
@@ -140,17 +173,34 @@ class Machine:
         for k in range(min(FACTORS, vectors.shape[1])):
             if values[k] > chance:
                 u = vectors[:, [k]]
-                pairs = 0.5 * (_sums(u[term], row, n) ** 2 - _sums(u[term] ** 2, row, n))
-                # Such a start moves no more than half a unit of the margins.
-                out[:, k] = u[:, 0] * np.sqrt(min(1.0, 0.5 / max(pairs.std(), 1e-9)))
+                # Such a start moves the margins by half a unit.
+                out[:, k] = u[:, 0] * np.sqrt(0.5 / max(_pairs(u, term, row, n).std(), 1e-9))
         return out
 
 
+def _chosen(term: np.ndarray, row: np.ndarray, n: int, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Terms of the chosen rows, which are numbered anew."""
+    at = np.searchsorted(row, np.arange(n + 1))
+    sizes = at[rows + 1] - at[rows]
+    inside = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    return term[np.repeat(at[rows], sizes) + inside], np.repeat(np.arange(len(rows)), sizes)
+
+
 def _sums(values: np.ndarray, group: np.ndarray, size: int) -> np.ndarray:
     """Column sums of the rows of each group."""
     return np.stack([np.bincount(group, weights=c, minlength=size) for c in values.T], axis=1)
 
 
+def _pairs(v: np.ndarray, term: np.ndarray, row: np.ndarray, n: int) -> np.ndarray:
+    """For each row and factor, the sum over all pairs of terms over the number of terms; a column at a time."""
+    share = 1 / np.maximum(np.bincount(row, minlength=n), 1)
+    out = np.empty((n, v.shape[1]))
+    for k in range(v.shape[1]):
+        x = np.ascontiguousarray(v[:, k])[term]
+        out[:, k] = 0.5 * share * (np.bincount(row, weights=x, minlength=n) ** 2 - np.bincount(row, weights=x * x, minlength=n))
+    return out
+
+
 def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row per term, and the bias under term -1."""
     parts = [(_flat(b.column(0)), b.column(1).to_numpy(zero_copy_only=False)) for b in batches]
@@ -195,8 +245,8 @@ def score(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     def margins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             term, row = _flat(batch.column(1))
-            value = shared.value.margins(term, row, batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(1 / (1 + np.exp(-value)))], ["doc_id", "score"])
+            value = shared.value.chances(term, row, batch.num_rows)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(value.astype(np.float64))], ["doc_id", "score"])
 
     scored = docs.select("doc_id", terms(F.col("text")).alias("terms")).mapInArrow(margins, "doc_id long, score double")
     return scored.select("doc_id", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))

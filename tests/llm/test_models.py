@@ -318,3 +318,36 @@ def test_decoding_has_no_orphans():
     for _ in range(50):
         kept = parsed.decode(rnd.normal(size=len(parsed.tag)) * 3)
         assert all(kept[p] for k, p in enumerate(parsed.parent) if k and kept[k])
+
+
+def test_factorization_machine_against_double_loop():
+    """Margins are the bias, the weights, and all pairs one by one over the number of terms."""
+    rng = np.random.default_rng(4)
+    machine = toxicity.Machine(60)
+    machine.bias, machine.w, machine.v = 0.3, rng.normal(size=60), rng.normal(size=(60, toxicity.FACTORS))
+    rows = [sorted(rng.choice(60, size=k, replace=False).tolist()) for k in (1, 2, 5, 0, 40, 60)]
+    term = np.array([t for r in rows for t in r])
+    row = np.array([k for k, r in enumerate(rows) for _ in r])
+    for got, r in zip(machine.margins(term, row, len(rows)), rows):
+        pairs = sum(float(machine.v[a] @ machine.v[b]) for i, a in enumerate(r) for b in r[i + 1 :])
+        want = 0.3 + sum(machine.w[t] for t in r) + pairs / max(len(r), 1)
+        assert abs(got - min(max(want, -toxicity.MARGIN), toxicity.MARGIN)) < 1e-9
+
+
+def test_factorization_machine_on_texts_of_all_lengths(docs, spark):
+    """Texts of 5 to 5,000 words: the score stays a probability, and long clean texts stay clean."""
+    rnd = random.Random(6)
+    rows, labels = [], []
+    for k in range(900):
+        words = [f"word{rnd.randint(0, 4000)}" for _ in range(5000 if k % 60 == 0 else rnd.choice([5, 20, 100, 400]))]
+        toxic = rnd.random() < 0.3
+        words += ["rotten", "north"] * 2 if toxic else rnd.choice([[], ["north"], ["rotten"]])
+        rnd.shuffle(words)
+        rows.append((k, " ".join(words)))
+        labels.append((k, int(toxic)))
+    truth = np.array([y for _, y in labels])
+    got = toxicity.score(docs(rows), spark.createDataFrame(labels, "doc_id long, toxic int")).toPandas()
+    assert ((got.score > 0) & (got.score < 1)).all() and got.score.nunique() > 300
+    held = got[got.held_out]
+    assert (held.predicted.to_numpy() == truth[held.doc_id]).mean() > 0.8
+    assert held.predicted[truth[held.doc_id] == 0].mean() < 0.15
