@@ -7,7 +7,9 @@ from pyspark.sql import Window as W, functions as F
 from quillrank.catalog import stand_ins as S
 from quillrank.catalog.base import Tables, query, rounded
 from quillrank.functions import dirichlet_mean, dirichlet_mode, doubles, tokens
-from quillrank.operators import corpus as C, recommend as R, rules as U, search as Q, vectors as V
+from quillrank.operators import corpus as C, fuzzy as Z, gibbs as G, inverted as N, recommend as R, rules as U, search as Q
+from quillrank.operators import vector_index as I, vectors as V
+from quillrank.plans.skew import spread_join
 from quillrank.session import stage
 
 def texts(t: Tables):
@@ -308,8 +310,8 @@ def vocab_total(t: Tables):
 
 @query(
     "neg_sampling_dist",
-    f"""WITH {VOCAB} SELECT word, cn, round(pow(cn, 0.75) / (SELECT sum(pow(cn, 0.75)) FROM vocab), 9) AS prob
-    FROM vocab""",
+    f"""WITH {VOCAB.replace("vocab AS", "vocab AS MATERIALIZED")}, total AS (SELECT sum(pow(cn, 0.75)) AS total FROM vocab)
+    SELECT word, cn, round(pow(cn, 0.75) / total, 9) AS prob FROM vocab, total""",
 )
 def neg_sampling_dist(t: Tables):
     return rounded(C.negative_sampling(stage(C.vocabulary(texts(t)), "vocabulary")), 9)
@@ -405,12 +407,112 @@ def lda_topic_words(t: Tables):
 
 @query("word2vec_neighbours")
 def word2vec_neighbours(t: Tables):
+    """Neighbours of all items of the catalogue; each reads the cells that hold 95 % of the neighbours of a sample."""
     corpus = C.basket_corpus(S.actions(t), low=2, ms=0).select(F.split("list", " ").alias("words"))
     vectors = stage(V.word_vectors(V.fit_word2vec(corpus, "words", size=16, min_count=2, maxIter=3)), "word_vectors")
     numbered = vectors.select(F.col("word").cast("bigint").alias("vec_id"), "embedding")
-    # All items of the catalogue are queries, a block of them in each scan.
     queries = numbered.withColumnRenamed("vec_id", "query_id")
-    return V.nearest_in_blocks(numbered, queries, 5)
+    index = I.build_index(numbered)
+    found = I.search_index(index, queries, 5, probes=I.probes_for(index, queries, 5))
+    return found.select("query_id", F.col("id").alias("vec_id"), "score", "rank")
+
+
+@query(
+    "index_neighbours",
+    """WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+    s AS (SELECT q.vec_id AS query_id, v.vec_id, list_inner_product(q.e, v.e) AS score FROM v q, v
+          WHERE q.vec_id % 100 = 0 AND q.vec_id <> v.vec_id)
+    SELECT query_id, vec_id, round(score, 6) AS score, rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id
+      ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 10""",
+)
+def index_neighbours(t: Tables):
+    """The exact neighbours of the stated query set, by the index."""
+    asked = t.embeddings.filter("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), "embedding")
+    found = I.search_index(I.build_index(t.embeddings), asked, 10, exact=True)
+    return rounded(found.select("query_id", F.col("id").alias("vec_id"), "score", "rank"))
+
+
+TITLES = """
+titles AS (SELECT page_id AS query_id, lower(regexp_extract(html, '<title>([^<]*)</title>', 1)) AS q FROM pages)"""
+
+
+def titles(t: Tables):
+    title = F.regexp_extract("html", "<title>([^<]*)</title>", 1)
+    return t.pages.select(F.col("page_id").alias("query_id"), title.alias("query"))
+
+
+@query(
+    "index_search",
+    rf"""WITH {TITLES},
+    w AS (SELECT DISTINCT query_id, term FROM (SELECT query_id, unnest(regexp_split_to_array(q, '[\s\-]+')) AS term FROM titles) WHERE length(term) > 0),
+    d AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[\s\-]+'), lambda x: length(x) > 0) AS l FROM documents),
+    tf AS (SELECT doc_id, length, term, count(*) AS tf FROM (SELECT doc_id, len(l) AS length, unnest(l) AS term FROM d) GROUP BY ALL),
+    df AS (SELECT term, count(*) AS df FROM tf GROUP BY 1),
+    s AS (SELECT count(*) AS n, avg(len(l)) AS av FROM d),
+    p AS (SELECT query_id, doc_id, round(sum(ln((n - df + 0.5::DOUBLE) / (df + 0.5::DOUBLE) + 1) * tf * 2.2::DOUBLE
+            / (tf + 1.2::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * length / av))), 6) AS score
+          FROM w JOIN tf USING (term) JOIN df USING (term), s GROUP BY 1, 2)
+    SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM p) WHERE rank <= 10""",
+)
+def index_search(t: Tables):
+    """The titles of all pages as queries to all documents."""
+    found = N.search_inverted(N.build_inverted(texts(t)), titles(t), 10)
+    return found.select("query_id", F.col("key").alias("doc_id"), "score", "rank")
+
+
+@query(
+    "index_phrases",
+    rf"""WITH {TITLES},
+    w AS (SELECT query_id, list_filter(regexp_split_to_array(q, '[\s\-]+'), lambda x: length(x) > 0) AS w FROM titles),
+    two AS (SELECT query_id, w[1] AS a, w[2] AS b FROM w WHERE len(w) > 1),
+    d AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[\s\-]+'), lambda x: length(x) > 0) AS l FROM documents),
+    r AS (SELECT doc_id, l[i] AS a, l[i + 1] AS b, count(*) AS n FROM (SELECT doc_id, l, unnest(range(1, len(l))) AS i FROM d) GROUP BY ALL)
+    SELECT query_id, doc_id, n FROM two JOIN r USING (a, b)""",
+)
+def index_phrases(t: Tables):
+    """The first two words of every page title, as a phrase, in all documents."""
+    words = tokens("query")
+    two = titles(t).filter(F.size(words) > 1).select("query_id", F.array_join(F.slice(words, 1, 2), " ").alias("query"))
+    return N.phrases_inverted(N.build_inverted(texts(t)), two).select("query_id", F.col("key").alias("doc_id"), "n")
+
+
+@query(
+    "spelling_candidates",
+    r"""WITH v AS (SELECT term, count(*) AS n FROM (SELECT unnest(regexp_split_to_array(lower(text), '[\s\-]+')) AS term FROM documents)
+      WHERE length(term) > 0 GROUP BY 1),
+    q AS (SELECT DISTINCT term AS query FROM (SELECT unnest(regexp_split_to_array(lower(text), '[\s\-]+')) AS term FROM benchmark) WHERE length(term) > 0),
+    dq AS (SELECT query, i, substr(query, 1, i - 1) || substr(query, i + 1) AS rest
+      FROM (SELECT query, CAST(unnest(range(1, length(query) + 1)) AS BIGINT) AS i FROM q)),
+    dv AS (SELECT term, i, substr(term, 1, i - 1) || substr(term, i + 1) AS rest
+      FROM (SELECT term, CAST(unnest(range(1, length(term) + 1)) AS BIGINT) AS i FROM v)),
+    near AS (SELECT query, term FROM q JOIN v ON query = term UNION SELECT query, term FROM dq JOIN v ON rest = term
+      UNION SELECT query, term FROM q JOIN dv ON query = rest UNION SELECT query, term FROM dq JOIN dv USING (i, rest))
+    SELECT query, term AS title, CAST(query <> term AS BIGINT) AS distance, n FROM near JOIN v USING (term)""",
+)
+def spelling_candidates(t: Tables):
+    """All words of the documents within one edit of a word of the benchmark, with their counts."""
+    vocabulary = stage(C.term_counts(texts(t), "doc_id", "text").groupBy("term").agg(F.sum("tf").alias("n")), "vocabulary")
+    asked = t.benchmark.select(F.explode(tokens("text")).alias("query"))
+    near = Z.edit_join(asked, vocabulary, "query", "term", 1)
+    return spread_join(vocabulary.withColumnRenamed("term", "title"), near, "title").select("query", "title", "distance", "n")
+
+
+@query(
+    "gibbs_word_counts",
+    r"""SELECT term AS word, count(*) AS n, count(DISTINCT doc_id) AS docs, CAST(50 AS BIGINT) AS k
+    FROM (SELECT doc_id, unnest(regexp_split_to_array(lower(text), '[\s\-]+')) AS term FROM documents) WHERE length(term) > 0 GROUP BY 1""",
+)
+def gibbs_word_counts(t: Tables):
+    """Counts of words over all topics of a sampled model: every token has one topic of fifty."""
+    model = G.fit_gibbs(texts(t).select("doc_id", tokens("text").alias("words")), "words", k=50, sweeps=2)
+    rows = model.tokens().filter((F.col("topic") >= 0) & (F.col("topic") < 50))
+    return rows.groupBy("word").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("doc").alias("docs"), F.lit(50).cast("bigint").alias("k"))
+
+
+@query("gibbs_topic_words")
+def gibbs_topic_words(t: Tables):
+    model = G.fit_gibbs(texts(t).select("doc_id", tokens("text").alias("words")), "words", k=50, sweeps=5)
+    return rounded(model.topic_words(10))
 
 
 @query("bag_of_words_components")
