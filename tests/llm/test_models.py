@@ -338,7 +338,7 @@ def test_factorization_machine_on_texts_of_all_lengths(docs, spark):
     """Texts of 5 to 5,000 words: the score stays a probability, and long clean texts stay clean."""
     rnd = random.Random(6)
     rows, labels = [], []
-    for k in range(900):
+    for k in range(2000):
         words = [f"word{rnd.randint(0, 4000)}" for _ in range(5000 if k % 60 == 0 else rnd.choice([5, 20, 100, 400]))]
         toxic = rnd.random() < 0.3
         words += ["rotten", "north"] * 2 if toxic else rnd.choice([[], ["north"], ["rotten"]])
