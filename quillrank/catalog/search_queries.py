@@ -80,7 +80,7 @@ def search_pages(t: Tables):
 
 @query("search_snippets")
 def search_snippets(t: Tables):
-    return Q.snippets(site(t), WORDS[0], top=2)
+    return Q.snippets(site(t), WORDS, top=2)
 
 
 @query(

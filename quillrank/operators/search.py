@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import re
 
-import pandas as pd
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -76,55 +75,102 @@ def hit_pages(hits: DataFrame, doc: str = "id", size: int = 10, pages: int = 10)
     return best.join(total, "query").withColumn("page", F.floor((F.col("rank") - 1) / size).cast("bigint"))
 
 
-def _slices(text: str, phrase: str, pattern: re.Pattern, top: int) -> list[dict]:
-    found, at = [], 0
-    hits = [m.span() for m in pattern.finditer(text.lower())]
-    while at < len(hits):
-        begin, end = hits[at]
-        stop = min(max(begin + X.SNIPPET_AFTER, end), len(text))
-        inside = []
-        while at < len(hits) and hits[at][1] <= stop:
-            inside.append(hits[at])
-            at += 1
-        whole = sum(text[b:e].lower() == phrase for b, e in inside)
-        found.append((whole, inside, max(begin - X.SNIPPET_BEFORE, 0), stop))
-    found.sort(key=lambda s: (-s[0], -len(s[1]), s[2]))
-    kept = found if top < 0 else found[:top]
-    return [
-        {"start": start, "stop": stop, "phrase_count": whole, "hits": len(inside), "snippet": _marked(text, inside, start, stop)}
-        for whole, inside, start, stop in kept
-    ]
-
-
-def _marked(text: str, hits: list[tuple[int, int]], start: int, stop: int) -> str:
-    out, at = [], start
-    for b, e in hits:
-        out += [text[at:b], "<b>", text[b:e], "</b>"]
-        at = e
-    return "".join([*out, text[at:stop]])
+def _once(value: Column, body) -> Column:
+    """``body`` of ``value``, which is computed once however often the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _hits(text: Column, pattern: str) -> Column:
+    """Begin, end and word of every hit, from the lengths of the words and of what stands between them."""
+    low = F.lower(text)
+    words = F.regexp_extract_all(low, F.lit(f"({pattern})"), F.lit(1))
+    pairs = F.slice(F.arrays_zip(F.split(low, pattern, -1).alias("gap"), words.alias("word")), F.lit(1), F.size(words))
+    none = F.array().cast("array<struct<begin:int,end:int,word:string>>")
+
+    def step(state: Column, pair: Column) -> Column:
+        begin = state["at"] + F.length(pair["gap"])
+        end = begin + F.length(pair["word"])
+        hit = F.struct(begin.alias("begin"), end.alias("end"), pair["word"].alias("word"))
+        return F.struct(end.alias("at"), F.concat(state["hits"], F.array(hit)).alias("hits"))
+
+    return F.aggregate(pairs, F.struct(F.lit(0).alias("at"), none.alias("hits")), step, lambda state: state["hits"])
+
+
+def _marked(text: Column, hits: Column, start: Column, stop: Column) -> Column:
+    """``text`` from ``start`` to ``stop`` with its hits in bold."""
+
+    def part(begin: Column, end: Column) -> Column:
+        return F.substring(text, begin + 1, end - begin)
+
+    def step(state: Column, hit: Column) -> Column:
+        bold = F.concat(F.lit("<b>"), part(hit["begin"], hit["end"]), F.lit("</b>"))
+        return F.struct(hit["end"].alias("at"), F.concat(state["out"], part(state["at"], hit["begin"]), bold).alias("out"))
+
+    first = F.struct(start.cast("int").alias("at"), F.lit("").alias("out"))
+    return F.aggregate(hits, first, step, lambda state: F.concat(state["out"], part(state["at"], stop)))
+
+
+def _pieces(text: Column, hits: Column, phrase: str, top: int) -> Column:
+    """The best pieces of a text: every hit is given the number of its piece, and the hits of each number are put together."""
+    none = F.array().cast("array<struct<piece:int,stop:int,begin:int,end:int,word:string>>")
+
+    def step(state: Column, hit: Column) -> Column:
+        fresh = hit["end"] > state["stop"]
+        reach = F.least(F.greatest(hit["begin"] + X.SNIPPET_AFTER, hit["end"]), F.length(text))
+        piece, stop = state["piece"] + fresh.cast("int"), F.when(fresh, reach).otherwise(state["stop"])
+        numbered = F.struct(piece.alias("piece"), stop.alias("stop"), hit["begin"], hit["end"], hit["word"])
+        return F.struct(piece.alias("piece"), stop.alias("stop"), F.concat(state["out"], F.array(numbered)).alias("out"))
+
+    first = F.struct(F.lit(0).alias("piece"), F.lit(-1).alias("stop"), none.alias("out"))
+    numbered = F.aggregate(hits, first, step, lambda state: state["out"])
+
+    def whole(own: Column) -> Column:
+        start, stop = F.greatest(own[0]["begin"] - X.SNIPPET_BEFORE, F.lit(0)), own[0]["stop"]
+        phrases = F.size(F.filter(own, lambda h: h["word"] == phrase))
+        # Sorted by its fields: most phrases, then most hits, then the first.
+        return F.struct(
+            (-phrases).alias("p"), (-F.size(own)).alias("h"), start.alias("start"), stop.alias("stop"), _marked(text, own, start, stop).alias("snippet")
+        )
+
+    def grouped(marks: Column) -> Column:
+        numbers = F.array_distinct(F.transform(marks, lambda h: h["piece"]))
+        return F.transform(numbers, lambda n: _once(F.filter(marks, lambda h: h["piece"] == n), whole))
+
+    best = F.sort_array(_once(numbered, grouped))
+    kept = best if top < 0 else F.slice(best, 1, top)
+    return F.transform(
+        kept,
+        lambda x: F.struct(
+            x["start"].alias("start"), x["stop"].alias("stop"), (-x["p"]).alias("phrase_count"), (-x["h"]).alias("hits"), x["snippet"].alias("snippet")
+        ),
+    )
 
 
 def snippets(
-    docs: DataFrame, query: str, top: int = 1, doc: str = "id", title: str = "title", content: str = "content"
+    docs: DataFrame, queries: str | list[str], top: int = 1, doc: str = "id", title: str = "title", content: str = "content"
 ) -> DataFrame:
-    """The best ``top`` text pieces around hits per matching document (-1: all), hits marked.
+    """For every query the matching documents with their marked title and their best ``top`` text pieces (-1: all).
 
-    A piece starts 20 characters before its first hit and ends 80 after the hit's start. Only documents with a hit
-    in the content reach the Python worker.
+    A piece starts 20 characters before its first hit and ends 80 after the hit's start. A document with hits in its title
+    alone has one row without a piece; documents without a title are left out. One scan serves all queries.
     """
-    phrase, words = query_words(query)
-    if not phrase:
-        docs = docs.limit(0)
-    pattern = "|".join(re.escape(w) for w in sorted({w for w in words if w}, key=lambda w: (-len(w), w)))
-
-    @F.pandas_udf("array<struct<start:int,stop:int,phrase_count:int,hits:int,snippet:string>>")
-    def cut(texts: pd.Series) -> pd.Series:
-        compiled = re.compile(pattern)
-        return texts.map(lambda s: _slices(s, phrase, compiled, top))
-
-    plain = docs.filter(F.length(trim_all(title)) > 0).select(doc, strip_html(trim_all(content)).alias("__c"))
-    matching = plain.filter(F.lower("__c").rlike(_alternation(words)))
-    return matching.select(doc, F.inline(cut("__c")))
+    plain = docs.select(doc, trim_all(title).alias("__t"), strip_html(trim_all(content)).alias("__c")).filter(F.length("__t") > 0)
+    answers = []
+    for query in [queries] if isinstance(queries, str) else queries:
+        phrase, words = query_words(query)
+        if not phrase:
+            continue
+        pattern = _alternation(words)
+        named, found = _hits(F.col("__t"), pattern), _hits(F.col("__c"), pattern)
+        marked = _marked(F.col("__t"), named, F.lit(0), F.length("__t"))
+        matching = F.lower("__t").rlike(pattern) | F.lower(F.coalesce("__c", F.lit(""))).rlike(pattern)
+        pieces = _pieces(F.col("__c"), found, phrase, top)
+        answers.append(F.when(matching, F.struct(F.lit(query).alias("query"), marked.alias("title"), pieces.alias("pieces"))))
+    if not answers:
+        kind = f"{doc} {dict(docs.dtypes)[doc]}"
+        return docs.sparkSession.createDataFrame([], f"{kind}, query string, title string, start int, stop int, phrase_count int, hits int, snippet string")
+    rows = plain.select(doc, F.explode(F.filter(F.array(*answers), lambda a: a.isNotNull())).alias("__a"))
+    return rows.select(doc, "__a.query", "__a.title", F.inline_outer("__a.pieces"))
 
 
 def title_match(titles: DataFrame, title: str, query: str, distance: int = 2) -> DataFrame:

@@ -72,6 +72,16 @@ def test_snippet_window_and_marks(spark):
     assert len(Q.snippets(docs(spark, ("t", text)), "key word", top=1).collect()) == 1
 
 
+def test_snippets_mark_titles_and_serve_several_queries(spark):
+    df = docs(spark, ("A Key here", "nothing"), ("plain", "one key two"), ("none", "none"), ("", "key"), ("key word", "Key " * 200), ("key", None))
+    rows = Q.snippets(df, ["key", "word two", " "], top=1).collect()
+    got = {(r.query, r.id): (r.title, r.snippet) for r in rows}
+    assert got["key", 1] == ("A <b>Key</b> here", None) and got["key", 6] == ("<b>key</b>", None)
+    assert got["key", 2] == ("plain", "one <b>key</b> two") and got["word two", 2] == ("plain", "one key <b>two</b>")
+    assert got["word two", 5] == ("key <b>word</b>", None) and set(got) == {("key", k) for k in (1, 2, 5, 6)} | {("word two", k) for k in (2, 5)}
+    assert got["key", 5][1].startswith("<b>Key</b> <b>Key</b>") and len(rows) == 6
+
+
 def test_title_match(spark):
     df = spark.createDataFrame([("spark",), ("sparks fly",), ("spork",), ("storm",)], "title string")
     got = {r.title: r.match for r in Q.title_match(df, "title", "Spark", 1).collect()}
