@@ -6,22 +6,27 @@ Boosted trees tell how likely its own text is main text. The decoder then finds
 which a kept element has only kept ancestors, so that no menu inside a dropped sidebar comes back and no paragraph is
 kept without its article.
 
-There are no labels for pages: the trees learn from elements whose tags or tokens say what they are (an article, a
-menu), on at most SAMPLE pages, those with the smallest hashes of their keys, in one task. Half of the training pages
-are shown twice, once without the tags and tokens, so that the trees also learn from structure alone.
+There are no labels for pages: the trees learn on at most SAMPLE pages, those with the smallest hashes of their keys, in
+one task. What tags or tokens of a page call main text is laid out LAYOUTS times anew: with and without links in the
+article, in more or fewer wrappers, among menus, notices, forms, comments and teasers with and without links, and in part
+without any telling tag or token. So no single feature separates the labels, and every tree sees a random half of the
+features only, so that density, tokens, depth and siblings all count.
 
 Blocks: character references are decoded, white space inside a block becomes one space, blocks are joined in page order
 by one line break. Script, style and other raw elements, comments and the page's head are no text.
 
 Defined cases: null and empty pages give empty text; unclosed and unmatched tags are tolerated; a ``<`` that starts no
-tag is text; without elements to learn from, all blocks are kept; repeated rows are judged alike.
+tag is text; without pages that call anything main text, all blocks are kept; repeated rows are judged alike, and one row
+of a key at most is learnt from.
 """
 
 from __future__ import annotations
 
 import html as references
+import random
 import re
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +35,9 @@ from pyspark.sql import DataFrame, functions as F
 from quillrank.session import stage
 
 SAMPLE = 400
-TREES, DEPTH, RATE, BINS, MIN_LEAF = 40, 4, 0.3, 32, 5
+LAYOUTS, LAYOUT_TEXTS = 4, 40
+TREES, DEPTH, RATE, BINS, MIN_LEAF = 80, 5, 0.3, 32, 5
+ROWS = 20_000
 TOGETHER = 1.0
 
 # Fixed values of the HTML standard.
@@ -64,7 +71,7 @@ class Page:
     """Block elements in page order (a parent before its children) and text blocks with the element they belong to."""
 
     def __init__(self, page: str):
-        self.tag, self.parent, self.inner, self.outer = ["html"], [-1], [0], [0]
+        self.tag, self.parent, self.inner, self.outer, self.near = ["html"], [-1], [0], [0], [0]
         self.blocks: list[tuple[int, str, int]] = []
         self._stack: list[tuple[str, int]] = [("html", 0)]
         self._text: list[str] = []
@@ -129,7 +136,12 @@ class Page:
         self.parent.append(above)
         # Evidence is inherited; what is inside an outer element stays outer.
         self.inner.append(int(inner or self.inner[above]))
-        self.outer.append(int((outer and not name.startswith("body")) or self.outer[above]))
+        self.outer.append(int(outer or self.outer[above]))
+        # What the nearest clear evidence says; inside an outer element, only an article speaks up again.
+        near = self.near[above]
+        if outer != inner:
+            near = -1 if outer else 1 if near >= 0 or name in INNER_TAGS else near
+        self.near.append(near)
         self._stack.append((name, len(self.tag) - 1))
 
     def _end(self, names: set[str], barrier: set[str]) -> None:
@@ -176,7 +188,7 @@ class Page:
         group = np.array([_GROUP.get(t, -1) for t in self.tag])
         brothers = np.maximum(siblings[up], 1)
         columns = [
-            np.array(self.inner), np.array(self.outer), np.array(self.inner)[up], np.array(self.outer)[up],
+            np.array(self.inner), np.array(self.outer), np.array(self.near), np.array(self.near)[up],
             np.log1p(chars), np.log1p(own[0]), links / np.maximum(chars, 1), own[1] / np.maximum(own[0], 1),
             chars / nodes, chars / np.maximum(blocks, 1), marks / np.maximum(chars, 1) * 100, words / np.maximum(blocks, 1),
             chars / max(chars[0], 1), links[up] / np.maximum(chars[up], 1), np.log1p(chars[up] / np.maximum(nodes[up], 1)),
@@ -216,78 +228,212 @@ class Trees:
         if len(y) == 0 or y.min() == y.max():
             self.base = 4.0
             return
-        self.edges = [np.unique(np.quantile(c, np.linspace(0, 1, BINS + 1)[1:-1])) for c in x.T]
-        binned = np.stack([np.searchsorted(e, c, side="left") for e, c in zip(self.edges, x.T)], axis=1)
+        edges = [np.unique(np.quantile(c, np.linspace(0, 1, BINS + 1)[1:-1])) for c in x.T]
+        binned = np.stack([np.searchsorted(e, c, side="left") for e, c in zip(edges, x.T)], axis=1)
         mean = float(np.clip(y.mean(), 0.01, 0.99))
         self.base = float(np.log(mean / (1 - mean)))
-        margin = np.full(len(y), self.base)
+        margin, rng = np.full(len(y), self.base), np.random.default_rng(0)
         for _ in range(TREES):
             p = 1 / (1 + np.exp(-margin))
-            tree = self._grow(binned, p - y, p * (1 - p))
+            usable = rng.choice(x.shape[1], size=(x.shape[1] + 1) // 2, replace=False)
+            tree, leaf = _grow(binned, edges, sorted(usable.tolist()), p - y, p * (1 - p))
             self.trees.append(tree)
-            margin += self._walk(tree, x)
-
-    def _grow(self, binned: np.ndarray, g: np.ndarray, h: np.ndarray):
-        inner = (1 << DEPTH) - 1
-        feature, limit = np.zeros(inner, dtype=np.int64), np.full(inner, np.inf)
-        node = np.zeros(len(g), dtype=np.int64)
-        for level in range(DEPTH):
-            first, width = (1 << level) - 1, 1 << level
-            local = node - first
-            best = np.full(width, 1e-6)
-            cut = np.full(width, -1, dtype=np.int64)
-            for f, edges in enumerate(self.edges):
-                if not len(edges):
-                    continue
-                size = len(edges) + 1
-                key = local * size + binned[:, f]
-                sums = [np.bincount(key, weights=w, minlength=width * size).reshape(width, size) for w in (g, h, np.ones(len(g)))]
-                left = [np.cumsum(s, axis=1)[:, :-1] for s in sums]
-                whole = [s.sum(axis=1, keepdims=True) for s in sums]
-                right = [w - part for w, part in zip(whole, left)]
-                gain = left[0] ** 2 / (left[1] + 1) + right[0] ** 2 / (right[1] + 1) - whole[0] ** 2 / (whole[1] + 1)
-                gain[(left[2] < MIN_LEAF) | (right[2] < MIN_LEAF)] = 0
-                top = gain.argmax(axis=1)
-                value = gain[np.arange(width), top]
-                better = value > best
-                best[better], feature[first : first + width][better] = value[better], f
-                cut[better] = top[better]
-                limit[first : first + width][better] = edges[top[better]]
-            own = cut[local]
-            right = (own >= 0) & (binned[np.arange(len(g)), feature[node]] > own)
-            node = 2 * node + 1 + right
-        leaf = node - inner
-        total = [np.bincount(leaf, weights=w, minlength=inner + 1) for w in (g, h)]
-        return feature, limit, -RATE * total[0] / (total[1] + 1)
-
-    @staticmethod
-    def _walk(tree, x: np.ndarray) -> np.ndarray:
-        feature, limit, value = tree
-        node, rows = np.zeros(len(x), dtype=np.int64), np.arange(len(x))
-        for _ in range(DEPTH):
-            node = 2 * node + 1 + (x[rows, feature[node]] > limit[node])
-        return value[node - len(feature)]
+            margin += tree[2][leaf]
+
+    @cached_property
+    def _stacked(self) -> list[np.ndarray]:
+        return [np.stack([t[k] for t in self.trees]) for k in range(3)]
 
     def margins(self, x: np.ndarray) -> np.ndarray:
-        return self.base + sum((self._walk(t, x) for t in self.trees), np.zeros(len(x)))
+        if not self.trees:
+            return np.full(len(x), self.base)
+        feature, limit, value = self._stacked
+        inner, tree = feature.shape[1], np.arange(len(self.trees))[None, :]
+        out = np.empty(len(x))
+        for at in range(0, len(x), ROWS):  # all trees at once, for a bounded number of elements
+            part = x[at : at + ROWS]
+            rows, node = np.arange(len(part))[:, None], np.zeros((len(part), len(self.trees)), dtype=np.int64)
+            while node[0, 0] < inner:
+                node = 2 * node + 1 + (part[rows, feature[tree, node]] > limit[tree, node])
+            out[at : at + ROWS] = value[tree, node - inner].sum(axis=1)
+        return self.base + out
+
+
+def _grow(binned: np.ndarray, edges: list[np.ndarray], usable: list[int], g: np.ndarray, h: np.ndarray):
+    """A tree (feature and limit of its splits, value of its leaves) on the usable features, and the leaf of every row."""
+    inner = (1 << DEPTH) - 1
+    feature, limit = np.zeros(inner, dtype=np.int64), np.full(inner, np.inf)
+    node = np.zeros(len(g), dtype=np.int64)
+    for level in range(DEPTH):
+        first, width = (1 << level) - 1, 1 << level
+        local = node - first
+        best = np.full(width, 1e-6)
+        cut = np.full(width, -1, dtype=np.int64)
+        for f in usable:
+            if not len(edges[f]):
+                continue
+            size = len(edges[f]) + 1
+            key = local * size + binned[:, f]
+            sums = [np.bincount(key, weights=w, minlength=width * size).reshape(width, size) for w in (g, h, None)]
+            left = [np.cumsum(part, axis=1)[:, :-1] for part in sums]
+            whole = [part.sum(axis=1, keepdims=True) for part in sums]
+            right = [w - part for w, part in zip(whole, left)]
+            gain = left[0] ** 2 / (left[1] + 1) + right[0] ** 2 / (right[1] + 1) - whole[0] ** 2 / (whole[1] + 1)
+            gain[(left[2] < MIN_LEAF) | (right[2] < MIN_LEAF)] = 0
+            top = gain.argmax(axis=1)
+            value = gain[np.arange(width), top]
+            better = value > best
+            best[better], feature[first : first + width][better] = value[better], f
+            cut[better] = top[better]
+            limit[first : first + width][better] = edges[f][top[better]]
+        own = cut[local]
+        node = 2 * node + 1 + ((own >= 0) & (binned[np.arange(len(g)), feature[node]] > own))
+    leaf = node - inner
+    total = [np.bincount(leaf, weights=w, minlength=inner + 1) for w in (g, h)]
+    return (feature, limit, -RATE * total[0] / (total[1] + 1)), leaf
+
+
+class _Layout:
+    """A page laid out at random around given main texts, and the label of every element with text of its own."""
+
+    def __init__(self, texts: list[str], rnd: random.Random):
+        self.page, self.label, self.rnd = Page(""), {}, rnd
+        self.words = " ".join(texts).split()
+        self.telling = rnd.random() < 0.6
+        self.linked = rnd.choice([0.0, 0.0, 0.1, 0.4])
+        wrappers = [("div", self._attribute(INNER_TOKENS if rnd.random() < 0.3 else ()))] * rnd.randint(0, 3)
+        if rnd.random() < 0.15:  # a wrapper may name what stands beside the article
+            wrappers.insert(0, ("div", self._attribute(INNER_TOKENS, OUTER_TOKENS)))
+        for tag, attribute in wrappers:
+            self.page._open(tag, attribute if self.telling else "")
+        self._others()
+        self._article(texts)
+        self._others()
+        for tag, _ in wrappers:
+            self.page._close(tag)
+        self.page._flush()
+
+    def _attribute(self, *kinds) -> str:
+        return f'class="{"-".join(self.rnd.choice(sorted(k)) if k else "w" for k in kinds)}"'
+
+    def _some(self, least: int, most: int) -> str:
+        size = self.rnd.randint(least, most)
+        at = self.rnd.randrange(max(len(self.words) - size, 1))
+        return " ".join(self.words[at : at + size])
+
+    def _put(self, tag: str, text: str, label: int, links: float = 0.0, attribute: str = "") -> None:
+        """One element with the text; ``links`` is the probability that a run of its words, or all of it (1), is a link."""
+        self.page._open(tag, attribute)
+        self.label[self.page._stack[-1][1]] = label
+        words = text.split()
+        a, b = (0, len(words)) if links >= 1 else (0, 0)
+        if 0 < links < 1 and self.rnd.random() < links:
+            a = self.rnd.randrange(len(words))
+            b = a + self.rnd.randint(1, 4)
+        for part, link in ((words[:a], 0), (words[a:b], 1), (words[b:], 0)):
+            self.page._in_link = link
+            self.page._add(" ".join(part) + " " if part else "")
+        self.page._in_link = 0
+        self.page._close(tag)
+
+    def _article(self, texts: list[str]) -> None:
+        rnd, page = self.rnd, self.page
+        tag = rnd.choice(["article", "article", "main", "div", "section"]) if self.telling else rnd.choice(["div", "section"])
+        told = tag in INNER_TAGS
+        kinds = [INNER_TOKENS] if not told or rnd.random() < 0.4 else []
+        if rnd.random() < 0.1:
+            kinds = [INNER_TOKENS, OUTER_TOKENS]
+        page._open(tag, self._attribute(*kinds) if self.telling and kinds else "")
+        if rnd.random() < 0.7:
+            self._put(rnd.choice(["h1", "h2"]), self._some(2, 12), 1)
+        group = rnd.choice(["", "", "div", "section"])
+        if group:
+            page._open(group, "")
+        for text in texts:
+            if rnd.random() < 0.4:
+                text = " ".join(text.split()[: rnd.randint(2, 30)])
+            kind = rnd.choice(["p"] * 8 + ["div", "blockquote", "pre", "h2", "h3", "ul", "table"])
+            if kind == "ul":
+                page._open("ul", "")
+                for _ in range(rnd.randint(2, 5)):
+                    self._put("li", self._some(3, 25), 1, self.linked)
+                page._close("ul")
+            elif kind == "table":
+                page._open("table", "")
+                page._open("tr", "")
+                for _ in range(rnd.randint(2, 5)):
+                    self._put("td", self._some(1, 6), 1, self.linked)
+                page._close("table")
+            else:
+                self._put(kind, text, 1, self.linked)
+            if self.telling and rnd.random() < 0.05:
+                self._other(rnd.choice(["comments", "notice", "related"]))
+        if group:
+            page._close(group)
+        page._close(tag)
+
+    def _others(self) -> None:
+        for _ in range(self.rnd.randint(0, 3)):
+            kinds = ["menu", "menu", "footer", "notice", "form"]
+            self._other(self.rnd.choice(kinds + ["comments", "comments", "related"] if self.telling else kinds))
+
+    def _other(self, kind: str) -> None:
+        """A region that is no main text. Comments and teasers read like articles, so they always say what they are."""
+        rnd, page = self.rnd, self.page
+        token = self._attribute(OUTER_TOKENS)
+        links = rnd.choice([0, 0.5, 1, 1])
+        if kind == "menu":
+            tag = rnd.choice(["nav", "menu", "div"]) if self.telling else "div"
+            page._open(tag, token if self.telling and tag == "div" else "")
+            page._open("ul", "")
+            for _ in range(rnd.randint(3, 12)):
+                self._put("li", self._some(1, 3), 0, links)
+            page._close("ul")
+            page._close(tag)
+        elif kind in ("footer", "notice"):
+            tag = rnd.choice([kind if kind == "footer" else "aside", "div"]) if self.telling else "div"
+            attribute = token if self.telling and tag == "div" else ""
+            if rnd.random() < 0.5:
+                self._put(tag, self._some(2, 30), 0, min(links, 0.5), attribute)
+            else:
+                page._open(tag, attribute)
+                for _ in range(rnd.randint(1, 3)):
+                    self._put("p", self._some(2, 15), 0, links)
+                page._close(tag)
+        elif kind == "form":
+            tag = "form" if self.telling else "div"
+            page._open(tag, "")
+            for _ in range(rnd.randint(1, 4)):
+                self._put(rnd.choice(["p", "div"]), self._some(1, 4), 0)
+            page._close(tag)
+        else:
+            tag = rnd.choice(["section", "div", "aside"])
+            page._open(tag, token if tag != "aside" else "")
+            for _ in range(rnd.randint(1, 6)):
+                inside = rnd.choice(["", "div", "article"])
+                if inside:
+                    page._open(inside, self._attribute(OUTER_TOKENS, INNER_TOKENS) if rnd.random() < 0.5 else "")
+                if rnd.random() < 0.5:
+                    self._put("h3", self._some(1, 6), 0, links)
+                self._put("p", self._some(3, 60), 0, 0.1)
+                if inside:
+                    page._close(inside)
+            page._close(tag)
 
 
 def _examples(pages: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Features and labels of the elements with text of their own that say what they are."""
-    xs, ys = [], []
-    for k, text in enumerate(pages):
+    """Features and labels of all elements with text of their own in the layouts of the pages' main texts."""
+    rnd, xs, ys = random.Random(0), [], []
+    for text in pages:
         page = Page(text)
-        x = page.features()
-        outer, inner = np.array(page.outer, dtype=bool), np.array(page.inner, dtype=bool)
-        say = (outer | inner) & (x[:, 5] > 0)
-        y = (inner & ~outer).astype(float)
-        xs.append(x[say])
-        ys.append(y[say])
-        if k % 2:
-            blind = x[say].copy()
-            blind[:, :4] = 0
-            xs.append(blind)
-            ys.append(y[say])
+        texts = [t for node, t, _ in page.blocks if page.near[node] > 0]
+        for _ in range(LAYOUTS if texts else 0):
+            size = rnd.randint(1, LAYOUT_TEXTS)
+            at = rnd.randrange(max(len(texts) - size, 0) + 1)
+            layout = _Layout(texts[at : at + size], rnd)
+            nodes = sorted(layout.label)
+            xs.append(layout.page.features()[nodes])
+            ys.append(np.array([layout.label[k] for k in nodes], dtype=float))
     width = Page("").features().shape[1]
     return np.concatenate(xs or [np.zeros((0, width), np.float32)]), np.concatenate(ys or [np.zeros(0)])
 
@@ -304,7 +450,8 @@ def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fitted(pages: DataFrame, sample: int = SAMPLE) -> Trees:
     """The trees, from at most ``sample`` pages (page_id, html)."""
     keys = pages.select("page_id").distinct().orderBy(F.xxhash64("page_id"), "page_id").limit(sample)
-    rows = pages.join(F.broadcast(keys), "page_id").repartition(1).sortWithinPartitions("page_id", "html").select("html")
+    one = pages.join(F.broadcast(keys), "page_id").groupBy("page_id").agg(F.min("html").alias("html"))
+    rows = one.repartition(1).sortWithinPartitions("page_id").select("html")
     table = stage(rows.mapInArrow(_fit, "k long, feature array<long>, limit array<double>, value array<double>"), "trees")
     trees = Trees(np.zeros((0, 1)), np.zeros(0))
     for r in table.orderBy("k").collect():  # TREES rows and the base

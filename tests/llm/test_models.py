@@ -5,7 +5,7 @@ from collections import Counter, defaultdict
 import numpy as np
 from pyspark.sql import functions as F
 
-from quillrank.llm import extraction, kneser_ney, latent, toxicity
+from quillrank.llm import kneser_ney, latent, toxicity
 
 
 def brute_kneser_ney(texts, alphabet):
@@ -271,55 +271,6 @@ def test_longest_common_subsequence():
         assert round(latent.Item(0, np.array(a)).share(0, b) * len(a)) == row[-1]
 
 
-def page(rnd, k, marked=True):
-    def text(n):
-        return " ".join(f"w{rnd.randint(0, 999)}" for _ in range(n)) + "."
-
-    body = [f"T{k} &amp; more", *[text(rnd.randint(2, 80)) for _ in range(rnd.randint(3, 8))]]
-    inside = f"<h1>{body[0]}</h1>" + "".join(f"<p>{t}" for t in body[1:])
-    menu = "".join(f'<li><a href="/{j}">item {j}</a></li>' for j in range(6))
-    wrap = ("<nav><ul>", "</ul></nav>", "<article>", "</article>", "<footer>", "</footer>") if marked else ("<div><ul>", "</ul></div>", "<div>", "</div>", "<div>", "</div>")
-    extra = '<aside class="sidebar"><p>Read this too.</p></aside><div class="comments"><p>First! Great post.</p></div><form><label>Mail</label></form>' if marked else ""
-    html = f"<html><head><title>x</title><style>p{{}}</style></head><body>{wrap[0]}{menu}{wrap[1]}<script>var a='</p>';</script><!-- <p>no</p> -->{wrap[2]}{inside}{wrap[3]}{extra}{wrap[4]}&copy; site <a href='/a'>about</a>{wrap[5]}</body></html>"
-    return html, "\n".join(["T%d & more" % k, *body[1:]])
-
-
-def test_extraction(spark):
-    rnd = random.Random(7)
-    rows = [(k, "u", *page(rnd, k)) for k in range(60)]
-    rows += [(100, None, None, ""), (101, "u", "", ""), (102, "u", "<article><p>a &lt; b<br>c\n\n d</p><p>cut &am", "a < b c d\ncut &am")]
-    df = spark.createDataFrame(rows, "page_id long, url string, html string, want string").withColumn("text", F.lit("clash"))
-    got = {r["page_id"]: r for r in extraction.extract(df).collect()}
-    assert {k: r["text"] for k, r in got.items()} == {r[0]: r[3] for r in rows}
-    assert all(r["n_chars"] == len(r["text"]) for r in got.values())
-    assert extraction.extract(df.limit(0)).count() == 0
-
-
-def test_trees_read_structure_alone():
-    """Without telling tags, the trees still tell articles from menus in most elements."""
-    rnd = random.Random(8)
-    trees = extraction.Trees(*extraction._examples([page(rnd, k)[0] for k in range(80)]))
-    share = []
-    for k in range(20):
-        html, want = page(rnd, k, marked=False)
-        got = set(extraction.main_text(html, trees).split("\n"))
-        share.append(len(got & set(want.split("\n"))) / len(got | set(want.split("\n"))))
-    assert np.mean(share) > 0.7
-
-
-def test_marks_count_alike_at_every_length():
-    rate = [extraction.Page(f"<p>{'so; it: is! ' * n}</p>").features()[-1, 10] for n in (100, 800, 900, 5000)]
-    assert np.allclose(rate, rate[0], rtol=0.01) and rate[0] > 20
-
-
-def test_decoding_has_no_orphans():
-    rnd = np.random.default_rng(0)
-    parsed = extraction.Page("<div>a<div>b<p>c</p><p>d</p></div><ul><li>e<li>f</ul></div><div>g</div>")
-    for _ in range(50):
-        kept = parsed.decode(rnd.normal(size=len(parsed.tag)) * 3)
-        assert all(kept[p] for k, p in enumerate(parsed.parent) if k and kept[k])
-
-
 def test_factorization_machine_against_double_loop():
     """Margins are the bias, the weights, and all pairs one by one over the number of terms."""
     rng = np.random.default_rng(4)
