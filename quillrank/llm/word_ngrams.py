@@ -5,6 +5,8 @@ The bigrams of a text are counted where it lies. The bigrams of the trusted text
 of first words, and continuation counts of second ones. The distinct bigrams of all documents are joined to them, and every
 document's bigrams to the result; hot keys are salted and nothing is gathered on the driver.
 
+Rows with equal key and text count as one: their sums are divided by the number of texts, which is that of bigrams from START.
+
 A trusted document was counted itself. What no other trusted document holds counts as unseen in it, or its words would
 look more ordinary than those of any other text.
 """
@@ -103,7 +105,9 @@ def scored(docs: DataFrame, trusted: DataFrame, discount, interpolated) -> DataF
     weight = F.coalesce("weight", F.lit(1.0))
     lower, least = weight * F.coalesce("p1", F.lit(unseen)), weight * F.lit(unseen)
     table = found.select("key", F.coalesce("p2", lower).alias("p"), lower.alias("p_lower"), least.alias("p_least"), "o1", "o2")
-    joined = spread_join(rows.select("rid", "doc_id", "key", "c"), table, "key", weights=asked.select("key", "cnt"), salt=F.col("rid"))
+    joined = spread_join(rows.select("rid", "doc_id", "key", "c", (F.col("y") == START).alias("begins")), table, "key", weights=asked.select("key", "cnt"), salt=F.col("rid"))
     p = F.when(F.col("o1") == F.col("doc_id"), F.col("p_least")).when(F.col("o2") == F.col("doc_id"), F.col("p_lower")).otherwise(F.col("p"))
     sums = {"n_words": F.col("c"), "word_nll": -F.log(p) * F.col("c"), "word_saved": F.log(F.col("c")) * F.col("c")}
-    return joined.groupBy("rid").agg(*[F.sum(x).alias(name) for name, x in sums.items()])
+    totals = joined.groupBy("rid").agg(F.count_if("begins").alias("texts"), *[F.sum(x).alias(name) for name, x in sums.items()])
+    means = [(F.col(name) / F.col("texts")).alias(name) for name in ("word_nll", "word_saved")]
+    return totals.select("rid", F.expr("n_words div texts").alias("n_words"), *means)

@@ -134,6 +134,13 @@ def test_word_bigrams_reject_junk_of_ordinary_words(docs, spark):
     assert found[141][0]["n_words"] == 0 and found[141][0]["word_perplexity"] is None
     one, two, three = sorted(found[140], key=lambda r: r["word_perplexity"])
     assert len({one["word_perplexity"], two["word_perplexity"], three["word_perplexity"]}) == 2
+    once = [r for r in rows if 120 <= (r[0] or 0) < 140]
+    many = kneser_ney.classify(docs([(i, t and t.lower()) for i, t in rows[:120] + once * 10]), labels).filter("doc_id >= 120").collect()
+    assert len(many) == 10 * len(once)
+    for r in many:
+        alone = found[r["doc_id"]][0]
+        assert r["n_words"] == alone["n_words"] and r["kept"] == alone["kept"]
+        assert abs(r["word_perplexity"] / alone["word_perplexity"] - 1) < 1e-9 and abs(r["repeats"] - alone["repeats"]) < 1e-9
 
 
 def test_kneser_ney_without_trusted_text(docs, spark):
