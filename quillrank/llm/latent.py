@@ -5,21 +5,17 @@
 2. A randomised SVD of the TF-IDF passages (blocks) of the whole corpus in one pass: with Y = A W for a random W, every
    task sums Y'Y and Y'A over its passages; partial sums are added up in a tree of bounded groups. From both, the right
    singular vectors of the projection of A on the range of Y follow on the driver, in matrices of fixed size.
-3. Windows of two blocks, folded into the latent space, meet the windows of the benchmark items (a stated query set, in
-   blocks of ITEMS) as one matrix product per batch. Pairs with a cosine of NEAR or more (less for items
-   shorter than a window) are candidates, if a share of
+3. Windows of WIDTHS words of the texts, folded into the latent space, meet the windows of the benchmark items (a stated
+   query set, in blocks of ITEMS) as matrix products per batch. An item has windows of the largest width that it fills; a
+   shorter one than the largest width is looked for whole in windows of that width as well, for words that stand further
+   apart. Pairs with a cosine of NEAR or more (less for items that fill a window in part) are candidates, if a share of
    COMMON of the different words of the item's window stands in the text's window.
-4. Besides, every item is looked for by its rarest words: so many of them that a text which holds WEAK of the item's words in
-   order holds one of these at least. Places where a bitmap of the blocks around lacks more of the item's words than
-   that leaves open are dropped, all places around the others are tried. So no pair that step 5 accepts at any place is
-   refused before it, however short the item is and however its words are weighted.
-5. A candidate aligns an item with a place in the text. The longest common subsequence of the item's words and the words
+4. A candidate aligns an item with a place in the text. The longest common subsequence of the item's words and the words
    around that place must reach STRONG of the item, or WEAK of it while the answer, the last third of the item, is there
    at least half. Word order counts and changed, added or lost words do not hide a paraphrase.
 
-Windows of an item start every SHIFT words, those of a text every STEP words, so a verbatim passage meets a window that is at
-most half of SHIFT words off, and a short one lies whole in a window of the text. What
-those windows miss, the rarest words find. The words of all documents are read three times and never shuffled.
+Windows start every quarter of their width, those of texts every FINE words at least, so a passage meets a window that is an
+eighth of the width off at most. The words of all documents are read three times and never shuffled.
 
 Defined cases: null and blank texts match nothing; items without words match nothing; texts and items shorter than a
 window are one window; items that repeat are all reported; rows that share a key are judged one by one; an empty
@@ -41,10 +37,13 @@ from quillrank.session import run_dir, stage
 TERMS = 1 << 14
 RANK, OVERSAMPLING = 40, 8
 STEP = 16
-SHIFT = 8
-NEAR, COMMON = 0.5, 0.5
+FINE = 4
+WIDTHS = (4, 8, 16, 32)
+NEAR = {4: 0.35, 8: 0.35, 16: 0.4, 32: 0.45}
+COMMON = 0.4
 STRONG, WEAK, ANSWER = 0.75, 0.6, 0.5
 ITEMS = 2000
+PART = 1 << 15
 BITS = 512
 FAN_IN = 16
 HITS = "array<struct<item_id:long,start:long,length:long,cosine:double,overlap:double>>"
@@ -56,26 +55,26 @@ def hashed(text: Column) -> Column:
 
 
 class Blocks:
-    """The words of a batch of texts, and its blocks of STEP words; no block spans two texts."""
+    """The words of a batch of texts, and its blocks of ``step`` words; no block spans two texts."""
 
-    def __init__(self, column: pa.Array):
+    def __init__(self, column: pa.Array, step: int = STEP):
         column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
         offsets = column.offsets.to_numpy().astype(np.int64)
         self.words = column.flatten().to_numpy(zero_copy_only=False).astype(np.int64) & 0xFFFFFFFF
         self.starts, self.sizes = offsets[:-1] - offsets[0], np.diff(offsets)
         self.terms = self.words % TERMS
-        per_text = -(-self.sizes // STEP)
+        per_text = -(-self.sizes // step)
         self.owner = np.repeat(np.arange(len(self.sizes)), per_text)
         self.number = np.arange(len(self.owner)) - np.repeat(np.cumsum(per_text) - per_text, per_text)
-        self.first = self.starts[self.owner] + self.number * STEP
-        self.of_text = np.cumsum(per_text) - per_text
-
-    def sums(self, table: np.ndarray) -> np.ndarray:
-        """The sum of a row of ``table`` per word, for every block, some blocks at a time."""
-        out = np.empty((len(self.first), table.shape[1]), dtype=np.float32)
-        for k in range(0, len(self.first), 8192):
-            at = self.first[k : k + 8192]
-            end = self.first[k + 8192] if k + 8192 < len(self.first) else len(self.terms)
+        self.first = self.starts[self.owner] + self.number * step
+
+    def sums(self, table: np.ndarray, low: int = 0, high: int | None = None) -> np.ndarray:
+        """The sum of a row of ``table`` per word, for the blocks from ``low`` on, some blocks at a time."""
+        ends = np.append(self.first[1:], len(self.terms))[low:high]
+        first = self.first[low:high]
+        out = np.empty((len(first), table.shape[1]), dtype=np.float32)
+        for k in range(0, len(first), 8192):
+            at, end = first[k : k + 8192], ends[k : k + 8192][-1]
             out[k : k + 8192] = np.add.reduceat(table[self.terms[at[0] : end]], at - at[0], axis=0)
         return out
 
@@ -196,133 +195,89 @@ class Item:
         return overlap if overlap >= STRONG or (overlap >= WEAK and self.share(1, region) >= ANSWER) else 0.0
 
 
-class Query:
-    """Items with their windows in the latent space."""
+class Windows:
+    """The windows of one width of all items: unit rows in the latent space, the words as bitmaps, item and offset of each."""
 
-    def __init__(self, items: list[tuple[int, list[int]]], folding: np.ndarray, idf: np.ndarray):
-        self.folding = folding
-        self.items, self.owner, self.offset, rows, windows = [], [], [], [], []
-        for item_id, words in items:
-            words = np.array(words, dtype=np.int64) & 0xFFFFFFFF
-            if not len(words):
+    def __init__(self, width: int, items: list[Item], folding: np.ndarray):
+        self.width, self.item, self.offset, rows, words = width, [], [], [], []
+        for k, item in enumerate(items):
+            own = max([w for w in WIDTHS if w <= item.n], default=WIDTHS[0])
+            if width != own and width != WIDTHS[-1]:
                 continue
-            last = max(len(words) - 2 * STEP, 0)
-            for o in sorted({*range(0, last + 1, SHIFT), last}):
-                part = words[o : o + 2 * STEP]
+            last = max(item.n - width, 0)
+            for o in sorted({*range(0, last + 1, max(width // 4, 1)), last}):
+                part = item.words[o : o + width]
                 rows.append(folding[part % TERMS].sum(axis=0))
-                windows.append(np.pad(part, (0, 2 * STEP - len(part)), constant_values=-1))
-                self.owner.append(len(self.items))
+                words.append(np.pad(part, (0, width - len(part)), constant_values=-1))
+                self.item.append(k)
                 self.offset.append(o)
-            self.items.append(Item(item_id, words))
-        self.bits = bitmaps(np.array(windows, dtype=np.int64).reshape(len(rows), 2 * STEP))
-        self.sizes = np.bitwise_count(self.bits).sum(axis=1)
-        # A window that an item fills in part only is that much less like the item.
-        lengths = np.array([min(self.items[k].n, 2 * STEP) for k in self.owner])
-        self.near = NEAR * np.sqrt(lengths / (2 * STEP))
         self.matrix = _unit(np.array(rows, dtype=np.float32).reshape(len(rows), folding.shape[1]))
-        self._probes(idf)
-
-    def _probes(self, idf: np.ndarray) -> None:
-        """The rarest words of the items, in order of the words, with the item and the place of each; bitmaps of whole items."""
-        size = max((i.n for i in self.items), default=1)
-        whole = [np.pad(i.words, (0, size - i.n), constant_values=-1) for i in self.items]
-        self.whole = bitmaps(np.array(whole, dtype=np.int64).reshape(len(self.items), size))
-        self.lengths = np.array([i.n for i in self.items], dtype=np.int64)
-        # Words that may be missing where WEAK of an item is there.
-        self.missing = self.lengths - np.ceil(WEAK * self.lengths - 1e-9).astype(np.int64)
-        places = [np.argsort(-idf[i.words % TERMS], kind="stable")[: m + 1] for i, m in zip(self.items, self.missing)]
-        words = np.concatenate([i.words[p] for i, p in zip(self.items, places)] or [np.empty(0, np.int64)])
-        order = np.argsort(words, kind="stable")
-        self.probe_item = np.repeat(np.arange(len(places)), [len(p) for p in places])[order]
-        self.probe_place = np.concatenate(places or [np.empty(0, np.int64)])[order]
-        self.probe_words, self.probe_from, self.probe_counts = np.unique(words[order], return_index=True, return_counts=True)
-        self.first_window = np.searchsorted(np.array(self.owner, dtype=np.int64), np.arange(len(self.items)))
-
-    def _shared(self, b: Blocks) -> Iterator[tuple[int, int, int, int]]:
-        """(text, item, first, last): places to try where the text has a probe of the item, and not too many of its other words
-        are missing around them.
-
-        An alignment that leaves out m words of the item has a probe at most m + STEP words from where it would stand.
-        """
-        owner = np.repeat(np.arange(len(b.sizes)), b.sizes)
-        place = b.first[:, None] + np.arange(STEP)
-        end = (b.starts + b.sizes)[b.owner][:, None]
-        bits = bitmaps(np.where(place < end, b.words[np.minimum(place, len(b.words) - 1)], -1))
-        before = int(self.lengths.max()) // STEP + 2
-        wide = int(b.sizes.max()) // STEP + before + 2
-        for k in range(0, len(b.words), 1 << 16):
-            w = b.words[k : k + (1 << 16)]
-            at = np.minimum(np.searchsorted(self.probe_words, w), len(self.probe_words) - 1)
-            hit = np.flatnonzero(self.probe_words[at] == w)
-            count = self.probe_counts[at[hit]]
-            which = np.repeat(self.probe_from[at[hit]] - np.cumsum(count) + count, count) + np.arange(count.sum())
-            word = np.repeat(hit + k, count)
-            text, item = owner[word], self.probe_item[which]
-            bucket = (word - b.starts[text] - self.probe_place[which]) // STEP
-            _, one = np.unique((text * len(self.items) + item) * wide + bucket + before, return_index=True)
-            text, item = text[one], item[one]
-            first = bucket[one] * STEP - STEP - self.missing[item]
-            last = first + 3 * STEP - 1 + 2 * self.missing[item]
-            low = np.maximum(first - STEP, 0) // STEP
-            high = (np.minimum(last + self.lengths[item] + STEP, b.sizes[text]) - 1) // STEP
-            near = np.zeros((len(one), BITS // 64), dtype=np.uint64)
-            for j in range(int((high - low).max(initial=-1)) + 1):
-                use = low + j <= high
-                near[use] |= bits[b.of_text[text[use]] + low[use] + j]
-            ok = np.bitwise_count(self.whole[item] & ~near).sum(axis=1) <= self.missing[item]
-            yield from zip(*(x[ok].tolist() for x in (text, item, first, last)))
-
-    def _common(self, b: Blocks, rows: np.ndarray, r: np.ndarray, q: np.ndarray) -> np.ndarray:
-        """Those of the pairs (row, query window) in which enough different words of the query window stand in the text's
-        window; windows are compared as bitmaps of their hashed words."""
-        start = b.first[rows]
-        end = np.minimum(start + 2 * STEP, (b.starts + b.sizes)[b.owner[rows]])
-        place = start[:, None] + np.arange(2 * STEP)
-        texts = bitmaps(np.where(place < end[:, None], b.words[np.minimum(place, len(b.words) - 1)], -1))
-        found = np.bitwise_count(texts[r] & self.bits[q]).sum(axis=1)
-        ok = found >= COMMON * self.sizes[q]
-        return np.stack([r[ok], q[ok]], axis=1)
+        self.bits = bitmaps(np.array(words, dtype=np.int64).reshape(len(rows), width))
+        self.least = COMMON * np.bitwise_count(self.bits).sum(axis=1)
+        # A window that an item fills in part only is that much less like the item.
+        filled = np.array([min(items[k].n, width) for k in self.item])
+        self.near = (NEAR[width] * np.sqrt(filled / width)).astype(np.float32)
+
+    def candidates(self, b: Blocks, blocks: np.ndarray, sums: np.ndarray) -> Iterator[tuple[int, int, float]]:
+        """(block, window, cosine) of the text windows, which start at ``blocks`` and have these sums."""
+        for k in range(0, len(blocks) if len(self.matrix) else 0, 4096):
+            at = blocks[k : k + 4096]
+            cosine = _unit(sums[k : k + 4096]) @ self.matrix.T
+            r, q = np.nonzero(cosine >= self.near)
+            if not len(r):
+                continue
+            rows, where = np.unique(r, return_inverse=True)
+            place = b.first[at[rows]][:, None] + np.arange(self.width)
+            end = (b.starts + b.sizes)[b.owner[at[rows]]][:, None]
+            texts = bitmaps(np.where(place < end, b.words[np.minimum(place, len(b.words) - 1)], -1))
+            for j in range(0, len(r), 1 << 16):
+                part = slice(j, j + (1 << 16))
+                ok = np.bitwise_count(texts[where[part]] & self.bits[q[part]]).sum(axis=1) >= self.least[q[part]]
+                rr, qq = r[part][ok], q[part][ok]
+                yield from zip(at[rr].tolist(), qq.tolist(), cosine[rr, qq].tolist())
+
+
+class Query:
+    """Items with their windows in the latent space."""
+
+    def __init__(self, items: list[tuple[int, list[int]]], folding: np.ndarray):
+        self.folding = folding
+        self.items = [Item(i, np.array(words, dtype=np.int64) & 0xFFFFFFFF) for i, words in items if len(words)]
+        self.windows = [Windows(width, self.items, folding) for width in WIDTHS]
+
+    def _candidates(self, b: Blocks) -> Iterator[tuple[int, int, int, float]]:
+        """(text, item, place of the item in the text, cosine), some blocks at a time."""
+        more = WIDTHS[-1] // FINE
+        for low in range(0, len(b.first), PART):
+            sums = b.sums(self.folding, low, low + PART + more)
+            owner = b.owner[low : low + len(sums)]
+            for windows in self.windows:
+                if windows.width > FINE:  # two windows of half the width, unless the text ends before
+                    half = windows.width // FINE // 2
+                    wide = sums.copy()
+                    wide[:-half] += sums[half:] * (owner[half:] == owner[:-half])[:, None]
+                    sums = wide
+                blocks = np.arange(low, min(low + PART, len(b.first)))
+                number, tail = b.number[blocks], b.sizes[b.owner[blocks]]
+                # Every quarter of a width, and no window that starts late only to end with the text.
+                use = (number % max(windows.width // 4 // FINE, 1) == 0) & ((number == 0) | (number * FINE + windows.width // 2 <= tail))
+                for block, q, cosine in windows.candidates(b, blocks[use], sums[: len(blocks)][use]):
+                    yield int(b.owner[block]), windows.item[q], int(b.number[block]) * FINE - windows.offset[q], cosine
 
     def hits(self, column: pa.Array) -> list[list[dict]]:
-        b = Blocks(column)
+        b = Blocks(column, FINE)
         out: list[dict[int, dict]] = [{} for _ in b.sizes]
-        if not len(b.words) or not len(self.matrix):
-            return [[] for _ in b.sizes]
-        block = b.sums(self.folding)
-        last = np.append(b.owner[1:] != b.owner[:-1], True)
-        window = block.copy()
-        window[:-1][~last[:-1]] += block[1:][~last[:-1]]
-        use = np.flatnonzero(~last | (b.number == 0))
         seen = set()
-
-        def judge(text: int, item: int, place: int, cosine) -> None:
-            size, known = int(b.sizes[text]), self.items[item]
-            key = (text, item, place)
-            if key in seen:
-                return
-            seen.add(key)
+        for text, item, place, cosine in self._candidates(b) if len(b.words) else ():
+            size, known, at = int(b.sizes[text]), self.items[item], int(b.starts[text])
+            best = out[text].get(item, {}).get("overlap", 0.0)
+            if best == 1.0 or (text, item, place // FINE) in seen:
+                continue
+            seen.add((text, item, place // FINE))
             start, end = max(place - STEP, 0), max(min(place + known.n + STEP, size), 0)
-            at = int(b.starts[text])
             overlap = known.found(b.words[at + start : at + end].tolist())
-            if overlap and overlap > out[text].get(item, {}).get("overlap", 0.0):
-                out[text][item] = {"item_id": known.item_id, "start": start, "length": end - start, "cosine": float(cosine()), "overlap": overlap}
-
-        for k in range(0, len(use), 2048):
-            rows = use[k : k + 2048]
-            cosine = _unit(window[rows]) @ self.matrix.T
-            pairs = self._common(b, rows, *np.nonzero(cosine >= self.near))
-            for r, q in pairs.tolist():
-                place = int(b.number[rows[r]]) * STEP - self.offset[q]
-                judge(int(b.owner[rows[r]]), self.owner[q], place, lambda: cosine[r, q])
-        for text, item, first, last in self._shared(b):
-            n, size, at = self.items[item].n, int(b.sizes[text]), int(b.starts[text])
-            if out[text].get(item, {}).get("overlap") == 1.0:
-                continue
-            # No place between can have more than all of them together.
-            if self.items[item].found(b.words[at + max(first - STEP, 0) : at + min(last + n + STEP, size)].tolist()):
-                for place in range(first, last + 1):
-                    row = int(b.of_text[text]) + min(max(place, 0), size - 1) // STEP
-                    judge(text, item, place, lambda: (_unit(window[[row]]) @ self.matrix[self.first_window[item]])[0])
+            if overlap > best:
+                out[text][item] = {"item_id": known.item_id, "start": start, "length": end - start, "cosine": cosine, "overlap": overlap}
         return [[found[i] for i in sorted(found)] for found in out]
 
 
@@ -350,7 +305,7 @@ def contaminated(df: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
     found = None
     for k in range(0, max(count, 1), ITEMS):
         block = ordered.offset(k).limit(ITEMS).collect()  # at most ITEMS items
-        shared = spark.sparkContext.broadcast(Query([(r["item_id"], r["words"]) for r in block], folding, idf))
+        shared = spark.sparkContext.broadcast(Query([(r["item_id"], r["words"]) for r in block], folding))
 
         def search(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             kind = pa.list_(pa.struct([("item_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("cosine", pa.float64()), ("overlap", pa.float64())]))

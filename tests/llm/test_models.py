@@ -218,14 +218,38 @@ def test_latent_finds_passages_and_paraphrases(docs, spark):
     asked = spark.createDataFrame([*[(k, " ".join(w)) for k, w in item.items()], (90, None), (91, ""), (1, " ".join(item[1]))], "item_id long, text string")
     got = latent.contaminated(docs(rows, extra=True), asked).collect()
     found = {r["doc_id"]: {h["item_id"] for h in r["hits"]} for r in got}
-    assert all(i in found[d] for d, i in want.items() if i)
+    assert all(i in found[d] for d, i in want.items())
     assert not any(found[k] for k in range(80)) and not found[202] and not found[200] and not found[201]
     assert found[203] == {2} and sum(r["doc_id"] == 203 for r in got) == 2
     assert all(r["contaminated"] == bool(r["hits"]) for r in got)
 
 
+def common_words_in_order(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        before = row[:]
+        for j, y in enumerate(b):
+            row[j + 1] = before[j] + 1 if x == y else max(row[j], before[j + 1])
+    return row[-1]
+
+
+def brute_found(text, item):
+    """Whether some stretch of the text, 16 words longer than the item at either end, holds enough of the item in order."""
+    n = len(item)
+    for p in range(-n, len(text), 2):
+        region = text[max(p - 16, 0) : max(p + n + 16, 0)]
+        if sum((Counter(item) & Counter(region)).values()) < 0.6 * n:
+            continue
+        share = common_words_in_order(item, region) / n
+        tail = item[n - max(n // 3, 1) :]
+        if share >= 0.75 or (share >= 0.6 and common_words_in_order(tail, region) / len(tail) >= 0.5):
+            return True
+    return False
+
+
 def test_latent_recall_against_brute_force(docs, spark):
-    """Items of all lengths, verbatim or with a share of their words, among words of very unequal frequency."""
+    """Items of all lengths, verbatim or with a share of their words, among words of very unequal frequency: the latent search
+    proposes nine tenths of what brute force accepts, at every length, and nothing that it does not accept."""
     rnd = random.Random(13)
     vocabulary = [f"v{k}" for k in range(3000)]
     weights = [1 / (k + 3) for k in range(3000)]
@@ -235,7 +259,7 @@ def test_latent_recall_against_brute_force(docs, spark):
 
     items = [filler(n) for n in [*range(3, 44), 59, 100, 200]]
     rows, planted = [], []
-    for k in range(3 * len(items)):
+    for k in range(8 * len(items)):
         i = k % len(items)
         kept = rnd.choice([1.0, 0.8, 0.7, 0.65])
         inside = [w if rnd.random() < kept else rnd.choice(vocabulary) for w in items[i]]
@@ -243,14 +267,16 @@ def test_latent_recall_against_brute_force(docs, spark):
         planted.append((k, i))
     got = latent.contaminated(docs(rows), spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(items)], "item_id long, text string"))
     found = {r["doc_id"]: {h["item_id"] for h in r["hits"]} for r in got.collect()}
-    number, wanted = {w: k for k, w in enumerate(vocabulary)}, 0
-    for k, i in [*planted, *[(k, rnd.randrange(len(items))) for k, _ in rows]]:
-        text, item = [number[w] for w in rows[k][1].split()], latent.Item(i, np.array([number[w] for w in items[i]]))
-        starts = range(-item.n, len(text), 4)
-        if any(item.found(text[max(p - latent.STEP, 0) : max(p + item.n + latent.STEP, 0)]) for p in starts):
-            wanted += 1
-            assert i in found[k], (k, i, item.n)
-    assert wanted > 90 and all(i in found[k] for k, i in planted if " ".join(items[i]) in rows[k][1])
+    wanted, right = Counter(), Counter()
+    for k, i in planted:
+        if brute_found(rows[k][1].split(), items[i]):
+            band = min(len(items[i]) // 8, 4)
+            wanted[band] += 1
+            right[band] += i in found[k]
+    assert sum(wanted.values()) > 250 and all(right[band] >= 0.9 * n for band, n in wanted.items()), (wanted, right)
+    for k, hits in found.items():
+        for i in hits - {planted[k][1]}:
+            assert latent.Item(0, np.array([hash(w) for w in items[i]])).found([hash(w) for w in rows[k][1].split()]), (k, i)
 
 
 def test_latent_blocks_and_empty(docs, spark, monkeypatch):
@@ -270,12 +296,7 @@ def test_longest_common_subsequence():
     for _ in range(200):
         a = [rnd.randint(0, 6) for _ in range(rnd.randint(1, 90))]
         b = [rnd.randint(0, 6) for _ in range(rnd.randint(0, 90))]
-        row = [0] * (len(b) + 1)
-        for x in a:
-            before = row[:]
-            for j, y in enumerate(b):
-                row[j + 1] = before[j] + 1 if x == y else max(row[j], before[j + 1])
-        assert round(latent.Item(0, np.array(a)).share(0, b) * len(a)) == row[-1]
+        assert round(latent.Item(0, np.array(a)).share(0, b) * len(a)) == common_words_in_order(a, b)
 
 
 def test_factorization_machine_against_double_loop():
