@@ -6,16 +6,16 @@
    task sums Y'Y and Y'A over its passages; partial sums are added up in a tree of bounded groups. From both, the right
    singular vectors of the projection of A on the range of Y follow on the driver, in matrices of fixed size.
 3. Windows of WIDTHS words of the texts, folded into the latent space, meet the windows of the benchmark items (a stated
-   query set, in blocks of ITEMS) as matrix products per batch. An item has windows of the largest width that it fills; a
-   shorter one than the largest width is looked for whole in windows of that width as well, for words that stand further
+   query set, in blocks of ITEMS) as matrix products per batch. An item has windows of the largest width that it fills
+   (or fills but for a fifth); a shorter one than the largest width is looked for whole in windows of that width as well, for words that stand further
    apart. Pairs with a cosine of NEAR or more (less for items that fill a window in part) are candidates, if a share of
    COMMON of the different words of the item's window stands in the text's window.
 4. A candidate aligns an item with a place in the text. The longest common subsequence of the item's words and the words
    around that place must reach STRONG of the item, or WEAK of it while the answer, the last third of the item, is there
    at least half. Word order counts and changed, added or lost words do not hide a paraphrase.
 
-Windows start every quarter of their width, those of texts every FINE words at least, so a passage meets a window that is an
-eighth of the width off at most. The words of all documents are read three times and never shuffled.
+Windows of items start every quarter of their width, those of texts every half, so a passage of some length meets a window that
+is an eighth of the width off at most, and one no longer than a window is a quarter off. The words of all documents are read three times and never shuffled.
 
 Defined cases: null and blank texts match nothing; items without words match nothing; texts and items shorter than a
 window are one window; items that repeat are all reported; rows that share a key are judged one by one; an empty
@@ -41,6 +41,7 @@ FINE = 4
 WIDTHS = (4, 8, 16, 32)
 NEAR = {4: 0.35, 8: 0.35, 16: 0.4, 32: 0.45}
 COMMON = 0.4
+FILLED = 1.25
 STRONG, WEAK, ANSWER = 0.75, 0.6, 0.5
 ITEMS = 2000
 PART = 1 << 15
@@ -201,7 +202,7 @@ class Windows:
     def __init__(self, width: int, items: list[Item], folding: np.ndarray):
         self.width, self.item, self.offset, rows, words = width, [], [], [], []
         for k, item in enumerate(items):
-            own = max([w for w in WIDTHS if w <= item.n], default=WIDTHS[0])
+            own = max([w for w in WIDTHS if w <= FILLED * item.n], default=WIDTHS[0])
             if width != own and width != WIDTHS[-1]:
                 continue
             last = max(item.n - width, 0)
@@ -220,12 +221,13 @@ class Windows:
 
     def candidates(self, b: Blocks, blocks: np.ndarray, sums: np.ndarray) -> Iterator[tuple[int, int, float]]:
         """(block, window, cosine) of the text windows, which start at ``blocks`` and have these sums."""
-        for k in range(0, len(blocks) if len(self.matrix) else 0, 4096):
+        for k in range(0, len(blocks), 4096):
             at = blocks[k : k + 4096]
             cosine = _unit(sums[k : k + 4096]) @ self.matrix.T
-            r, q = np.nonzero(cosine >= self.near)
-            if not len(r):
+            flat = np.flatnonzero((cosine >= self.near).ravel())
+            if not len(flat):
                 continue
+            r, q = np.divmod(flat, len(self.near))
             rows, where = np.unique(r, return_inverse=True)
             place = b.first[at[rows]][:, None] + np.arange(self.width)
             end = (b.starts + b.sizes)[b.owner[at[rows]]][:, None]
@@ -243,29 +245,32 @@ class Query:
     def __init__(self, items: list[tuple[int, list[int]]], folding: np.ndarray):
         self.folding = folding
         self.items = [Item(i, np.array(words, dtype=np.int64) & 0xFFFFFFFF) for i, words in items if len(words)]
-        self.windows = [Windows(width, self.items, folding) for width in WIDTHS]
+        self.windows = [w for w in (Windows(width, self.items, folding) for width in WIDTHS) if len(w.matrix)]
+        # Text windows are made of blocks of half the smallest width in use.
+        self.fine = max(self.windows[0].width // 2, FINE) if self.windows else FINE
 
     def _candidates(self, b: Blocks) -> Iterator[tuple[int, int, int, float]]:
         """(text, item, place of the item in the text, cosine), some blocks at a time."""
-        more = WIDTHS[-1] // FINE
+        more = WIDTHS[-1] // self.fine
         for low in range(0, len(b.first), PART):
-            sums = b.sums(self.folding, low, low + PART + more)
+            sums, width = b.sums(self.folding, low, low + PART + more), self.fine
             owner = b.owner[low : low + len(sums)]
+            blocks = np.arange(low, min(low + PART, len(b.first)))
+            number, size = b.number[blocks], b.sizes[b.owner[blocks]]
             for windows in self.windows:
-                if windows.width > FINE:  # two windows of half the width, unless the text ends before
-                    half = windows.width // FINE // 2
+                while width < windows.width:  # two windows of half the width, unless the text ends before
+                    half = width // self.fine
                     wide = sums.copy()
                     wide[:-half] += sums[half:] * (owner[half:] == owner[:-half])[:, None]
-                    sums = wide
-                blocks = np.arange(low, min(low + PART, len(b.first)))
-                number, tail = b.number[blocks], b.sizes[b.owner[blocks]]
-                # Every quarter of a width, and no window that starts late only to end with the text.
-                use = (number % max(windows.width // 4 // FINE, 1) == 0) & ((number == 0) | (number * FINE + windows.width // 2 <= tail))
+                    sums, width = wide, 2 * width
+                # Every half of a width, and no window that starts late only to end with the text.
+                late = number * self.fine + width // 2 > size
+                use = (number % max(width // 2 // self.fine, 1) == 0) & ((number == 0) | ~late)
                 for block, q, cosine in windows.candidates(b, blocks[use], sums[: len(blocks)][use]):
-                    yield int(b.owner[block]), windows.item[q], int(b.number[block]) * FINE - windows.offset[q], cosine
+                    yield int(b.owner[block]), windows.item[q], int(b.number[block]) * self.fine - windows.offset[q], cosine
 
     def hits(self, column: pa.Array) -> list[list[dict]]:
-        b = Blocks(column, FINE)
+        b = Blocks(column, self.fine)
         out: list[dict[int, dict]] = [{} for _ in b.sizes]
         seen = set()
         for text, item, place, cosine in self._candidates(b) if len(b.words) else ():
