@@ -1,5 +1,6 @@
 import random
 import re
+import zlib
 
 import numpy as np
 
@@ -110,19 +111,47 @@ def test_components(spark):
     assert connected(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def brute_sentences(text):
+    """Pieces up to each mark; one of fewer than four words waits for the next, one of more than twelve is cut after some words."""
+    pieces, waiting = re.split(r"((?:[.!?;]+\s+|[。！？；]+\s*|\s*\n\s*))", text), ""
+    out = []
+    for k in range(0, len(pieces), 2):
+        piece = "".join(pieces[k : k + 2])
+        waiting += piece
+        if len(piece.split()) < 4 and k + 2 < len(pieces) and any(pieces[k + 2 :]):
+            continue
+        words = re.findall(r"\S+\s*|^\s+", waiting)
+        for j, w in enumerate(words):
+            long = len(waiting.split()) > 12 and j + 1 < len(words) and zlib.crc32(w.strip().lower().encode()) % 6 == 0
+            out.append(w) if j == 0 or cut else out.append(out.pop() + w)
+            cut = long
+        waiting = ""
+    return out
+
+
+def brute_runs(parts):
+    """(words of the run, first, last): the shortest runs of two sentences and twenty words from and up to each sentence."""
+    words = [p.lower().split() for p in parts]
+
+    def fits(a, b):
+        return b - a >= 1 and sum(map(len, words[a : b + 1])) >= 20
+
+    n = len(parts)
+    found = {min(((a, b) for b in range(a, n) if fits(a, b)), default=None) for a in range(n)}
+    found |= {max(((a, b) for a in range(b) if fits(a, b)), default=None) for b in range(n)}
+    return [(tuple(map(tuple, words[a : b + 1])), a, b) for a, b in found - {None}]
+
+
 def brute_spans(rows):
     first, gone = {}, {}
-    for i, t in sorted((r for r in rows if r[0] is not None), key=lambda r: r[0]):
-        for h, a, _ in zip(*(x.tolist() for x in spans.runs(t or ""))):
+    cut = [(i, t, brute_sentences(t or "")) for i, t in rows]
+    made = [brute_runs(parts) for _, _, parts in cut]
+    for (i, _, _), found in zip(cut, made):
+        for h, a, _ in found if i is not None else ():
             first[h] = min(first.get(h, (i, a)), (i, a))
-    for i, t in rows:
-        dead = set()
-        for h, a, b in zip(*(x.tolist() for x in spans.runs(t or ""))):
-            if i is not None and first[h] != (i, a):
-                dead.update(range(a, b + 1))
-        ends = spans.sentences(t or "")
-        kept = "".join((t or "")[a:b] for k, (a, b) in enumerate(zip([0, *ends], ends)) if k not in dead)
-        gone[i] = (kept.rstrip() if dead else t, len(dead))
+    for (i, t, parts), found in zip(cut, made):
+        dead = {k for h, a, b in found if i is not None and first[h] != (i, a) for k in range(a, b + 1)}
+        gone[i] = ("".join(p for k, p in enumerate(parts) if k not in dead).rstrip() if dead else t, len(dead))
     return gone
 
 
