@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from quillrank.catalog.base import Tables, query, rounded
 from quillrank.catalog.stand_ins import item_of_event
 from quillrank.operators import ctr as K, metrics as E
+from quillrank.operators.isotonic import isotonic
 from quillrank.session import stage
 
 
@@ -286,6 +287,21 @@ def calib_isotonic(t: Tables):
     return rounded(K.isotonic_calibration(K.calibration_bins(scored(t), 50)))
 
 
+@query(
+    "calib_isotonic_samples",
+    f"""WITH {SCORED},
+    v AS (SELECT prob AS value, CAST(count(*) AS DOUBLE) AS n, CAST(sum(label) AS DOUBLE) AS total FROM scored GROUP BY 1),
+    c AS (SELECT *, row_number() OVER w AS i, sum(n) OVER w AS up_n, sum(total) OVER w AS up FROM v WINDOW w AS (ORDER BY value)),
+    spans AS (SELECT a.i AS a, z.i AS z, (z.up - a.up + a.total) / (z.up_n - a.up_n + a.n) AS mean
+              FROM c a JOIN c z ON z.i >= a.i),
+    least AS (SELECT a, z, min(mean) OVER (PARTITION BY a ORDER BY z DESC ROWS UNBOUNDED PRECEDING) AS m FROM spans),
+    fit AS (SELECT z AS i, max(m) AS calibrated FROM least GROUP BY 1)
+    SELECT round(value, 6) AS value, n, total, round(calibrated, 6) AS calibrated FROM c JOIN fit USING (i)""",
+)
+def calib_isotonic_samples(t: Tables):
+    return rounded(isotonic(scored(t)))
+
+
 @query(
     "calib_sampling",
     f"""WITH {SCORED} SELECT id, round(prob / (prob + (1 - prob) / 0.1::DOUBLE), 6) AS q,

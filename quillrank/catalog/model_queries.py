@@ -8,6 +8,9 @@ from quillrank.catalog.base import Tables, query, rounded
 from quillrank.catalog.measures import IMPRESSIONS, impressions
 from quillrank.catalog.stand_ins import hash_unit_sql
 from quillrank.operators import bandits as B, ctr as K, metrics as E, models as M, vectors as V
+from quillrank.functions import logistic
+from quillrank.operators.item_logistic import fit_items
+from quillrank.plans.skew import null_safe_join, spread_join
 from quillrank.session import stage
 
 
@@ -146,9 +149,29 @@ def item_ctr_logistic(t: Tables):
     rates = K.item_ctr(shown, ["item"]).select("item", "ctr")
     rows = stage(shown.join(rates, "item").select("event_id", F.col("item").cast("string").alias("item"), "label", "ctr"), "shown")
     by_rate = M.class_prob(M.fit_classifier(rows, "logistic", ["ctr"], maxIter=20), rows, "by_ctr")
-    return M.class_prob(M.fit_item_lr(rows, "item", maxIter=20), by_rate, "by_item").select(
-        "event_id", "item", "label", "by_ctr", "by_item"
-    )
+    by_item = fit_items(rows, "item").select("item", F.col("prob").alias("by_item"))
+    scored = spread_join(by_rate, by_item, "item", salt=F.xxhash64("event_id"))
+    return scored.select("event_id", "item", "label", "by_ctr", "by_item")
+
+
+@query(
+    "item_onehot",
+    f"""WITH {IMPRESSIONS} SELECT item, exposure AS n, click AS k, round(ctr, 6) AS free, 0.0::DOUBLE AS slope, true AS between
+    FROM item_ctr""",
+)
+def item_onehot(t: Tables):
+    """Items without penalty (their rate), and the facts of the fit with penalty 1.
+
+    There the slope of the loss is 0 for every item, and the probability lies between the rate and that of the bias alone.
+    """
+    shown = stage(impressions(t).select("item", F.col("click").alias("label")), "shown")
+    free = fit_items(shown, "item", penalty=0).select("item", "n", "k", F.col("prob").alias("free"))
+    held = fit_items(shown, "item").select("item", "coefficient", "bias", "prob")
+    common = logistic(F.col("bias"))
+    slope = F.abs(F.col("n") * F.col("prob") - F.col("k") + F.col("coefficient")).alias("slope")
+    low, high = F.least("free", common) - 1e-9, F.greatest("free", common) + 1e-9
+    both = null_safe_join(free, held, ["item"])
+    return rounded(both.select("item", "n", "k", "free", slope, F.col("prob").between(low, high).alias("between")))
 
 
 # Naive Bayes -------------------------------------------------------------------------------------------------------

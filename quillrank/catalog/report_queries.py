@@ -9,7 +9,7 @@ from quillrank.catalog.base import Tables, query, rounded
 from quillrank.catalog.model_queries import training
 from quillrank.catalog.search_queries import leads
 from quillrank.functions import doubles
-from quillrank.operators import corpus as C, reports as V
+from quillrank.operators import corpus as C, distinct as D, reports as V
 from quillrank.session import run_dir
 from quillrank.sources import readers, sinks
 from quillrank.streaming import counters, kmeans
@@ -235,6 +235,26 @@ def key_value_lines(t: Tables):
     return t.spark.read.text(path)
 
 
+WEEKS = """SELECT strftime(date_trunc('week', ts), '%Y-%m-%d') AS week, event_type, count(*) AS pv, true AS uv_near
+FROM events GROUP BY 1, 2"""
+
+
+def weeks_near(t: Tables, table):
+    """Weeks united from a table of daily sketches; users must lie within 2 % of the exact number."""
+    week = lambda c: F.date_format(F.date_trunc("week", c), "yyyy-MM-dd")
+    out = D.united(table, week(F.col("day")), ["event_type"]).withColumnRenamed("period", "week")
+    exact = t.events.groupBy(week(F.col("ts")).alias("week"), "event_type").agg(F.countDistinct("user_id").alias("users"))
+    near = F.abs(F.col("uv") - F.col("users")) <= F.col("users") * 0.02
+    return out.join(exact, ["week", "event_type"]).select("week", "event_type", "pv", near.alias("uv_near"))
+
+
+@query("uv_weekly", WEEKS)
+def uv_weekly(t: Tables):
+    path = run_dir(t.spark, "daily-users")
+    D.save_days(D.daily_sketches(t.events, "ts", "user_id", ["event_type"]), path)
+    return weeks_near(t, t.spark.read.parquet(path))
+
+
 # Streams -----------------------------------------------------------------------------------------------------------
 
 
@@ -285,6 +305,13 @@ def stream_views(t: Tables):
     return out.join(exact, ["day", "event_type"]).select("day", "event_type", "pv", near.alias("uv_near"))
 
 
+@query("stream_uv_weekly", WEEKS)
+def stream_uv_weekly(t: Tables):
+    """The daily sketches come from the stream."""
+    days = D.daily_sketches(event_stream(t), "ts", "user_id", ["event_type"], late=counters.LATE)
+    return weeks_near(t, counters.drained(days, ["day", "event_type"], "daily-users"))
+
+
 @query(
     "stream_kmeans",
     """WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from quillrank.functions import clip, col, safe_ratio
-from quillrank.plans.ranks import range_bucket, running_below, top_by
+from quillrank.plans.ranks import bucket_count, range_bucket, running_below, top_by
 from quillrank.plans.skew import null_safe_join
 from quillrank.session import stage
 
@@ -19,10 +19,11 @@ def by_score(df: DataFrame, score: str, label: str, group: list[str] = []) -> Da
 def auc(df: DataFrame, score: str = "prob", label: str = "label", group: list[str] = []) -> DataFrame:
     """Exact area under the ROC curve, ties counted half; NULL where a group has one class only.
 
-    Scores are summed inside range buckets, then the at most BUCKETS partial results of a group are put together, so
+    Scores are summed inside range buckets, then the partial results of a group are put together, one per bucket, so
     neither one group nor the whole table is ever sorted by one task.
     """
-    cut_up = range_bucket(stage(by_score(df, score, label, group), "by_score"), "score")
+    pooled = stage(by_score(df, score, label, group), "by_score")
+    cut_up = range_bucket(pooled, "score", buckets=bucket_count(pooled.count()))
     below = W.partitionBy(*group, "bucket").orderBy("score").rowsBetween(W.unboundedPreceding, -1)
     area = F.col("pos") * (F.coalesce(F.sum("neg").over(below), F.lit(0)) + F.col("neg") / 2.0)
     parts = (

@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from quillrank.plans.skew import null_safe_join
 from quillrank.session import cut, stage
 
-BUCKETS = 256
-_STEP = 16
+BUCKETS, MOST_BUCKETS = 256, 16_384
+ROWS_A_BUCKET = 1_000_000
+
+
+def bucket_count(rows: int) -> int:
+    """Range buckets for that many rows: a bucket's window holds about ROWS_A_BUCKET, the bounds stay a short array."""
+    return min(max(BUCKETS, -(-rows // ROWS_A_BUCKET)), MOST_BUCKETS)
 
 
 def range_bucket(df: DataFrame, value: str, name: str = "bucket", buckets: int = BUCKETS) -> DataFrame:
@@ -16,31 +23,34 @@ def range_bucket(df: DataFrame, value: str, name: str = "bucket", buckets: int =
 
     The bounds only decide how even the buckets are, never a result. They are one row of at most ``buckets`` numbers.
     """
+    step = max(math.isqrt(buckets), 1)
     cuts = [i / buckets for i in range(1, buckets)]
     bounds = df.agg(F.percentile_approx(value, cuts, 10 * buckets).alias("b")).scalar()
     x = F.col(value)
     out = df.withColumn("__bounds", bounds)
-    # Two short scans instead of one long one: first over every _STEP-th bound, then inside one stretch.
+    # Two short scans instead of one long one: first over every ``step``-th bound, then inside one stretch.
     coarse = F.transform(
-        F.sequence(F.lit(_STEP), F.lit(buckets - 1), F.lit(_STEP)), lambda i: F.element_at("__bounds", i.cast("int"))
+        F.sequence(F.lit(step), F.lit(buckets - 1), F.lit(step)), lambda i: F.element_at("__bounds", i.cast("int"))
     )
     out = out.withColumn("__stretch", F.size(F.filter(coarse, lambda b: b < x)))
-    fine = F.slice(F.col("__bounds"), F.col("__stretch") * _STEP + 1, F.lit(_STEP))
+    fine = F.slice(F.col("__bounds"), F.col("__stretch") * step + 1, F.lit(step))
     out = out.withColumn(
-        name, (F.col("__stretch") * _STEP + F.size(F.filter(fine, lambda b: b < x))).cast("int")
+        name, (F.col("__stretch") * step + F.size(F.filter(fine, lambda b: b < x))).cast("int")
     )
     return out.drop("__bounds", "__stretch")
 
 
 def running_below(
-    df: DataFrame, value: str, sums: list[str], group: list[str] = [], buckets: int = BUCKETS
+    df: DataFrame, value: str, sums: list[str], group: list[str] = [], buckets: int | None = None
 ) -> DataFrame:
     """For a table with one row per (group, value): add ``<sum>_below``, the total over smaller values of the group.
 
     Rows are summed inside range buckets; the at most ``buckets`` bucket totals of a group are accumulated and joined
-    back, by broadcast where there is no group. The table is read three times and so is staged.
+    back, by broadcast where there is no group. Without ``buckets`` their number follows the counted rows. The table is
+    read several times and so is staged.
     """
-    cut_up = range_bucket(stage(df, "by_value"), value, "__bucket", buckets)
+    df = stage(df, "by_value")
+    cut_up = range_bucket(df, value, "__bucket", buckets or bucket_count(df.count()))
     totals = cut_up.groupBy(*group, "__bucket").agg(*[F.sum(s).alias(f"__{s}") for s in sums])
     before = W.partitionBy(*group).orderBy("__bucket").rowsBetween(W.unboundedPreceding, -1)
     offsets = totals.select(

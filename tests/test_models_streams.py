@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from quillrank.functions.udfs import register
 from quillrank.operators import bandits as B, models as M, reports as R
+from quillrank.operators.item_logistic import fit_items
 from quillrank.operators.metrics import auc
 from quillrank.sources import readers, sinks
 from quillrank.streaming import counters, kmeans
@@ -44,8 +45,9 @@ def test_item_and_column_models(spark):
     rnd = np.random.default_rng(2)
     data = [(float(x), str(int(x > 0)), int(rnd.random() < (0.9 if x > 0 else 0.1))) for x in rnd.normal(size=500)]
     df = spark.createDataFrame(data, "x double, item string, label int")
-    for model in (M.fit_classifier(df, "boosting", ["x"], maxIter=3), M.fit_item_lr(df, "item")):
-        assert auc(M.class_prob(model, df)).first().auc > 0.85
+    model = M.fit_classifier(df, "boosting", ["x"], maxIter=3)
+    for scored in (M.class_prob(model, df), df.join(fit_items(df, "item"), "item")):
+        assert auc(scored).first().auc > 0.85
     leaves = M.leaf_features(df, ["x"], trees=2, depth=2).select("leaves").distinct().count()
     assert leaves > 1
 
