@@ -12,7 +12,7 @@ from quillrank.functions import doubles
 from quillrank.operators import corpus as C, distinct as D, reports as V
 from quillrank.session import run_dir
 from quillrank.sources import readers, sinks
-from quillrank.streaming import counters, kmeans
+from quillrank.streaming import counters, decayed, kmeans
 
 
 def hits(events):
@@ -305,6 +305,25 @@ def stream_views(t: Tables):
     return out.join(exact, ["day", "event_type"]).select("day", "event_type", "pv", near.alias("uv_near"))
 
 
+@query(
+    "stream_decayed_ctr",
+    f"""WITH {HITS}, shown AS (SELECT url, ts, event_type, max(ts) OVER (PARTITION BY url) AS last FROM hits
+                         WHERE event_type IN ('view', 'click')),
+    faded AS (SELECT *, pow(2, -(epoch_us(last) - epoch_us(ts)) / 86400000000::DOUBLE) AS w FROM shown)
+    SELECT url, strftime(max(last), '%Y-%m-%d %H:%M:%S') AS last, round(sum(w), 6) AS exposure,
+           round(sum(w) FILTER (event_type = 'click') / sum(w), 6) AS ctr
+    FROM faded GROUP BY 1 HAVING count(*) FILTER (event_type = 'click') > 0""",
+)
+def stream_decayed_ctr(t: Tables):
+    """Pages with a click: exposures and CTR at their last event, faded by half each day; kept for the whole month."""
+    shown = event_stream(t).filter(F.col("event_type").isin("view", "click")).withColumn(
+        "clicked", (F.col("event_type") == "click").cast("int")
+    )
+    live = decayed.decayed_ctr(shown, "ts", "url", "clicked", half_life=86_400, time_out=60 * 86_400, late="31 days")
+    out = counters.drained(live, ["url"], "decayed").filter("click > 0")
+    return rounded(out.select("url", F.date_format("last", "yyyy-MM-dd HH:mm:ss").alias("last"), "exposure", "ctr"))
+
+
 @query("stream_uv_weekly", WEEKS)
 def stream_uv_weekly(t: Tables):
     """The daily sketches come from the stream."""

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from quillrank.operators import distinct as D, isotonic as I
 from quillrank.operators.item_logistic import fit_items
 from quillrank.plans import ranks
+from quillrank.streaming import counters
+from quillrank.streaming.decayed import decayed_ctr
 
 
 def max_min(points):
@@ -130,3 +132,39 @@ def test_users_that_are_null_and_no_hits(spark):
     row = D.united(D.daily_sketches(hits, "ts", "user")).first()
     assert (row["pv"], row["uv"]) == (3, 1)
     assert D.united(D.daily_sketches(hits.limit(0), "ts", "user"), F.col("day")).collect() == []
+
+
+def hits_file(spark, folder, number, data):
+    spark.createDataFrame(data, "item string, ts timestamp, clicked int").coalesce(1).write.parquet(f"{folder}/{number}.parquet")
+
+
+def test_faded_rates_of_batches_in_any_order_and_the_time_out(spark, tmp_path):
+    start = datetime.datetime(2024, 1, 1)
+    at = lambda s: start + datetime.timedelta(seconds=s)
+    source, table, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    half, time_out = 100.0, 1000.0
+
+    def run():
+        schema = "item string, ts timestamp, clicked int"
+        stream = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(source)
+        live = decayed_ctr(stream, "ts", "item", "clicked", half, time_out, late="300 seconds")
+        query = counters.to_versions(live, table, state)
+        query.awaitTermination()
+        kept = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress]
+        return {r["item"]: r for r in counters.latest(spark, table, "item").collect()}, kept[-1]
+
+    first = [("a", at(200), 1), ("a", at(50), 0), ("b", at(10), None), (None, at(5), 1), ("a", None, 1)]
+    hits_file(spark, source, 1, first)
+    got, kept = run()
+    assert kept == 2 and set(got) == {"a", "b"}
+    hits_file(spark, source, 2, [("a", at(120), 1)])
+    got, _ = run()
+    w = [2 ** (-(200 - s) / half) for s in (200, 50, 120)]
+    assert abs(got["a"]["exposure"] - sum(w)) < 1e-9 and abs(got["a"]["ctr"] - (w[0] + w[2]) / sum(w)) < 1e-9
+    assert got["a"]["last"] == at(200) and got["b"]["ctr"] == 0.0
+    hits_file(spark, source, 3, [("c", at(5000), 0)])
+    run()
+    hits_file(spark, source, 4, [("a", at(5100), 0)])
+    got, kept = run()
+    assert got["a"]["exposure"] == 1.0 and got["a"]["ctr"] == 0.0
+    assert kept == 2
