@@ -86,7 +86,8 @@ def default_list(
     The rank counts from the least hot title and is taken over all hot titles before the draw.
     """
     per_item = in_window(actions, date).groupBy("item_id").agg(F.count(F.lit(1)).alias("n"))
-    allowed = info.filter(F.col("singer_name") != excluded_singer)
+    # One row per item on the left; the table of all items can be small as a file and still large in memory.
+    allowed = info.filter(F.col("singer_name") != excluded_singer).hint("merge")
     named = per_item.join(allowed, F.col("item_id") == F.col("song_id"))
     titles = named.groupBy("song_name").agg(
         F.max("song_id").alias("item_id"), F.max("singer_id").alias("singer_id"), F.sum("n").alias("hot")

@@ -45,7 +45,8 @@ def spread_join(
 
     ``right`` is staged and measured, and broadcast where ``is_small``. Beyond that ``left`` is salted and ``right``
     repeated: where ``weights`` gives the left row count per key, for the HEAVY most frequent keys only (at most HEAVY
-    keys are broadcast), else for all keys with a quarter of the salts, which spares a pass over ``left``.
+    keys are broadcast), else for all keys with a quarter of the salts, which spares a pass over ``left``. That join is
+    a merge join whatever the planner takes the size of ``right`` for.
     ``salt`` is a number that comes out the same when a task is run again; the default, a hash of the row, needs left
     rows that are not copies of each other. With ``nulls``, null keys meet each other.
     """
@@ -67,7 +68,8 @@ def spread_join(
     else:
         hot = heavy_keys(weights, key, weight)
         many, one = salted(left, hot, key, salts, salt), repeated(right, hot, key, salts)
-    return many.join(one, [key, "__salt"], how).drop("__salt")
+    # Spark would judge the repeated side by the staged file's compressed size, before the copies, and broadcast it.
+    return many.join(one.hint("merge"), [key, "__salt"], how).drop("__salt")
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:

@@ -244,3 +244,16 @@ def test_welch(spark):
     sa, sb = np.var(a, ddof=1) / 4, np.var(b, ddof=1) / 3
     assert row.t == pytest.approx((np.mean(a) - np.mean(b)) / math.sqrt(sa + sb))
     assert row.dof == pytest.approx((sa + sb) ** 2 / (sa**2 / 3 + sb**2 / 2))
+
+
+@pytest.mark.parametrize("weighted", [False, True])
+def test_a_side_that_is_not_small_is_never_broadcast(spark, monkeypatch, weighted):
+    monkeypatch.setattr(skew, "SMALL_ROWS", 10)
+    left = spark.range(3000).select("id", (F.col("id") % 1500).alias("k"))
+    right = spark.range(1500).select(F.col("id").alias("k"), F.col("id").alias("v"))
+    more = {"weights": left.groupBy("k").agg(F.count(F.lit(1)).alias("cnt"))} if weighted else {}
+    joined = skew.spread_join(left, right, "k", **more)
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [k" in plan and joined.count() == 3000
+    if not weighted:
+        assert "Broadcast" not in plan

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quillrank import fixed as X
 from quillrank.operators import actions as A, corpus as C, recommend as R, rules as U
+from quillrank.session import stage
 
 
 def log_row(event, item="7", ms="60001", version="6.0", user="u1", day="2024-01-05", time=1700000000123):
@@ -252,3 +253,17 @@ def test_version_pointer(spark):
 def test_max_of_rows(spark):
     df = spark.sql("SELECT * FROM VALUES (1, 2), (2, 3), (3, 4) AS t(a, b)")
     assert tuple(df.agg(F.max("a"), F.max("b")).first()) == (3, 4)
+
+
+def test_default_list_does_not_broadcast_the_item_table(spark, monkeypatch):
+    plans, number = [], R.global_row_number
+
+    def seen(df, order):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return number(df, order)
+
+    monkeypatch.setattr(R, "global_row_number", seen)
+    acts = spark.createDataFrame([play("", item=str(i % 5), ds="20240105") for i in range(30)], ACTION)
+    info = stage(spark.createDataFrame([(str(i), f"t{i}", "s", "S") for i in range(9)], INFO), "info")
+    assert R.default_list(acts, info, "20240105", 2).count() == 5
+    assert "SortMergeJoin" in plans[0] and "Broadcast" not in plans[0]
