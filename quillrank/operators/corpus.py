@@ -23,7 +23,9 @@ def basket_corpus(actions: DataFrame, low: int = 5, high: int = 50, ms: int = 90
 
 
 def term_counts(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
-    words = docs.select(doc, F.explode(tokens(text)).alias("term"))
+    # Texts are shuffled, which are shorter than their words with the key beside each; then a key's words lie together.
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    words = docs.select(doc, text).repartition(parts, doc).select(doc, F.explode(tokens(text)).alias("term"))
     return words.groupBy(doc, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 

@@ -213,3 +213,12 @@ def test_small_functions(spark):
     ).first()
     assert row.m == [0.5, 0.5] and row.o == pytest.approx([2 / 3, 1 / 3]) and row.j == ["x", "y"]
     assert (row.s, row.v, row.e) == (False, True, True)
+
+
+def test_term_counts_shuffle_texts_and_not_their_words(spark, rows):
+    docs = spark.createDataFrame([(1, "a b a"), (2, "b"), (1, "B c"), (None, "a"), (3, None)], "doc_id int, text string")
+    counts = C.term_counts(docs)
+    shuffles = [x for x in counts._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange" in x]
+    assert len(shuffles) == 1 and "term" not in shuffles[0]
+    got = {(r.doc_id, r.term): r.tf for r in counts.collect()}
+    assert got == {(1, "a"): 2, (1, "b"): 2, (1, "c"): 1, (2, "b"): 1, (None, "a"): 1}
