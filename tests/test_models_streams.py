@@ -209,3 +209,17 @@ def test_vector_columns(spark):
     table = spark.createDataFrame([(0, [1.0, 2.0])], "slot int, embedding array<double>")
     row = M.WideDeep(table, buckets=8).prepare(df).select(vector_to_array("deep").alias("d")).first()
     assert row.d == pytest.approx([1.0, 2.0, 1.0, 2.0])
+
+
+def test_a_fit_holds_a_bounded_number_of_rows_a_task(spark, monkeypatch):
+    seen, fit = [], M.Pipeline.fit
+    monkeypatch.setattr(M, "ROWS_A_TASK", 100, raising=False)
+    monkeypatch.setattr(M.Pipeline, "fit", lambda self, df: seen.append(df.rdd.getNumPartitions()) or fit(self, df))
+    x = F.col("id").cast("double")
+    rows = spark.range(0, 1000, 1, 1).select("id", x.alias("x"), (F.col("id") % 2).cast("int").alias("label"))
+    M.fit_classifier(rows, "logistic", ["x"], maxIter=1)
+    assert M.leaf_features(rows, ["x"], trees=1).count() == 1000
+    assert min(seen) >= 10
+    monkeypatch.setattr(M, "ROWS_A_TASK", 1000)
+    M.fit_classifier(rows, "logistic", ["x"], maxIter=1)
+    assert seen[-1] == 1
