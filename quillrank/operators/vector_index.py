@@ -20,7 +20,7 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from quillrank.functions import doubles
 from quillrank.plans.ranks import top_by
@@ -53,6 +53,19 @@ def _extended(x: np.ndarray, norm: float) -> np.ndarray:
     return np.column_stack([x, rest])
 
 
+def _lowest(rows: DataFrame, place: Column, sample: int, number: int) -> DataFrame:
+    """The ``sample`` rows of ``number`` with the lowest hash ``place``, ties to the smaller id.
+
+    A limit alone brings ``sample`` rows of every partition to one task; a bound that about twice the sample lies below
+    leaves the same rows first.
+    """
+    if 2 * sample < number:
+        near = rows.filter(place < F.lit(2 * sample * 2**64 // number - 2**63))
+        if near.count() >= sample:
+            rows = near
+    return rows.orderBy(place, "id").limit(sample)
+
+
 def build_index(
     vectors: DataFrame, cells: int | None = None, sample: int = SAMPLE, vid: str = "vec_id", vector: str = "embedding", seed: int = 0
 ) -> VectorIndex:
@@ -64,7 +77,7 @@ def build_index(
     number, norm = rows.agg(F.count(F.lit(1)), F.coalesce(F.sqrt(F.max(square)), F.lit(0.0))).first()
     cells = min(cells or math.ceil(math.sqrt(number)), CELLS, max(number, 1))
     last = F.sqrt(F.greatest(F.lit(norm * norm) - square, F.lit(0.0)))
-    some = rows.orderBy(F.xxhash64("id", F.lit(seed)), "id").limit(sample).select(array_to_vector(F.concat("x", F.array(last))).alias("features"))
+    some = _lowest(rows, F.xxhash64("id", F.lit(seed)), sample, number).select(array_to_vector(F.concat("x", F.array(last))).alias("features"))
     if number:
         centres = np.array(KMeans(k=cells, maxIter=8, seed=seed, initMode="random").fit(some).clusterCenters())
     else:

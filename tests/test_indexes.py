@@ -188,3 +188,14 @@ def test_gibbs_of_nothing(spark):
     assert none.tokens().count() == 0 and none.likelihood == []
     made = spark.createDataFrame([("x", "Some words some")], "doc_id string, text string").select("doc_id", tokens("text").alias("words"))
     assert gibbs.fit_gibbs(made, "words", k=2, sweeps=1).tokens().count() == 3
+
+
+def test_the_sample_of_an_index_is_bounded_before_it_is_sorted(spark):
+    rows = spark.range(0, 20_000, 1, 16).select("id")
+    place = F.xxhash64("id", F.lit(0))
+    some = vector_index._lowest(rows, place, 100, 20_000)
+    assert [r["id"] for r in some.collect()] == [r["id"] for r in rows.orderBy(place, "id").limit(100).collect()]
+    assert "xxhash64" in some._jdf.queryExecution().optimizedPlan().toString().split("Filter", 1)[1].split("\n")[0]
+    # Copies of one id have one hash: where too few rows lie below the bound, all are looked at.
+    copies = spark.range(1000).select(F.lit(7).alias("id"))
+    assert vector_index._lowest(copies, F.xxhash64("id", F.lit(0)), 10, 1000).count() == 10
