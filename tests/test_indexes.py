@@ -156,6 +156,35 @@ def test_inverted_index_takes_many_queries(spark):
     assert [r.doc_id for r in literal] == [rows[number, n][0] for n in (1, 2, 3)]
 
 
+def test_an_index_is_built_without_a_shuffle(spark, monkeypatch):
+    monkeypatch.setattr(inverted, "BLOCK", 64)
+    monkeypatch.setattr(inverted, "BLOCK_WORDS", 2000)
+    made = [(i, "once " * 50 + f"w{i % 7}") for i in range(300)] + [(300, "long " * 9000), (301, "after"), (302, "")]
+    seen = []
+    monkeypatch.setattr(inverted, "stage", lambda df, name, keep=inverted.stage: seen.append((name, df)) or keep(df, name))
+    index = inverted.build_inverted(spark.createDataFrame(made, "doc_id long, text string").coalesce(3))
+    plan = dict(seen)["postings"]._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Generate" not in plan
+    rows = index.blocks.filter("term = 'once'").collect()
+    sizes = [len(r["gaps"]) for r in rows]
+    assert sum(sizes) == 300 and max(sizes) == 2000 // 51 and len({r["block"] for r in rows}) == len(rows)
+    # The long document may follow others in a block only if it fits.
+    assert all(r["gaps"][1:] == [1] * (n - 1) and r["counts"] == [50] * n and r["lengths"] == [51] * n for r, n in zip(rows, sizes))
+    assert all(r["places"] == ([0] + [1] * 49) * n for r, n in zip(rows, sizes))
+    assert index.blocks.filter("term = 'long'").first()["places"] == [0] + [1] * 8999
+    assert sorted(r["key"] for r in index.docs.collect()) == list(range(303)) and index.docs.select("number").distinct().count() == 303
+    # A block gives the best documents of a query and what ties with them, not every one that has a word of it.
+    some = spark.createDataFrame([(1, "once w1")], "query_id long, query string").select("query_id", F.explode(tokens("query")).alias("term"))
+    wanted = index.blocks.select("term", "block").join(some, "term").withColumn("idf", F.lit(1.0))
+    scored = inverted._scores(index, wanted, 1, 3).groupBy(F.floor(F.col("number") / 64)).count().collect()
+    assert scored and max(r["count"] for r in scored) < 20
+    # A phrase meets a block once: no row for each place of its words.
+    asked = spark.createDataFrame([(i, "once once") for i in range(50)], "query_id long, query string")
+    found = inverted.phrases_inverted(index, asked)
+    assert "FlatMapCoGroupsInArrow" in found._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted((r.query_id, r.key, r.n) for r in found.collect()) == [(q, d, 49) for q in range(50) for d in range(300)]
+
+
 def test_inverted_index_of_nothing(spark):
     index = inverted.build_inverted(spark.createDataFrame([], "doc_id long, text string"))
     asked = spark.createDataFrame([(1, "word")], "query_id long, query string")
