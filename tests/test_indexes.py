@@ -212,6 +212,20 @@ def test_gibbs_finds_planted_topics(spark):
     assert all({r.word[0] for r in best if r.topic == t} <= {"abc"[k], "c"} for k, (t, _) in enumerate(found))
 
 
+def test_gibbs_sends_no_copies_of_counts(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(gibbs, "stage", lambda df, name, keep=gibbs.stage: seen.append((name, df)) or keep(df, name))
+    made = spark.createDataFrame([(i, [f"w{(i * j) % 97}" for j in range(30)]) for i in range(200)], "doc_id long, words array<string>")
+    model = gibbs.fit_gibbs(made, "words", k=50, sweeps=2, part=1000)
+    plan = [df for name, df in seen if name == "topics"][-1]._jdf.queryExecution().executedPlan().toString()
+    assert "__salt" not in plan and "cells" in plan
+    rows = model.tokens().groupBy("word").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("doc").alias("docs"))
+    # One shuffle of documents, one of counts; none of words with their documents.
+    assert rows._jdf.queryExecution().executedPlan().toString().count("hashpartitioning(word") == 1
+    want = Counter(f"w{(i * j) % 97}" for i in range(200) for j in range(30))
+    assert {r.word: r.n for r in rows.collect()} == want
+
+
 def test_gibbs_of_nothing(spark):
     none = gibbs.fit_gibbs(spark.createDataFrame([], "doc_id long, words array<string>"), "words", k=2, sweeps=2)
     assert none.tokens().count() == 0 and none.likelihood == []
