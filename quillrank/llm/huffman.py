@@ -105,13 +105,13 @@ def encode(ids: np.ndarray, code: np.ndarray, length: np.ndarray) -> tuple[bytes
 def decode(bits: bytes, checkpoints: bytes, n: int, table: np.ndarray) -> np.ndarray:
     width = len(table).bit_length() - 1
     data = np.frombuffer(bits + bytes(8 + STEP * 4), dtype=np.uint8).astype(np.int64)
+    # The next 32 bits from each byte on, looked up once for every byte and not for every id.
+    next_bits = data[:-3] << 24 | data[1:-2] << 16 | data[2:-1] << 8 | data[3:]
     at = np.cumsum(np.frombuffer(checkpoints, dtype="<u2").astype(np.int64))
     out = np.empty((len(at), STEP), dtype=np.int64)
     mask = (1 << width) - 1
     for k in range(STEP):
-        byte = at >> 3
-        window = data[byte] << 24 | data[byte + 1] << 16 | data[byte + 2] << 8 | data[byte + 3]
-        entry = table[window >> (32 - width - (at & 7)) & mask]
+        entry = table[next_bits[at >> 3] >> (32 - width - (at & 7)) & mask]
         out[:, k] = entry >> 5
         at = at + (entry & 31)
     return out.reshape(-1)[:n]
