@@ -8,9 +8,13 @@ from quillrank import fixed as X
 from quillrank.functions import differs_or_unknown
 from quillrank.operators.actions import in_window
 from quillrank.plans.ranks import global_row_number, top_by
-from quillrank.plans.skew import keep_by_count, spread_join
+from quillrank.plans.skew import heavy_keys, keep_by_count, spread_join
 from quillrank.session import stage, view
 
+# Parts of the pairs of one of the most frequent items, and tasks that count pairs for each partition of the session:
+# a task holds its pairs twice, before and after they are summed.
+BINS, COUNTING = 8, 4
+
 
 def bool_matrix(
     baskets: DataFrame, actions: DataFrame, date: str, days: int = X.ACTION_DAYS, item_type: int | None = None
@@ -44,13 +48,30 @@ def filter_items(
     return keep_by_count(matrix, "item_id", (cnt > low) & (cnt < high), cnt >= high, carry)
 
 
-def _half_pairs(matrix: DataFrame, item: str = "item_id") -> DataFrame:
-    # Each unordered pair once. Users hold at most LIST_MAX items after filter_users, which bounds the join. A row
-    # meets up to LIST_MAX others, so the number of partitions follows the session and not the small input size.
+def _counted_pairs(matrix: DataFrame, counts: DataFrame, item: str = "item_id") -> DataFrame:
+    """(i, j, pair_cnt) for each unordered pair i < j of items of one user; ``counts``: item, cnt.
+
+    A user sends one row per item with all greater items of the user, which is a fraction of a row per pair; the pairs
+    are made where they are counted. Rows of the HEAVY most frequent items are dealt by the greater item as well.
+    Users hold at most LIST_MAX items after filter_users, which bounds the lists. The number of partitions follows
+    the session and not the small input size.
+    """
     parts = int(matrix.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    matrix = matrix.select("user_id", item).repartition(parts, "user_id")
-    left = matrix.withColumnRenamed(item, "i")
-    return left.join(matrix.withColumnRenamed(item, "j"), "user_id").filter(F.col("i") < F.col("j"))
+    users = matrix.select("user_id", item).filter(F.col("user_id").isNotNull()).repartition(parts, "user_id")
+    lists = users.groupBy("user_id").agg(F.sort_array(F.collect_list(item)).alias("items"))
+    rest = F.slice("items", F.col("at") + 2, F.size("items"))
+    tails = lists.select("items", F.posexplode("items").alias("at", "i")).filter(F.col("at") + 1 < F.size("items"))
+    hot = heavy_keys(counts, item, "cnt").withColumnRenamed(item, "i")
+    marked = tails.select("i", rest.alias("js")).join(F.broadcast(hot), "i", "left")
+    bins = F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(BINS - 1))).otherwise(F.array(F.lit(0)))
+    own = F.filter("js", lambda j: F.pmod(F.hash(j), F.lit(BINS)) == F.col("bin"))
+    own = F.when(F.col("__hot"), own).otherwise(F.col("js"))
+    dealt = marked.withColumn("bin", F.explode(bins)).select("i", "bin", own.alias("js"))
+    dealt = dealt.filter(F.size("js") > 0).repartition(COUNTING * parts, "i", "bin")
+    pairs = dealt.select("i", "bin", F.explode("js").alias("j"))
+    # An item that a user has twice stands behind itself.
+    counted = pairs.filter(F.col("i") < F.col("j")).groupBy("i", "bin", "j").agg(F.count(F.lit(1)).alias("pair_cnt"))
+    return counted.select("i", "j", "pair_cnt")
 
 
 def _mirror(half: DataFrame) -> DataFrame:
@@ -61,10 +82,22 @@ def _mirror(half: DataFrame) -> DataFrame:
 
 
 def pair_counts(matrix: DataFrame, low: int = X.PAIR_MIN, high: int | None = X.PAIR_MAX) -> DataFrame:
-    """Ordered item pairs with ``low <= common users <= high``. Run filter_users first where users hold many items."""
-    counted = _half_pairs(matrix).groupBy("i", "j").agg(F.count(F.lit(1)).alias("pair_cnt"))
+    """Ordered item pairs with ``low <= common users <= high``. Run filter_users first where users hold many items.
+
+    The input is read three times and so is staged. Ids that fit are sent in four bytes.
+    """
+    matrix = stage(matrix.select("user_id", "item_id"), "pair_matrix")
+    kind = dict(matrix.dtypes)["item_id"]
+    if kind == "bigint":
+        ends = matrix.agg(F.min("item_id").alias("a"), F.max("item_id").alias("b")).first()
+        if ends["a"] is not None and -(1 << 31) <= ends["a"] and ends["b"] < 1 << 31:
+            matrix = matrix.withColumn("item_id", F.col("item_id").cast("int"))
+    counts = matrix.groupBy("item_id").agg(F.count(F.lit(1)).alias("cnt"))
     enough = F.col("pair_cnt") >= low
-    return _mirror(counted.filter(enough if high is None else enough & (F.col("pair_cnt") <= high)))
+    if high is not None:
+        enough = enough & (F.col("pair_cnt") <= high)
+    half = _counted_pairs(matrix, counts).filter(enough)
+    return _mirror(half.withColumns({c: F.col(c).cast(kind) for c in ("i", "j")}))
 
 
 def _metrics(pairs: DataFrame, users: DataFrame, k: int) -> DataFrame:
@@ -100,7 +133,8 @@ def association_metrics(pairs: DataFrame, matrix: DataFrame, k: int = X.RULES_KE
     counts = matrix.groupBy("item_id").agg(F.count(F.lit(1)).alias("cnt"))
     prior = counts.select(F.col("item_id").alias("item_prior"), F.col("cnt").alias("prior_cnt"))
     posterior = counts.select(F.col("item_id").alias("item_posterior"), F.col("cnt").alias("posterior_cnt"))
-    joined = pairs.join(prior, "item_prior").join(posterior, "item_posterior")
+    # The prior comes last, because the best posteriors are ranked per prior and so need no further shuffle.
+    joined = pairs.join(posterior, "item_posterior").join(prior, "item_prior")
     return _metrics(joined, matrix.agg(F.countDistinct("user_id")), k)
 
 
@@ -114,8 +148,7 @@ def mine_rules(
     """filter_users, filter_items, pair_counts and association_metrics in one plan.
 
     The pairs are by far the largest data of the job and most of them fall below the minimum. Items with long ids
-    therefore get dense codes, and a pair is shuffled as two codes in one bigint; names and counts come back to the
-    few pairs that are left.
+    therefore get dense codes of four bytes; names and counts come back to the few pairs that are left.
     """
     kept = stage(filter_items(filter_users(matrix, *users), *items, carry="cnt"), "filtered_matrix")
     if dict(kept.dtypes)["item_id"] in ("int", "bigint"):
@@ -125,11 +158,9 @@ def mine_rules(
     coded = spread_join(kept.select("user_id", "item_id"), codes, "item_id", weights=codes)
     if (codes.agg(F.max("code")).first()[0] or 0) >= 1 << 31:
         return association_metrics(pair_counts(kept, *pairs), kept, k)
-    packed = F.shiftleft("i", 32).bitwiseOR(F.col("j")).alias("pair")
-    counted = _half_pairs(coded, "code").select(packed).groupBy("pair").agg(F.count(F.lit(1)).alias("pair_cnt"))
-    frequent = counted.filter(F.col("pair_cnt").between(*pairs)).select(
-        F.shiftright("pair", 32).alias("i"), F.col("pair").bitwiseAND(F.lit((1 << 32) - 1)).alias("j"), "pair_cnt"
-    )
+    coded = coded.withColumn("code", F.col("code").cast("int"))
+    counts = codes.select(F.col("code").cast("int").alias("code"), "cnt")
+    frequent = _counted_pairs(coded, counts, "code").filter(F.col("pair_cnt").between(*pairs))
     both = _mirror(frequent)
 
     def decoded(side: str) -> DataFrame:

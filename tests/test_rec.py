@@ -143,6 +143,26 @@ def test_fused_rules_equal_the_steps(spark, rows):
         assert r.min_conf <= r.kulc <= r.max_conf and 0 <= r.ir <= 1 and r["rank"] <= 7
 
 
+@pytest.mark.parametrize("shift", [0, 1 << 40])
+def test_pairs_are_made_where_they_are_counted(spark, rows, monkeypatch, shift):
+    """Users send lists of items and not pairs; repeated rows, nulls, hot items and long ids count as in a self join."""
+    cells = [(u, i + shift) for u in range(30) for i in range(40) if (u * 7 + i * 3) % 5 < 2 or i < 3]
+    cells += [(1, shift), (1, shift), (2, None), (None, shift), (None, 1 + shift)]
+    counts = {}
+    for u in {u for u, _ in cells if u is not None}:
+        own = [i for v, i in cells if v == u and i is not None]
+        for a in own:
+            for b in own:
+                if a != b:
+                    counts[a, b] = counts.get((a, b), 0) + 1
+    monkeypatch.setattr("quillrank.plans.skew.HEAVY", 5)
+    got = U.pair_counts(spark.createDataFrame(cells, "user_id long, item_id long"))
+    assert got.dtypes == [("item_prior", "bigint"), ("item_posterior", "bigint"), ("pair_cnt", "bigint")]
+    assert rows(got) == sorted((a, b, n) for (a, b), n in counts.items() if n >= 2)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Inner, (user_id" not in plan and "collect_list" in plan
+
+
 def test_oversized_hot_basket_is_dropped(spark):
     hot = {"hot": [f"i{n}" for n in range(5000)]} | {f"u{n}": ["i1", "i2"] for n in range(20)}
     assert U.filter_users(matrix(spark, hot)).select("user_id").distinct().count() == 20
