@@ -222,3 +222,17 @@ def test_term_counts_shuffle_texts_and_not_their_words(spark, rows):
     assert len(shuffles) == 1 and "term" not in shuffles[0]
     got = {(r.doc_id, r.term): r.tf for r in counts.collect()}
     assert got == {(1, "a"): 2, (1, "b"): 2, (1, "c"): 1, (2, "b"): 1, (None, "a"): 1}
+
+
+def test_pooling_shuffles_no_vectors(spark):
+    """A small table is broadcast to the lines of each row id; above that join nothing is shuffled."""
+    lines = spark.createDataFrame([(1, 0, 2.0), (1, 0, 1.0), (None, 1, 1.0), (2, 9, 1.0), (2, None, 1.0)], "id int, k int, w double")
+    table = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 2.0])], "k int, embedding array<double>")
+    out = V.pooled(lines, table, "id", "k", "w")
+    got = {r.id: r.pooled for r in out.collect()}
+    assert set(got) == {1, None} and got[None] == [0.0, 2.0]
+    assert got[1] == pytest.approx([3.0 / 5.0**0.5, 0.0])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    plan = plan[plan.index("Initial Plan") :] if "Initial Plan" in plan else plan
+    above = plan[: plan.index("BroadcastHashJoin")]
+    assert "Aggregate" in above and "Exchange" not in above
