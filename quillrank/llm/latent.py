@@ -47,6 +47,8 @@ ITEMS = 2000
 PART = 1 << 15
 BITS = 512
 FAN_IN = 16
+PIECE = 8
+ONES = np.ones(BITS // 64, dtype=np.uint8)
 HITS = "array<struct<item_id:long,start:long,length:long,cosine:double,overlap:double>>"
 
 
@@ -55,6 +57,27 @@ def hashed(text: Column) -> Column:
     return F.transform(words, lambda w: F.hash(w))
 
 
+def _places(first: np.ndarray, sizes: np.ndarray, width: int) -> np.ndarray:
+    """Runs of at most ``width`` places as lines of a matrix; -1 stands beyond the end of a run."""
+    k = np.arange(width)
+    return np.where(k < sizes[:, None], first[:, None] + k, -1)
+
+
+def _summed(table: np.ndarray, lines: np.ndarray) -> np.ndarray:
+    """The sum of the rows of ``table`` that each line names, some lines at a time; -1 names the last row, which is zero."""
+    out = np.empty((len(lines), table.shape[1]), dtype=np.float32)
+    for k in range(0, len(lines), 1024):
+        part = table[lines[k : k + 1024, 0]]
+        for column in lines[k : k + 1024, 1:].T:
+            part += table[column]
+        out[k : k + 1024] = part
+    return out
+
+
+def _with_zero(table: np.ndarray) -> np.ndarray:
+    return np.append(table, np.zeros((1, table.shape[1]), dtype=np.float32), axis=0).astype(np.float32)
+
+
 class Blocks:
     """The words of a batch of texts, and its blocks of ``step`` words; no block spans two texts."""
 
@@ -68,35 +91,38 @@ class Blocks:
         self.owner = np.repeat(np.arange(len(self.sizes)), per_text)
         self.number = np.arange(len(self.owner)) - np.repeat(np.cumsum(per_text) - per_text, per_text)
         self.first = self.starts[self.owner] + self.number * step
+        self.filled = np.minimum(self.sizes[self.owner] - self.number * step, step)
+        self.step = step
+
+    def lines(self, low: int = 0, high: int | None = None) -> np.ndarray:
+        """The terms of the blocks from ``low`` on, a block a line; -1 fills a short one."""
+        return np.append(self.terms, -1)[_places(self.first[low:high], self.filled[low:high], self.step)]
 
     def sums(self, table: np.ndarray, low: int = 0, high: int | None = None) -> np.ndarray:
-        """The sum of a row of ``table`` per word, for the blocks from ``low`` on, some blocks at a time."""
-        ends = np.append(self.first[1:], len(self.terms))[low:high]
-        first = self.first[low:high]
-        out = np.empty((len(first), table.shape[1]), dtype=np.float32)
-        for k in range(0, len(first), 8192):
-            at, end = first[k : k + 8192], ends[k : k + 8192][-1]
-            out[k : k + 8192] = np.add.reduceat(table[self.terms[at[0] : end]], at - at[0], axis=0)
-        return out
+        """The sum of a row of ``table`` (the last one is zero) per word, for the blocks from ``low`` on."""
+        return _summed(table, self.lines(low, high))
 
     def of_words(self) -> np.ndarray:
         """The block of every word."""
-        return np.repeat(np.arange(len(self.first)), np.diff(np.append(self.first, len(self.words))))
+        return np.repeat(np.arange(len(self.first)), self.filled)
 
 
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(TERMS + 1, dtype=np.int64)
     for batch in batches:
         b = Blocks(batch.column(1))
-        pairs = np.unique(b.of_words() * TERMS + b.terms)
-        total[:TERMS] += np.bincount(pairs % TERMS, minlength=TERMS)
+        # TERMS, the largest number, fills a short block.
+        terms = np.sort(np.where((lines := b.lines()) < 0, TERMS, lines).astype(np.uint16), axis=1)
+        new = terms < TERMS
+        new[:, 1:] &= terms[:, 1:] != terms[:, :-1]
+        total[:TERMS] += np.bincount(terms[new], minlength=TERMS)
         total[TERMS] += len(b.first)
     yield pa.RecordBatch.from_arrays([pa.array(np.arange(TERMS + 1)), pa.array(total)], ["term", "n"])
 
 
 def _moments(idf: np.ndarray, random: np.ndarray):
     """Per task: Y'A over the terms and, below it, Y'Y, as one array of 32-bit floats."""
-    table = (idf[:, None] * random).astype(np.float32)
+    table = _with_zero(idf[:, None] * random)
     width = random.shape[1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -110,10 +136,18 @@ def _moments(idf: np.ndarray, random: np.ndarray):
             total[TERMS:] += y.T @ y
             order = np.argsort(b.terms.astype(np.uint16), kind="stable")
             block, term = b.of_words()[order], b.terms[order]
+            y = _with_zero(y)
             for k in range(0, len(order), 1 << 18):
                 t = term[k : k + (1 << 18)]
                 at = np.flatnonzero(np.append(True, t[1:] != t[:-1]))
-                total[t[at]] += np.add.reduceat(y[block[k : k + (1 << 18)]], at, axis=0) * weight[t[at], None]
+                # The words of a term are summed in pieces of PIECE and then piece by piece.
+                size = np.diff(np.append(at, len(t)))
+                pieces = -(-size // PIECE)
+                start = np.cumsum(pieces) - pieces
+                number = np.arange(pieces.sum()) - np.repeat(start, pieces)
+                places = _places(np.repeat(at, pieces) + number * PIECE, np.repeat(size, pieces) - number * PIECE, PIECE)
+                sums = _summed(y, np.append(block[k : k + (1 << 18)], -1)[places])
+                total[t[at]] += np.add.reduceat(sums, start, axis=0) * weight[t[at], None]
         yield pa.RecordBatch.from_arrays(
             [pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([total.astype("<f4").tobytes()], pa.binary())],
             ["g", "m"],
@@ -185,8 +219,8 @@ class Item:
         n, masks = self.parts[part]
         full = (1 << n) - 1
         v = full
-        for w in region:
-            u = v & masks.get(w, 0)
+        for mask in filter(None, map(masks.get, region)):
+            u = v & mask
             v = ((v + u) | (v - u)) & full
         return (n - v.bit_count()) / n
 
@@ -221,20 +255,24 @@ class Windows:
 
     def candidates(self, b: Blocks, blocks: np.ndarray, sums: np.ndarray) -> Iterator[tuple[int, int, float]]:
         """(block, window, cosine) of the text windows, which start at ``blocks`` and have these sums."""
-        for k in range(0, len(blocks), 4096):
-            at = blocks[k : k + 4096]
-            cosine = _unit(sums[k : k + 4096]) @ self.matrix.T
+        for k in range(0, len(blocks), 2048):
+            at = blocks[k : k + 2048]
+            cosine = _unit(sums[k : k + 2048]) @ self.matrix.T
             flat = np.flatnonzero((cosine >= self.near).ravel())
             if not len(flat):
                 continue
             r, q = np.divmod(flat, len(self.near))
-            rows, where = np.unique(r, return_inverse=True)
+            new = np.append(True, r[1:] != r[:-1])
+            rows, where = r[new], np.cumsum(new) - 1
             place = b.first[at[rows]][:, None] + np.arange(self.width)
             end = (b.starts + b.sizes)[b.owner[at[rows]]][:, None]
             texts = bitmaps(np.where(place < end, b.words[np.minimum(place, len(b.words) - 1)], -1))
             for j in range(0, len(r), 1 << 16):
                 part = slice(j, j + (1 << 16))
-                ok = np.bitwise_count(texts[where[part]] & self.bits[q[part]]).sum(axis=1) >= self.least[q[part]]
+                # No more bits than a window has words, so a byte holds their number.
+                both = texts.take(where[part], axis=0)
+                both &= self.bits.take(q[part], axis=0)
+                ok = np.bitwise_count(both) @ ONES >= self.least[q[part]]
                 rr, qq = r[part][ok], q[part][ok]
                 yield from zip(at[rr].tolist(), qq.tolist(), cosine[rr, qq].tolist())
 
@@ -243,7 +281,7 @@ class Query:
     """Items with their windows in the latent space."""
 
     def __init__(self, items: list[tuple[int, list[int]]], folding: np.ndarray):
-        self.folding = folding
+        self.folding = _with_zero(folding)
         self.items = [Item(i, np.array(words, dtype=np.int64) & 0xFFFFFFFF) for i, words in items if len(words)]
         self.windows = [w for w in (Windows(width, self.items, folding) for width in WIDTHS) if len(w.matrix)]
         # Text windows are made of blocks of half the smallest width in use.

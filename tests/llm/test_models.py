@@ -3,6 +3,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from quillrank.llm import kneser_ney, latent, toxicity
@@ -291,6 +292,22 @@ def test_latent_blocks_and_empty(docs, spark, monkeypatch):
     assert {r["doc_id"]: [h["item_id"] for h in r["hits"]] for r in got if r["hits"]} == {k: [k] for k in range(5)}
 
 
+def test_latent_sums_by_blocks():
+    """Sums, frequencies and moments of short, full, long and empty texts against loops over the blocks."""
+    rnd = np.random.default_rng(3)
+    texts = [rnd.integers(-(2**31), 2**31, n).astype(np.int32) for n in (0, 1, 16, 17, 300, 0, 5)] + [np.full(40, 7, np.int32)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts, pa.list_(pa.int32()))], ["doc_id", "words"])
+    blocks = [(t.astype(np.int64) & 0xFFFFFFFF)[k : k + latent.STEP] % latent.TERMS for t in texts for k in range(0, len(t), latent.STEP)]
+    table = np.append(rnd.normal(size=(latent.TERMS, 3)), np.zeros((1, 3)), axis=0).astype(np.float32)
+    b = latent.Blocks(batch.column(1))
+    assert [[t for t in line if t >= 0] for line in b.lines().tolist()] == [t.tolist() for t in blocks]
+    want = np.array([table[t].sum(axis=0) for t in blocks])
+    assert np.allclose(b.sums(table), want, atol=1e-4) and np.allclose(b.sums(table, 2, 5), want[2:5], atol=1e-4)
+    counts = next(latent._frequencies(iter([batch]))).column(1).to_numpy()
+    seen = Counter(t for block in blocks for t in set(block.tolist()))
+    assert counts[-1] == len(blocks) and {t: n for t, n in enumerate(counts[:-1].tolist()) if n} == seen
+
+
 def test_longest_common_subsequence():
     rnd = random.Random(2)
     for _ in range(200):
