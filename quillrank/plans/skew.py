@@ -10,7 +10,7 @@ from quillrank.session import stage
 HEAVY = 1000
 # A join side is broadcast up to this many rows and this many bytes, both measured.
 SMALL_ROWS = 200_000
-SMALL_BYTES = 64 << 20
+SMALL_BYTES = 16 << 20
 
 
 def keep_by_count(df: DataFrame, key: str, keep: Column, over: Column, carry: str | None = None) -> DataFrame:

@@ -257,3 +257,11 @@ def test_a_side_that_is_not_small_is_never_broadcast(spark, monkeypatch, weighte
     assert "SortMergeJoin [k" in plan and joined.count() == 3000
     if not weighted:
         assert "Broadcast" not in plan
+
+
+def test_a_side_of_few_long_rows_is_not_broadcast(spark):
+    """18 MB of text in 3,000 rows: the driver would hold it several times over."""
+    left = spark.range(6000).select("id", (F.col("id") % 3000).alias("k"))
+    right = spark.range(3000).select(F.col("id").alias("k"), F.repeat(F.lit("x"), 6000).alias("v"))
+    joined = skew.spread_join(left, right, "k")
+    assert "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString() and joined.count() == 6000
