@@ -1,7 +1,7 @@
 """Quality classifier: perplexity under interpolated modified Kneser-Ney models trained on all trusted text.
 
 Two models judge a document. One has word bigrams (see ``word_ngrams``): its tables are sharded and grow with the text, and
-the distinct bigrams of all documents are joined to them. It sees word lists and texts without order, which are made of
+the distinct bigrams of all documents are looked up in them. It sees word lists and texts without order, which are made of
 ordinary letters, and, by the counts of a document's own bigrams, words that are written over and over. The other has
 character trigrams: the ALPHABET - 2 most frequent characters of the trusted text, one token for all others and one for
 the start of a text. Its tables have a size bound that no corpus can exceed (ALPHABET ** 3 trigrams, 8 MB as floats), so the
@@ -23,10 +23,11 @@ repeat, and a document is trusted if all its labels say so; repeated rows are sc
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F
 
 from quillrank.llm import word_ngrams
@@ -39,6 +40,8 @@ PRIOR = 200
 WORD_PRIOR = 50
 QUANTILE = 0.99
 REPEATS_QUANTILE, REPEATS_LEAST = 0.999, 0.5
+# Trusted keys that are broadcast, of eight bytes each.
+IDS = 4_000_000
 _POINTS = 0x110000
 
 
@@ -54,15 +57,24 @@ def _count_rows(counts: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(seen), pa.array(counts[seen].astype(np.int64))], ["key", "n"])
 
 
-def _characters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(_POINTS, dtype=np.int64)
-    for batch in batches:
-        codes, _ = _codes(batch.column(0).to_pylist())
-        if len(codes):
-            part = np.bincount(codes)
-            total[: len(part)] += part
-    total[0] = 0
-    yield _count_rows(total)
+def _trusted_texts(batch: pa.RecordBatch, shared) -> list[str]:
+    """Of a batch (doc_id, again, text)."""
+    marks = word_ngrams.marks(batch.column(0), batch.column(1), shared.value)
+    return batch.column(2).filter(pa.array(marks > 0)).to_pylist()
+
+
+def _characters(shared):
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(_POINTS, dtype=np.int64)
+        for batch in batches:
+            codes, _ = _codes(_trusted_texts(batch, shared))
+            if len(codes):
+                part = np.bincount(codes)
+                total[: len(part)] += part
+        total[0] = 0
+        yield _count_rows(total)
+
+    return count
 
 
 def _trigram_keys(codes: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -72,11 +84,11 @@ def _trigram_keys(codes: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.
     return (ids[ends - 2] * ALPHABET + ids[ends - 1]) * ALPHABET + ids[ends], ends
 
 
-def _trigrams(table: np.ndarray):
+def _trigrams(table: np.ndarray, shared):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, waiting = np.zeros(ALPHABET**3, dtype=np.int64), []
         for batch in batches:
-            waiting.append(_trigram_keys(_codes(batch.column(0).to_pylist())[0], table)[0])
+            waiting.append(_trigram_keys(_codes(_trusted_texts(batch, shared))[0], table)[0])
             if sum(map(len, waiting)) > len(total):
                 total += np.bincount(np.concatenate(waiting), minlength=len(total))
                 waiting = []
@@ -92,12 +104,16 @@ def counted(texts: DataFrame, function) -> DataFrame:
     return parts.groupBy("key").agg(F.sum("n").alias("n"))
 
 
-def _discount(counts: DataFrame) -> Column:
-    """The modified Kneser-Ney discount of a count n, from the counts of counts."""
-    few = counts.agg(*[F.count(F.when(F.col("n") == k, 1)).alias(f"n{k}") for k in (1, 2, 3, 4)]).first()
-    n = [max(few[f"n{k}"], 1) for k in (1, 2, 3, 4)]
+def _discounts(few: Sequence[int]) -> list[float]:
+    """The modified Kneser-Ney discounts of the counts 1, 2 and more, from how many counts are 1, 2, 3 and 4."""
+    n = [max(int(x), 1) for x in few]
     y = n[0] / (n[0] + 2 * n[1])
-    d = [min(max(k + 1 - (k + 2) * y * n[k + 1] / n[k], 0.05), k + 0.95) for k in range(3)]
+    return [min(max(k + 1 - (k + 2) * y * n[k + 1] / n[k], 0.05), k + 0.95) for k in range(3)]
+
+
+def _discount(counts: DataFrame) -> Column:
+    """The discount of a count n."""
+    d = _discounts(counts.agg(*[F.count(F.when(F.col("n") == k, 1)).alias(f"n{k}") for k in (1, 2, 3, 4)]).first())
     return F.when(F.col("n") == 1, d[0]).when(F.col("n") == 2, d[1]).otherwise(d[2])
 
 
@@ -155,18 +171,31 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
     return known.agg(good.alias("good")).filter("good = 1").select("doc_id")
 
 
-def perplexities(docs: DataFrame, trusted: DataFrame) -> DataFrame:
+def marked(docs: DataFrame, trusted: DataFrame) -> tuple[DataFrame, Broadcast]:
+    """``docs`` with a column ``again`` (null: look into the broadcast), and the trusted keys with whether several rows have
+    them. No text is shuffled for up to IDS trusted keys; beyond that the column says it, and the broadcast is empty."""
+    rows = docs.filter("text <> '' and doc_id is not null").groupBy("doc_id").agg((F.count(F.lit(1)) > 1).alias("again"))
+    known = stage(rows.join(trusted, "doc_id"), "trusted_rows")
+    context = docs.sparkSession.sparkContext
+    if known.count() > IDS:
+        return spread_join(docs, known, "doc_id", "left", salt=word_ngrams.row_id()), context.broadcast(None)
+    table = known.toArrow().sort_by("doc_id")
+    ids, again = (table.column(c).to_numpy() for c in ("doc_id", "again"))
+    return docs.withColumn("again", F.lit(None).cast("boolean")), context.broadcast((ids, again))
+
+
+def perplexities(docs: DataFrame, shared: Broadcast) -> DataFrame:
     """(rid, doc_id, lang, n, nll): characters and summed negative log-probability of every document (doc_id, lang, text)."""
-    texts = spread_join(docs.filter("text <> ''"), trusted, "doc_id").select("text")
-    top = counted(texts, _characters).orderBy(F.desc("n"), "key").limit(ALPHABET - 2).collect()
+    texts = docs.filter("text <> ''").select("doc_id", "again", "text")
+    top = counted(texts, _characters(shared)).orderBy(F.desc("n"), "key").limit(ALPHABET - 2).collect()
     table = np.full(_POINTS, OTHER, dtype=np.uint8)
     table[0] = START
     table[[r["key"] for r in top]] = np.arange(2, 2 + len(top))
-    trigrams = stage(counted(texts, _trigrams(table)), "trigrams")
-    shared = docs.sparkSession.sparkContext.broadcast((table, model(trigrams)))
+    trigrams = stage(counted(texts, _trigrams(table, shared)), "trigrams")
+    judge = docs.sparkSession.sparkContext.broadcast((table, model(trigrams)))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, logs = shared.value
+        known, logs = judge.value
         for batch in batches:
             codes, sizes = _codes(batch.column(3).to_pylist())
             keys, ends = _trigram_keys(codes, known)
@@ -184,13 +213,14 @@ def classify(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str =
     """doc_id, lang, n_chars, perplexity, limit (both per character), n_words, word_perplexity, word_limit, repeats,
     repeats_limit (both in nats a word) and kept.
 
-    Trains on the documents that ``labels`` (doc_id, quality) trusts. Writes tables below the shared folder, those of word
-    bigrams as large as the text has bigrams, and runs jobs while it builds its result.
+    Trains on the documents that ``labels`` (doc_id, quality) trusts. Writes tables below the shared folder, the texts as
+    packed word numbers among them, and runs jobs while it builds its result.
     """
     docs = df.select(F.col(key).cast("long").alias("doc_id"), F.col(lang).alias("lang"), F.coalesce(text, F.lit("")).alias("text"))
     trusted = stage(trusted_ids(labels), "trusted")
-    chars = perplexities(docs, trusted)
-    by_words = word_ngrams.scored(docs, trusted, _discount, _interpolated)
+    docs, shared = marked(docs, trusted)
+    chars = perplexities(docs, shared)
+    by_words = word_ngrams.scored(docs, shared, _discounts)
     scores = stage(chars.join(by_words, "rid", "left"), "scores")
     mean, word_mean = F.col("nll") / F.col("n"), F.col("word_nll") / F.col("n_words")
     repeats = F.col("word_saved") / (F.col("n_words") + WORD_PRIOR)

@@ -1,12 +1,15 @@
 import math
+import os
 import random
 from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
-from quillrank.llm import kneser_ney, latent, toxicity
+from quillrank.llm import kneser_ney, latent, toxicity, word_ngrams
+from quillrank.session import shared_dir, stage
 
 
 def brute_kneser_ney(texts, alphabet):
@@ -144,6 +147,45 @@ def test_word_bigrams_reject_junk_of_ordinary_words(docs, spark):
         assert abs(r["word_perplexity"] / alone["word_perplexity"] - 1) < 1e-9 and abs(r["repeats"] - alone["repeats"]) < 1e-9
 
 
+def word_texts(rnd, n):
+    common = [f"w{k}" for k in range(300)]
+    return [" ".join(rnd.choice(common) if rnd.random() < 0.9 else f"x{rnd.randrange(10**6)}" for _ in range(rnd.randrange(1, 60))) for _ in range(n)]
+
+
+def test_word_model_is_the_same_in_any_blocks(docs, spark):
+    rnd = random.Random(5)
+    rows = list(enumerate(word_texts(rnd, 120)))
+    # Copies, a key with several texts, a null key and blank texts, in several tasks.
+    rows += rows[:20] + [(5, t) for t in word_texts(rnd, 6)] + [(None, rows[3][1]), (130, " "), (131, None)]
+    df = docs(rows).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    trusted = stage(spark.createDataFrame([(k,) for k in range(0, 120, 2)] + [(5,)], "doc_id long"), "trusted")
+    found = []
+    for parts, block, segment, ids in ((1, 10**6, 10**6, 100), (4, 150, 40, 100), (3, 10**6, 200, 0)):
+        old, kneser_ney.IDS = kneser_ney.IDS, ids
+        try:
+            marked, shared = kneser_ney.marked(df.repartition(parts), trusted)
+        finally:
+            kneser_ney.IDS = old
+        out = word_ngrams.scored(marked, shared, kneser_ney._discounts, block, segment).collect()
+        found.append({r["rid"]: (r["n_words"], r["word_nll"], r["word_saved"]) for r in out})
+    assert len(found[0]) == 126 + 1
+    for other in found[1:]:
+        assert found[0].keys() == other.keys()
+        for rid, values in found[0].items():
+            assert values == pytest.approx(other[rid], rel=1e-9, abs=1e-9)
+
+
+def test_word_model_writes_few_bytes_a_word(docs, spark):
+    rnd = random.Random(6)
+    rows = [(k, " ".join(f"w{int(3000 * rnd.random() ** 2)}" for _ in range(200))) for k in range(400)]
+    labels = spark.createDataFrame([(k, 1) for k in range(200)], "doc_id long, quality int")
+    folder = shared_dir(spark)
+    size = lambda: sum(os.path.getsize(os.path.join(d, f)) for d, _, names in os.walk(folder) for f in names)
+    before = size()
+    assert kneser_ney.classify(docs(rows), labels).count() == 400
+    assert size() - before < 12 * 400 * 200
+
+
 def test_kneser_ney_without_trusted_text(docs, spark):
     none = spark.createDataFrame([], "doc_id long, quality int")
     assert [r["kept"] for r in kneser_ney.classify(docs([(1, "abc"), (2, None)]), none).collect()] == [True, True]
